@@ -1,5 +1,6 @@
 """Command-line check: ``python tests/check.py <folder> [name ...]`` compares queries with their oracle SQL."""
 
+import logging
 import os
 import sys
 import time
@@ -17,6 +18,8 @@ def main(folder: str, names: list[str]) -> int:
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
+    logging.getLogger("DataFrameQueryContextLogger").disabled = True
+    logging.getLogger("SQLQueryContextLogger").disabled = True
     con, queries, sql, failed = connect(folder), entry.queries(), entry.oracle_sql(), 0
     for name in names or queries:
         start = time.time()

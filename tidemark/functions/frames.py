@@ -6,20 +6,30 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import at, fiscal_year, half_up, ratio, shift, week_of_year_sql
 
 
-def value_bucket(counts: DataFrame, column: str, buckets: int) -> Column:
-    """Bucket number of a value, growing with it: its place among cut points taken from the distinct values.
+def cut_points(df: DataFrame, column: str, buckets: int) -> Column:
+    """About ``buckets`` values that split ``column`` evenly, as a scalar subquery.
 
-    The cut points only balance the buckets; a value always falls in one bucket, so results stay exact however rough
-    they are. Nulls get bucket 0.
+    Numbers and times use approximate percentiles. Other types use the values with the smallest hashes, a uniform
+    sample of fixed size. Cut points only balance work: results built on them are exact whatever they are.
     """
-    step = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx(column, step, buckets * 100)).scalar()
-    place = F.array_position(F.sort_array(F.array_append(cuts, F.col(column))), F.col(column))
-    return F.coalesce(place, F.lit(0))
+    if isinstance(df.schema[column].dataType, (T.NumericType, T.DateType, T.TimestampType)):
+        step = [i / buckets for i in range(1, buckets)]
+        return df.agg(F.percentile_approx(column, step, buckets * 100)).scalar()
+    drawn = (df.select(F.col(column).alias("v"), F.xxhash64(column).alias("h")).filter(F.col("v").isNotNull())
+             .orderBy("h").limit(buckets * 8))
+    spaced = F.filter(F.sort_array(F.collect_list("v")), lambda v, i: i % 8 == 7)
+    return drawn.agg(spaced).scalar()
+
+
+def bucket_of(df: DataFrame, column: str, buckets: int) -> Column:
+    """Bucket number of a value: grows with the value, equal values share one, nulls get 0."""
+    cuts, c = cut_points(df, column, buckets), F.col(column)
+    return F.coalesce(F.array_position(F.sort_array(F.array_append(cuts, c)), c), F.lit(0))
 
 
 def value_ranks(df: DataFrame, column: str, ascending: bool = False, buckets: int = 64) -> DataFrame:
@@ -31,7 +41,7 @@ def value_ranks(df: DataFrame, column: str, ascending: bool = False, buckets: in
     Nulls rank lowest.
     """
     counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    placed = counts.withColumn("bucket", value_bucket(counts, "value", buckets))
+    placed = counts.withColumn("bucket", bucket_of(counts, "value", buckets))
     order = F.col("value").asc() if ascending else F.col("value").desc()
     bucket_order = F.col("bucket").asc() if ascending else F.col("bucket").desc()
 
@@ -106,3 +116,45 @@ def date_dim(spark: SparkSession, start: date | Column, as_of: datetime) -> Data
         flag(F.year(d) == F.year(now) - 1).alias("IsLastYear"),
         flag(same_year & (F.month(d) == F.month(now))).alias("IsCurrentMonth"),
     ).orderBy("Date")
+
+
+def neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, forward: bool = False,
+              chunks: int = 64) -> DataFrame:
+    """Value of the previous (or next) row of the same key; ``order`` must identify a row within its key.
+
+    A plain LAG sends all rows of a key to one task. Here a key's rows are split into stretches of the first order
+    column, LAG runs inside each stretch, and the edge of a stretch takes the last value of the nearest earlier stretch
+    of that key, found among at most ``chunks`` rows per key. The result is exact for any distribution of keys.
+    """
+    placed = df.withColumn("_chunk", bucket_of(df, order[0], chunks)).withColumn("_value", F.struct(value.alias("v")))
+    sort = [F.col(c).desc() if forward else F.col(c).asc() for c in order]
+    inside = F.lag("_value", 1).over(Window.partitionBy(*keys, "_chunk").orderBy(*sort))
+    rows = placed.withColumn("_inside", inside)
+    pick = F.min_by if forward else F.max_by
+    edges = placed.groupBy(*keys, "_chunk").agg(pick("_value", F.struct(*order)).alias("_edge"))
+    chunk_sort = F.col("_chunk").desc() if forward else F.col("_chunk").asc()
+    carry = F.lag("_edge", 1).over(Window.partitionBy(*keys).orderBy(chunk_sort))
+    carried = edges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
+                           carry.alias("_carry"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_chunk") == F.col("_k_chunk")]
+    joined = rows.join(carried, cond, "left")
+    return joined.select(*[rows[c] for c in df.columns], F.coalesce("_inside", "_carry")["v"].alias(out))
+
+
+def carry_forward(df: DataFrame, keys: list[str], order: list[str], columns: list[str], chunks: int = 64) -> DataFrame:
+    """Replace nulls by the latest earlier non-null value of the same key, with the same splitting as ``neighbour``."""
+    placed = df.withColumn("_chunk", bucket_of(df, order[0], chunks))
+    inside = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = placed
+    for c in columns:
+        rows = rows.withColumn(f"_in_{c}", F.last(c, ignorenulls=True).over(inside))
+    position = F.struct(*order)
+    edges = placed.groupBy(*keys, "_chunk").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_e_{c}") for c in columns])
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
+                           *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in columns])
+    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_chunk") == F.col("_k_chunk")]
+    joined = rows.join(carried, cond, "left")
+    return joined.select(*[F.coalesce(f"_in_{c}", f"_c_{c}").alias(c) if c in columns else rows[c] for c in df.columns])

@@ -16,7 +16,7 @@ from tidemark.functions.columns import (
     at, avg_int, band, concat_nullable, datediff_sql, days_old, flag_is, format_n0, half_up, int_div, is_active,
     is_deleted, line_total, margin_ratio, mean, pct_change, percent, ratio, shift, total_due,
 )
-from tidemark.functions.frames import date_dim, quantile_scores, rank_global, share_of_total, value_bucket
+from tidemark.functions.frames import bucket_of, date_dim, quantile_scores, rank_global, share_of_total
 from tidemark.plans import views
 from tidemark.plans.views import customer_type, joined_orders, multiplied, weighted_mean, weighted_sum
 from tidemark.sources.tables import Tables
@@ -189,7 +189,7 @@ def rank_in_groups(df: DataFrame, group: str, metric: str, out: str) -> DataFram
     the metric inside the group, not the whole group.
     """
     counts = df.groupBy(F.col(group).alias("g"), F.col(metric).alias("v")).agg(F.count("*").alias("n"))
-    placed = counts.withColumn("b", value_bucket(counts, "v", 32))
+    placed = counts.withColumn("b", bucket_of(counts, "v", 32))
     earlier = Window.partitionBy("g").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("g", "b").agg(F.sum("n").alias("size"))
                .select("g", "b", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("o")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import ORDERS_AS_OF, TEST_THRESHOLDS
-from tidemark.plans import bi, views
+from tidemark.plans import bi, mirror_queries, views
 from tidemark.sources.tables import load_mirror
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,4 +95,14 @@ REPORT_QUERIES: dict[str, Query] = {
     "date_dim": with_tables(bi.calendar_orders),
 }
 
-QUERIES: dict[str, Query] = {**VIEW_QUERIES, **REPORT_QUERIES}
+
+def over_folder(build: Query) -> Query:
+    return lambda spark, folder: present(build(spark, folder))
+
+
+MIRROR_QUERIES: dict[str, Query] = {
+    **{name: with_tables(build) for name, build in mirror_queries.TABLE_QUERIES.items()},
+    **{name: over_folder(build) for name, build in mirror_queries.FOLDER_QUERIES.items()},
+}
+
+QUERIES: dict[str, Query] = {**VIEW_QUERIES, **REPORT_QUERIES, **MIRROR_QUERIES}
