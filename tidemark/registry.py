@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import ORDERS_AS_OF, TEST_THRESHOLDS
-from tidemark.plans import bi, mirror_queries, views
+from tidemark.plans import bi, mirror_queries, primitives, views
 from tidemark.sources.tables import load_mirror
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,4 +105,6 @@ MIRROR_QUERIES: dict[str, Query] = {
     **{name: over_folder(build) for name, build in mirror_queries.FOLDER_QUERIES.items()},
 }
 
-QUERIES: dict[str, Query] = {**VIEW_QUERIES, **REPORT_QUERIES, **MIRROR_QUERIES}
+PRIMITIVE_QUERIES: dict[str, Query] = {name: with_tables(build) for name, build in primitives.PRIMITIVES.items()}
+
+QUERIES: dict[str, Query] = {**VIEW_QUERIES, **REPORT_QUERIES, **MIRROR_QUERIES, **PRIMITIVE_QUERIES}
