@@ -51,7 +51,7 @@ OPS = st.lists(st.tuples(
     st.lists(st.sampled_from(COLS), unique=True)), min_size=1, max_size=25)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(ops=OPS, seed=st.integers(0, 99))
 def test_fold_equals_replay_in_any_split_and_order(spark, ops, seed):
     rows = make(ops)
@@ -93,13 +93,47 @@ def test_store_survives_a_failed_batch(spark, fresh):
 
 
 def test_untouched_buckets_are_not_rewritten(spark, fresh):
-    store = ChangeStore(spark, f"{fresh}/state", spark.createDataFrame([], SCHEMA).schema, COLS, buckets=8, mask="mask")
+    store = ChangeStore(spark, f"{fresh}/state", spark.createDataFrame([], SCHEMA).schema, COLS, buckets=8, mask="mask", parts=2)
     store.apply(spark.createDataFrame(ROWS, SCHEMA), 0)
     store.apply(spark.createDataFrame(make([("Customer", 1, "D", None, None, [])]), SCHEMA), 1)
     versions = store._pointer()[1]
     assert list(versions.values()).count(1) == 1 and 0 in versions.values()
 
 
+def test_streams_of_counts_sessions_and_deduplicated_changes(spark, fresh):
+    """Streamed counts, sessions and deduplication against the same operators on the whole table."""
+    import os
+    import shutil
+
+    from conftest import DATA
+    from pyspark.sql import functions as F
+    from tidemark.config import EVENTS_AS_OF
+    from tidemark.sources import schemas
+    from tidemark.sources.tables import load_changes, read_raw, stream_changes
+    from tidemark.streaming import windows
+    os.makedirs(f"{fresh}/feed")
+    for i in range(2):  # every change arrives twice
+        shutil.copy(f"{DATA}/events.parquet", f"{fresh}/feed/events-{i}.parquet")
+    log, events = load_changes(spark, DATA), read_raw(spark, DATA, "events")
+
+    def drain(frame, name):
+        (frame.writeStream.outputMode("append").format("parquet").option("path", f"{fresh}/{name}")
+         .option("checkpointLocation", f"{fresh}/{name}-cp").trigger(availableNow=True).start().awaitTermination())
+        return spark.read.schema(frame.schema).parquet(f"{fresh}/{name}")
+
+    both_files = stream_changes(spark, f"{fresh}/feed", files_per_trigger=2)
+    once = drain(changes.dedupe_feed(both_files, "40 days"), "once")
+    assert sorted(map(str, once.collect())) == sorted(map(str, log.collect()))
+    end = log.agg(F.max("ts")).first()[0]
+    counted = drain(windows.change_counts(stream_changes(spark, f"{fresh}/feed", 2)), "counts")
+    whole = windows.change_counts(log.union(log)).filter(F.col("WindowEnd") <= end - timedelta(hours=2))
+    assert sorted(map(str, counted.collect())) == sorted(map(str, whole.collect()))
+    src = spark.readStream.schema(schemas.EVENTS_IN).option("pathGlobFilter", "events-0*").parquet(f"{fresh}/feed")
+    found = {(r.user_id, r.SessionStart, r.Events) for r in drain(windows.session_stream(src), "sessions").collect()}
+    want = {(r.user_id, r.SessionStart, r.Events) for r in windows.sessions(events, EVENTS_AS_OF, 30).collect()}
+    assert found and found <= want and len(want) - len(found) < 10
+
+
 def test_empty_batch(spark, fresh):
     store = ChangeStore(spark, f"{fresh}/state", spark.createDataFrame([], SCHEMA).schema, COLS, mask="mask")
     store.apply(spark.createDataFrame([], SCHEMA), 0)
@@ -131,7 +165,7 @@ def test_stream_of_shuffled_files_equals_fold(spark, fresh):
 
 
 def test_history_versions(spark):
-    df = changes.history(spark.createDataFrame(ROWS, SCHEMA), COLS, chunks=4)
+    df = changes.history(spark.createDataFrame(ROWS, SCHEMA), COLS, buckets=4)
     rows = sorted(df.filter("key = 1").collect(), key=lambda r: r.seq)
     assert [r.valid_to for r in rows[:-1]] == [r.valid_from for r in rows[1:]] and rows[-1].is_current
     last = replay(ROWS)[("Customer", 1)]

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import frames
-from tidemark.plans.bi import rank_in_groups
 from tidemark.plans.primitives import distinct_per_group
 
 
@@ -25,6 +24,22 @@ def test_rank_global_with_heavy_ties(spark, rows):
         assert got.set_index("id").r.sort_index().tolist() == want.tolist()
 
 
+def test_rank_many_in_one_pass(spark, rows):
+    df = spark.createDataFrame(rows).withColumn("m", (F.col("v") / 7).cast("decimal(12,3)"))
+    got = frames.rank_many(df, [("v", "a", True), ("m", "d", False), ("o", "e", False)], buckets=32).toPandas().sort_values("id")
+    assert got.a.tolist() == rows.v.rank(method="min").astype(int).tolist()
+    assert got.d.tolist() == got.m.astype(float).rank(method="min", ascending=False).astype(int).tolist()
+    assert got.e.tolist() == rows.o.rank(method="min", ascending=False).astype(int).tolist()
+
+
+def test_buckets_are_balanced_and_monotone(spark):
+    df = spark.range(20000).withColumn("v", F.col("id") * F.col("id"))
+    got = frames.with_bucket(df, "v", "b", 64).groupBy("b").agg(F.count("*").alias("n"), F.min("v").alias("lo"),
+                                                                 F.max("v").alias("hi")).orderBy("b").collect()
+    assert len(got) == 64 and max(r.n for r in got) < 20000 / 64 * 8
+    assert all(a.hi < b.lo for a, b in zip(got, got[1:]))
+
+
 def test_rank_global_with_nulls_and_one_value(spark):
     df = spark.createDataFrame([(1, None), (2, 3), (3, 3), (4, 1)], "id int, v int")
     got = {r.id: r.r for r in frames.rank_global(df, "v", "r").collect()}
@@ -35,13 +50,13 @@ def test_rank_global_with_nulls_and_one_value(spark):
 
 
 def test_rank_in_groups(spark, rows):
-    got = rank_in_groups(spark.createDataFrame(rows), "k", "v", "r").toPandas().set_index("id").r.sort_index()
+    got = frames.rank_in_groups(spark.createDataFrame(rows), "k", "v", "r").toPandas().set_index("id").r.sort_index()
     want = rows.groupby("k").v.rank(method="min", ascending=False).astype(int)
     assert got.tolist() == want.tolist()
 
 
 @pytest.mark.parametrize("forward", [False, True])
-@pytest.mark.parametrize("chunks", [2, 7, 64])
+@pytest.mark.parametrize("chunks", [2, 8, 64])
 def test_neighbour_equals_shift(spark, rows, forward, chunks):
     got = frames.neighbour(spark.createDataFrame(rows), ["k"], ["o", "id"], F.col("v"), "p", forward, chunks).toPandas()
     ordered = rows.sort_values(["k", "o", "id"])
@@ -51,14 +66,14 @@ def test_neighbour_equals_shift(spark, rows, forward, chunks):
 
 def test_neighbour_keeps_null_values_apart_from_missing(spark):
     df = spark.createDataFrame([(1, 1, 10), (1, 2, None), (1, 3, 30)], "k int, o int, v int")
-    got = {r.o: r.p for r in frames.neighbour(df, ["k"], ["o"], F.col("v"), "p", chunks=2).collect()}
+    got = {r.o: r.p for r in frames.neighbour(df, ["k"], ["o"], F.col("v"), "p", buckets=2).collect()}
     assert got == {1: None, 2: 10, 3: None}
 
 
 def test_carry_forward(spark, rows):
     holes = rows.assign(v=[float(x) if i % 4 == 0 else None for i, x in enumerate(rows.v)])
     df = spark.createDataFrame(holes).withColumn("v", F.when(F.isnan("v"), None).otherwise(F.col("v")))
-    got = frames.carry_forward(df, ["k"], ["o", "id"], ["v"], 9).toPandas()
+    got = frames.ordered_pass(df, ["k"], ["o", "id"], fill=["v"], buckets=8).toPandas()
     want = holes.sort_values(["k", "o", "id"]).groupby("k").v.ffill().reindex(rows.index)
     pd.testing.assert_series_equal(got.set_index("id").v.sort_index(), want, check_names=False)
 
@@ -70,7 +85,7 @@ def test_dense_positions_on_text(spark):
 
 
 def test_quantile_scores(spark, rows):
-    got = frames.quantile_scores(spark.createDataFrame(rows), "v", "s").toPandas().set_index("id").s.sort_index()
+    got = frames.quantile_scores(spark.createDataFrame(rows), [("v", "s", True)]).toPandas().set_index("id").s.sort_index()
     want = (rows.v.rank(method="min").astype(int) - 1) * 5 // len(rows) + 1
     assert got.tolist() == want.tolist()
 

@@ -34,7 +34,7 @@ EVENTS_AS_OF = datetime(2024, 1, 31)
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings every job here relies on; anything already set by the cluster wins over nothing else."""
+    """A session with the settings every job here relies on."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

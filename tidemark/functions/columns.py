@@ -98,7 +98,7 @@ def margin_ratio(price: Column | str, cost: Column | str) -> Column:
 
 
 def line_total(qty: str = "OrderQty", price: str = "UnitPrice", discount: str = "UnitPriceDiscount") -> Column:
-    return F.col(qty) * F.col(price) * (F.lit(1) - F.col(discount))
+    return F.col(qty) * F.col(price) * (F.lit(1).cast("decimal(3,2)") - F.col(discount))
 
 
 def total_due() -> Column:

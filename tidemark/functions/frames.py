@@ -1,79 +1,189 @@
-"""Frame helpers: exact global ranks without a one-task sort, shares of a total, a calendar."""
+"""Frame helpers that keep ordered work distributed: exact ranks, scores and positions without a one-task sort,
+neighbouring rows and carried values without one task per key, shares of a total, a calendar.
+
+All ordered helpers cut the range of the ordering value into buckets. Where the cuts lie only affects balance, never
+results: equal values share a bucket and buckets follow the order of the values.
+"""
 
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.config import materialize
 from tidemark.functions.columns import at, fiscal_year, half_up, ratio, shift, week_of_year_sql
 
+_COMMON = "decimal(38,8)"  # holds whole numbers and money alike when several metrics are ranked in one pass
+
+
+def default_buckets(spark: SparkSession) -> int:
+    """Power of two, about four buckets per shuffle partition."""
+    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(8192, max(64, 1 << (wanted - 1).bit_length()))
+
 
 def cut_points(df: DataFrame, column: str, buckets: int) -> Column:
-    """About ``buckets`` values that split ``column`` evenly, as a scalar subquery.
+    """Up to ``buckets - 1`` sorted values of ``column`` that split it roughly evenly, as a scalar subquery.
 
-    Numbers and times use approximate percentiles. Other types use the values with the smallest hashes, a uniform
-    sample of fixed size. Cut points only balance work: results built on them are exact whatever they are.
+    A uniform sample of the distinct values: of all values whose hash falls in a slot, the one with the smallest
+    second hash. It combines map-side to one row per slot, depends on the data alone, and works for any ordered type.
     """
-    if isinstance(df.schema[column].dataType, (T.NumericType, T.DateType, T.TimestampType)):
-        step = [i / buckets for i in range(1, buckets)]
-        return df.agg(F.percentile_approx(column, step, buckets * 100)).scalar()
-    drawn = (df.select(F.col(column).alias("v"), F.xxhash64(column).alias("h")).filter(F.col("v").isNotNull())
-             .orderBy("h").limit(buckets * 8))
-    spaced = F.filter(F.sort_array(F.collect_list("v")), lambda v, i: i % 8 == 7)
-    return drawn.agg(spaced).scalar()
+    c = F.col(column)
+    slots = (df.filter(c.isNotNull()).groupBy(F.pmod(F.xxhash64(c), F.lit(buckets - 1)).alias("slot"))
+             .agg(F.min_by(c, F.xxhash64(c, F.lit(1))).alias("v")))
+    return slots.agg(F.sort_array(F.collect_list("v"))).scalar()
+
 
+def with_bucket(df: DataFrame, column: str, out: str, buckets: int, sample: DataFrame | None = None) -> DataFrame:
+    """Add the bucket number of ``column``: how many cut points lie below it, found by binary search. Nulls get -1."""
+    c = F.col(column)
+    cur = df.withColumn("_cuts", cut_points(df if sample is None else sample, column, buckets)).withColumn(out, F.lit(0))
+    step = buckets // 2
+    while step:
+        cur = cur.withColumn(out, F.when(F.get("_cuts", F.col(out) + (step - 1)) < c, F.col(out) + step)
+                             .otherwise(F.col(out)))
+        step //= 2
+    return cur.withColumn(out, F.when(c.isNull(), -1).otherwise(F.col(out))).drop("_cuts")
 
-def bucket_of(df: DataFrame, column: str, buckets: int) -> Column:
-    """Bucket number of a value: grows with the value, equal values share one, nulls get 0."""
-    cuts, c = cut_points(df, column, buckets), F.col(column)
-    return F.coalesce(F.array_position(F.sort_array(F.array_append(cuts, c)), c), F.lit(0))
 
+def _same(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in names.items()])
 
-def value_ranks(df: DataFrame, column: str, ascending: bool = False, buckets: int = 64) -> DataFrame:
-    """Exact RANK of every distinct value of ``column``: ``(value, value_rank)``.
 
-    RANK depends only on how many rows come before a value, so rows are first counted per value: a value shared by a
-    third of all rows becomes one row before anything is sorted. Distinct values are then cut into buckets of nearly
-    equal size; the running count is taken inside each bucket and shifted by the size of the buckets before it.
-    Nulls rank lowest.
+def value_ranks(df: DataFrame, columns: list[str], by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """Exact RANK of every distinct value, ascending and descending, per metric column and group:
+    ``(by..., metric, value, rank_asc, rank_desc)``.
+
+    RANK depends only on how many rows lie before a value, so rows are first counted per value: a value shared by a
+    third of all rows becomes one row before anything is sorted. The running count is taken inside each bucket and
+    shifted by the rows of the buckets before it. Nulls are the lowest values. Several columns are ranked in one pass.
     """
-    counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    placed = counts.withColumn("bucket", bucket_of(counts, "value", buckets))
-    order = F.col("value").asc() if ascending else F.col("value").desc()
-    bucket_order = F.col("bucket").asc() if ascending else F.col("bucket").desc()
-
-    sizes = placed.groupBy("bucket").agg(F.sum("n").alias("size"))
-    earlier = Window.orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)  # at most buckets + 1 rows
-    offsets = sizes.select("bucket", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (placed.withColumn("ahead", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-              .join(F.broadcast(offsets), "bucket"))
-    return ranked.select("value", (F.col("offset") + F.col("ahead") + 1).alias("value_rank"))
-
-
-def rank_global(df: DataFrame, order_col: str, out: str, buckets: int = 64, ascending: bool = False) -> DataFrame:
-    """Add the exact global RANK of ``order_col``. Pass a stored frame: it is read once per branch."""
-    ranks = value_ranks(df, order_col, ascending, buckets)
-    joined = df.join(ranks, df[order_col].eqNullSafe(ranks["value"]), "left")
-    return joined.select(*[df[c] for c in df.columns], ranks["value_rank"].alias(out))
-
-
-def quantile_scores(df: DataFrame, column: str, out: str, n: int = 5, ascending: bool = True,
-                    buckets: int = 64) -> DataFrame:
-    """Scores 1..n by global rank; equal values always share a score."""
+    by = by or []
+    buckets = buckets or default_buckets(df.sparkSession)
+    groups = [F.col(b).alias(f"_g{i}") for i, b in enumerate(by)]
+    names = [f"_g{i}" for i in range(len(by))]
+    if len(columns) == 1:
+        stacked = df.select(*groups, F.lit(0).alias("metric"), F.col(columns[0]).alias("value"))
+    else:
+        cells = [F.struct(F.lit(i).alias("metric"), F.col(c).cast(_COMMON).alias("value")) for i, c in enumerate(columns)]
+        stacked = df.select(*groups, F.inline(F.array(*cells)))
+    counts = stacked.groupBy(*names, "metric", "value").agg(F.count("*").alias("n"))
+    placed = with_bucket(counts, "value", "bucket", buckets, sample=stacked)
+
+    inside = (Window.partitionBy(*names, "metric", "bucket").orderBy("value")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    whole = Window.partitionBy(*names, "metric")
+    earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most ``buckets`` rows per group
+    sizes = placed.groupBy(*names, "metric", "bucket").agg(F.sum("n").alias("size"))
+    offsets = sizes.select(*[F.col(g).alias(f"{g}_") for g in names], F.col("metric").alias("metric_"),
+                           F.col("bucket").alias("bucket_"), F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"),
+                           F.sum("size").over(whole).alias("total"))
+    if not by:
+        offsets = F.broadcast(offsets)  # metrics x buckets rows at most
+    ahead = placed.withColumn("ahead", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    keys = {**{g: f"{g}_" for g in names}, "metric": "metric_", "bucket": "bucket_"}
+    joined = ahead.join(offsets, _same(ahead, offsets, keys))
+    before = F.col("offset") + F.col("ahead")
+    return joined.select(*[F.col(g).alias(b) for g, b in zip(names, by)], "metric", "value",
+                         (before + 1).alias("rank_asc"), (F.col("total") - before - F.col("n") + 1).alias("rank_desc"))
+
+
+def rank_many(df: DataFrame, specs: list[tuple[str, str, bool]], by: list[str] | None = None,
+              buckets: int | None = None) -> DataFrame:
+    """Add exact ranks: ``specs`` lists (column, output name, ascending). Pass a stored frame or a plain scan, since the
+    frame is read once for the ranks and once for the rows."""
+    by = by or []
+    columns = list(dict.fromkeys(c for c, _, _ in specs))
+    ranks = value_ranks(df, columns, by, buckets)
+    if len(columns) > 1:  # stored, or the filter per metric would run the whole pass once for each
+        ranks = materialize(ranks, "ranks")
+    cast = (lambda c: c) if len(columns) == 1 else (lambda c: c.cast(_COMMON))
+    out = df
+    for column, name, ascending in specs:
+        side = ranks.filter(F.col("metric") == columns.index(column)).select(
+            *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], F.col("value").alias("_value"),
+            F.col("rank_asc" if ascending else "rank_desc").alias(name))
+        cond = cast(out[column]).eqNullSafe(side["_value"])
+        for i, b in enumerate(by):
+            cond = cond & out[b].eqNullSafe(side[f"_by{i}"])
+        out = out.join(side, cond, "left").drop("_value", *[f"_by{i}" for i in range(len(by))])
+    return out
+
+
+def rank_global(df: DataFrame, order_col: str, out: str, ascending: bool = False, buckets: int | None = None) -> DataFrame:
+    return rank_many(df, [(order_col, out, ascending)], None, buckets)
+
+
+def rank_in_groups(df: DataFrame, group: str, metric: str, out: str, buckets: int | None = None) -> DataFrame:
+    """Descending RANK inside each group; a group of any size is sorted bucket by bucket."""
+    return rank_many(df, [(metric, out, False)], [group], buckets)
+
+
+def quantile_scores(df: DataFrame, specs: list[tuple[str, str, bool]], n: int = 5, buckets: int | None = None) -> DataFrame:
+    """Scores 1..n by global rank for (column, output name, ascending); equal values always share a score."""
     rows = df.agg(F.count("*")).scalar()
-    ranked = rank_global(df, column, "_rank", buckets, ascending)
-    score = F.call_function("div", (F.col("_rank") - 1) * n, rows) + 1
-    return ranked.withColumn(out, score).drop("_rank")
+    out = rank_many(df, [(c, name, asc) for c, name, asc in specs], None, buckets)
+    for _, name, _ in specs:
+        out = out.withColumn(name, F.call_function("div", (F.col(name) - 1) * n, rows) + 1)
+    return out
 
 
-def dense_positions(df: DataFrame, key: str, out: str, start: Column, buckets: int = 64) -> DataFrame:
+def dense_positions(df: DataFrame, key: str, out: str, start: Column, buckets: int | None = None) -> DataFrame:
     """Consecutive numbers from ``start`` + 1 in the order of a unique business key."""
-    return (rank_global(df, key, "_pos", buckets, ascending=True)
-            .withColumn(out, start + F.col("_pos")).drop("_pos"))
+    return rank_global(df, key, "_pos", True, buckets).withColumn(out, start + F.col("_pos")).drop("_pos")
+
+
+def ordered_pass(df: DataFrame, keys: list[str], order: list[str], fill: list[str] | None = None,
+                 lag: dict[str, Column] | None = None, lead: dict[str, Column] | None = None,
+                 buckets: int | None = None) -> DataFrame:
+    """Values of the previous row (``lag``), the next row (``lead``) and the latest earlier non-null value (``fill``, in
+    place) of the same key. ``order`` must identify a row within its key.
+
+    A plain window sends all rows of a key to one task. Here each key's rows are split into stretches of the first
+    order column; the window runs inside a stretch, and values that cross its edge come from the nearest other
+    stretches of the key, found among at most ``buckets`` rows per key.
+    """
+    fill, lag, lead = fill or [], lag or {}, lead or {}
+    buckets = buckets or default_buckets(df.sparkSession)
+    placed = with_bucket(df, order[0], "_chunk", buckets)
+    for i, value in enumerate([*lag.values(), *lead.values()]):
+        placed = placed.withColumn(f"_s{i}", F.struct(value.alias("v")))  # tells a null value from a missing row
+    lags = {name: f"_s{i}" for i, name in enumerate(lag)}
+    leads = {name: f"_s{i + len(lag)}" for i, name in enumerate(lead)}
+
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = placed.select(
+        "*", *[F.lag(s, 1).over(inside).alias(f"_in_{n}") for n, s in lags.items()],
+        *[F.lead(s, 1).over(inside).alias(f"_in_{n}") for n, s in leads.items()],
+        *[F.last(c, ignorenulls=True).over(so_far).alias(f"_in_{c}") for c in fill])
+    at_row = F.struct(*order)
+    edges = placed.groupBy(*keys, "_chunk").agg(
+        *[F.max_by(s, at_row).alias(f"_e_{n}") for n, s in lags.items()],
+        *[F.min_by(s, at_row).alias(f"_e_{n}") for n, s in leads.items()],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), at_row)).alias(f"_e_{c}") for c in fill])
+    across = Window.partitionBy(*keys).orderBy("_chunk")
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_kc"),
+        *[F.lag(f"_e_{n}", 1).over(across).alias(f"_c_{n}") for n in lags],
+        *[F.lead(f"_e_{n}", 1).over(across).alias(f"_c_{n}") for n in leads],
+        *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in fill])
+    joined = rows.join(carried, _same(rows, carried, {**{k: f"_k{i}" for i, k in enumerate(keys)}, "_chunk": "_kc"}), "left")
+    return joined.select(
+        *[F.coalesce(f"_in_{c}", f"_c_{c}").alias(c) if c in fill else rows[c] for c in df.columns],
+        *[F.coalesce(f"_in_{n}", f"_c_{n}")["v"].alias(n) for n in [*lags, *leads]])
+
+
+def neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, forward: bool = False,
+              buckets: int | None = None) -> DataFrame:
+    """Value of the previous (or next) row of the same key."""
+    side = {"lead" if forward else "lag": {out: value}}
+    return ordered_pass(df, keys, order, buckets=buckets, **side)
 
 
 def share_of_total(df: DataFrame, column: str, out: str, by: str | None = None, digits: int = 2) -> DataFrame:
@@ -116,45 +226,3 @@ def date_dim(spark: SparkSession, start: date | Column, as_of: datetime) -> Data
         flag(F.year(d) == F.year(now) - 1).alias("IsLastYear"),
         flag(same_year & (F.month(d) == F.month(now))).alias("IsCurrentMonth"),
     ).orderBy("Date")
-
-
-def neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, forward: bool = False,
-              chunks: int = 64) -> DataFrame:
-    """Value of the previous (or next) row of the same key; ``order`` must identify a row within its key.
-
-    A plain LAG sends all rows of a key to one task. Here a key's rows are split into stretches of the first order
-    column, LAG runs inside each stretch, and the edge of a stretch takes the last value of the nearest earlier stretch
-    of that key, found among at most ``chunks`` rows per key. The result is exact for any distribution of keys.
-    """
-    placed = df.withColumn("_chunk", bucket_of(df, order[0], chunks)).withColumn("_value", F.struct(value.alias("v")))
-    sort = [F.col(c).desc() if forward else F.col(c).asc() for c in order]
-    inside = F.lag("_value", 1).over(Window.partitionBy(*keys, "_chunk").orderBy(*sort))
-    rows = placed.withColumn("_inside", inside)
-    pick = F.min_by if forward else F.max_by
-    edges = placed.groupBy(*keys, "_chunk").agg(pick("_value", F.struct(*order)).alias("_edge"))
-    chunk_sort = F.col("_chunk").desc() if forward else F.col("_chunk").asc()
-    carry = F.lag("_edge", 1).over(Window.partitionBy(*keys).orderBy(chunk_sort))
-    carried = edges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
-                           carry.alias("_carry"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_chunk") == F.col("_k_chunk")]
-    joined = rows.join(carried, cond, "left")
-    return joined.select(*[rows[c] for c in df.columns], F.coalesce("_inside", "_carry")["v"].alias(out))
-
-
-def carry_forward(df: DataFrame, keys: list[str], order: list[str], columns: list[str], chunks: int = 64) -> DataFrame:
-    """Replace nulls by the latest earlier non-null value of the same key, with the same splitting as ``neighbour``."""
-    placed = df.withColumn("_chunk", bucket_of(df, order[0], chunks))
-    inside = (Window.partitionBy(*keys, "_chunk").orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = placed
-    for c in columns:
-        rows = rows.withColumn(f"_in_{c}", F.last(c, ignorenulls=True).over(inside))
-    position = F.struct(*order)
-    edges = placed.groupBy(*keys, "_chunk").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_e_{c}") for c in columns])
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = edges.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_chunk").alias("_k_chunk"),
-                           *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in columns])
-    cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_chunk") == F.col("_k_chunk")]
-    joined = rows.join(carried, cond, "left")
-    return joined.select(*[F.coalesce(f"_in_{c}", f"_c_{c}").alias(c) if c in columns else rows[c] for c in df.columns])

@@ -170,8 +170,9 @@ EDGES = [("SalesOrderDetail", "SalesOrderHeader", "SalesOrderID"), ("SalesOrderD
 
 
 def referential(tables: Tables, edges: list[tuple[str, str, str]] = EDGES) -> DataFrame:
-    """Rows of the first table without a partner in the second, per edge."""
-    parts = [tables[a].select(k).join(tables[b].select(k), k, "left_anti").agg(F.count("*").alias("Orphans"))
+    """Rows of the first table without a partner in the second, per edge. Partner keys are deduplicated map-side, so a
+    key held by very many partner rows costs one row in the join."""
+    parts = [tables[a].select(k).join(tables[b].select(k).distinct(), k, "left_anti").agg(F.count("*").alias("Orphans"))
              .select(F.lit(a).alias("FromTable"), F.lit(b).alias("ToTable"), F.lit(k).alias("KeyColumn"), "Orphans")
              for a, b, k in edges]
     return reduce(DataFrame.union, parts)

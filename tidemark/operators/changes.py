@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import at, is_active, is_deleted
-from tidemark.functions.frames import dense_positions, neighbour, carry_forward
+from tidemark.functions.frames import dense_positions, neighbour, ordered_pass
 from tidemark.sources import schemas
 
 KEY = ["table_name", "key"]
@@ -75,18 +75,18 @@ def dedupe_feed(changes: DataFrame, watermark: str | None = None) -> DataFrame:
     return changes.dropDuplicates(ident)
 
 
-def history(changes: DataFrame, columns: list[str], key: list[str] = KEY, chunks: int = 64) -> DataFrame:
+def history(changes: DataFrame, columns: list[str], key: list[str] = KEY, buckets: int | None = None) -> DataFrame:
     """Every version of every key with its validity interval; columns hold the value in force after the change."""
-    filled = carry_forward(changes.select(*key, "seq", "ts", "op", *columns), key, ["seq"], columns, chunks)
-    ended = neighbour(filled, key, ["seq"], F.col("ts"), "valid_to", forward=True, chunks=chunks)
-    return ended.select(*key, "seq", "op", *columns, F.col("ts").alias("valid_from"), "valid_to",
-                        F.col("valid_to").isNull().alias("is_current"))
+    versions = ordered_pass(changes.select(*key, "seq", "ts", "op", *columns), key, ["seq"], fill=columns,
+                            lead={"valid_to": F.col("ts")}, buckets=buckets)
+    return versions.select(*key, "seq", "op", *columns, F.col("ts").alias("valid_from"), "valid_to",
+                           F.col("valid_to").isNull().alias("is_current"))
 
 
-def price_history(changes: DataFrame, price: str = "set_value", key: list[str] = KEY, chunks: int = 64) -> DataFrame:
+def price_history(changes: DataFrame, price: str = "set_value", key: list[str] = KEY, buckets: int | None = None) -> DataFrame:
     """Price-setting changes with the price before each."""
     priced = changes.filter(F.col(price).isNotNull()).select(*key, "seq", "ts", price)
-    return neighbour(priced, key, ["seq"], F.col(price), "PreviousPrice", chunks=chunks)
+    return neighbour(priced, key, ["seq"], F.col(price), "PreviousPrice", buckets=buckets)
 
 
 # --- edits on whole tables ------------------------------------------------------------------------------------------
@@ -105,7 +105,8 @@ def insert_rows(df: DataFrame, rows: DataFrame, ts: datetime) -> DataFrame:
     return df.unionByName(new, allowMissingColumns=True)
 
 
-def assign_keys(rows: DataFrame, existing: DataFrame, key: str, business_key: str, buckets: int = 64) -> DataFrame:
+def assign_keys(rows: DataFrame, existing: DataFrame, key: str, business_key: str,
+                buckets: int | None = None) -> DataFrame:
     """Give new rows the integers after the highest existing key, in the order of a unique business key."""
     top = existing.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
     return dense_positions(rows.drop(key), business_key, key, top, buckets)

@@ -138,10 +138,10 @@ def usage_bands(usage: DataFrame, used: Column, size: Column) -> DataFrame:
         "HealthStatus", band("UsedPercent", [(90, "CRITICAL"), (75, "WARNING"), (50, "CAUTION")], "HEALTHY", op=">"))
 
 
-def wait_chains(log: DataFrame, chunks: int = 64) -> DataFrame:
+def wait_chains(log: DataFrame, buckets: int | None = None) -> DataFrame:
     """Each error event beside the event of the same user just before it, with the wait banded by impact."""
     prior = neighbour(log.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"],
-                      F.struct("event_id", "event_type", "ts"), "_p", chunks=chunks)
+                      F.struct("event_id", "event_type", "ts"), "_p", buckets=buckets)
     wait = datediff_sql("second", F.col("_p.ts"), F.col("ts"))
     return (prior.filter(F.col("event_type") == "error")
             .select(F.col("_p.event_id").alias("BlockingEvent"), F.col("event_id").alias("BlockedEvent"), "user_id",

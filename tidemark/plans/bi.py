@@ -16,7 +16,9 @@ from tidemark.functions.columns import (
     at, avg_int, band, concat_nullable, datediff_sql, days_old, flag_is, format_n0, half_up, int_div, is_active,
     is_deleted, line_total, margin_ratio, mean, pct_change, percent, ratio, shift, total_due,
 )
-from tidemark.functions.frames import bucket_of, date_dim, quantile_scores, rank_global, share_of_total
+from tidemark.functions.frames import (
+    date_dim, quantile_scores, rank_global, rank_in_groups, rank_many, share_of_total,
+)
 from tidemark.plans import views
 from tidemark.plans.views import customer_type, joined_orders, multiplied, weighted_mean, weighted_sum
 from tidemark.sources.tables import Tables
@@ -117,10 +119,8 @@ def rfm_base(tables: Tables, as_of: datetime, n: int = 5) -> DataFrame:
              .agg(F.max("OrderDate").alias("_last"), F.count("*").alias("Frequency"), F.sum("SubTotal").alias("Monetary"))
              .select("CustomerID", days_old("_last", as_of).alias("Recency"), "Frequency",
                      F.col("Monetary").cast("decimal(29,4)").alias("Monetary")))
-    scored = materialize(spend, "rfm")
-    scored = quantile_scores(scored, "Recency", "R_Score", n, ascending=False)
-    scored = quantile_scores(scored, "Frequency", "F_Score", n)
-    scored = quantile_scores(scored, "Monetary", "M_Score", n)
+    scored = quantile_scores(materialize(spend, "rfm"), [
+        ("Recency", "R_Score", False), ("Frequency", "F_Score", True), ("Monetary", "M_Score", True)], n)
     r, f, m = F.col("R_Score"), F.col("F_Score"), F.col("M_Score")
     label = (F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions").when((f >= 4) & (m >= 3), "Loyal")
              .when((r >= 4) & (f <= 2), "New").when((r <= 2) & (f >= 3), "At Risk")
@@ -149,9 +149,8 @@ def product_overview(tables: Tables, as_of: datetime, th: Thresholds = DEFAULTS)
         (F.col("TotalRevenue") > 0) | (F.col("ProductStatus") == "ACTIVE"))
     ranked = materialize(base, "product-overview")
     total = ranked.agg(F.sum("TotalRevenue")).scalar()
-    for metric, out in (("TotalRevenue", "RevenueRank"), ("TotalUnitsSold", "VolumeRank"),
-                        ("ProfitMarginPercent", "MarginRank")):
-        ranked = rank_global(ranked, metric, out)
+    ranked = rank_many(ranked, [("TotalRevenue", "RevenueRank", False), ("TotalUnitsSold", "VolumeRank", False),
+                                ("ProfitMarginPercent", "MarginRank", False)])
     return ranked.select(
         "ProductID", "ProductName", "ProductNumber", "Color", "Size", "CategoryName", "ProductStatus", "ListPrice",
         "StandardCost", "ProfitMarginPercent", "TimesSold", "TotalUnitsSold", "TotalRevenue", "AverageSellingPrice",
@@ -182,26 +181,6 @@ def category_analysis(tables: Tables, as_of: datetime, th: Thresholds = DEFAULTS
         half_up(F.col("_share") * 100, 2).alias("PortfolioContribution")).orderBy(F.desc("TotalRevenue"))
 
 
-def rank_in_groups(df: DataFrame, group: str, metric: str, out: str) -> DataFrame:
-    """RANK inside each group, counted per distinct value first so ties cost one row.
-
-    Groups may be few and huge (a category can hold a third of all products), so the sorted runs are the buckets of
-    the metric inside the group, not the whole group.
-    """
-    counts = df.groupBy(F.col(group).alias("g"), F.col(metric).alias("v")).agg(F.count("*").alias("n"))
-    placed = counts.withColumn("b", bucket_of(counts, "v", 32))
-    earlier = Window.partitionBy("g").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (placed.groupBy("g", "b").agg(F.sum("n").alias("size"))
-               .select("g", "b", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("o")))
-    inside = Window.partitionBy("g", "b").orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, -1)
-    ahead = placed.withColumn("a", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    ranks = (ahead.withColumnRenamed("g", "_g").withColumnRenamed("b", "_b")
-             .join(offsets, F.col("_g").eqNullSafe(F.col("g")) & (F.col("_b") == F.col("b")))
-             .select("_g", F.col("v").alias("_v"), (F.col("o") + F.col("a") + 1).alias("_r")))
-    joined = df.join(ranks, df[group].eqNullSafe(ranks["_g"]) & df[metric].eqNullSafe(ranks["_v"]), "left")
-    return joined.select(*[df[c] for c in df.columns], F.col("_r").alias(out))
-
-
 def top_products_by_category(tables: Tables, as_of: datetime, th: Thresholds = DEFAULTS) -> DataFrame:
     base = (views.product_performance(tables, as_of, th).filter(F.col("TotalRevenue") > 0)
             .select("CategoryName", "ProductID", "ProductName", "ProductNumber", "Color", "ListPrice", "TotalRevenue",

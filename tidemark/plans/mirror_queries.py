@@ -73,7 +73,7 @@ def update_from(tables: Tables, as_of: datetime) -> DataFrame:
 def dormant(tables: Tables) -> DataFrame:
     """Customers without a live order in the current year."""
     busy = tables["SalesOrderHeader"].filter(is_active() & (F.col("OrderDate") >= "2001-01-01"))
-    return tables["Customer"].select("CustomerID").join(busy.select("CustomerID"), "CustomerID", "left_anti")
+    return tables["Customer"].select("CustomerID").join(busy.select("CustomerID").distinct(), "CustomerID", "left_anti")
 
 
 _AUDIT = ["IsDeleted", "DeletedDate", "DeletedBy", "ModifiedDate"]

@@ -14,10 +14,11 @@ from tidemark.functions.columns import (
     is_deleted, line_total, matches_any, mean, pct_change, ratio, shift, total_due, value_map,
     week_of_year_sql,
 )
-from tidemark.functions.frames import date_dim, neighbour, quantile_scores, rank_global, share_of_total
+from tidemark.functions.frames import (
+    date_dim, neighbour, quantile_scores, rank_in_groups, rank_many, share_of_total,
+)
 from tidemark.operators import changes
 from tidemark.plans import views
-from tidemark.plans.bi import rank_in_groups
 from tidemark.sources.tables import Tables, append_rows, drop_views, table_inventory
 
 
@@ -114,7 +115,7 @@ def key_set(t: Tables, as_of: datetime) -> DataFrame:
 
 def exists(t: Tables, as_of: datetime) -> DataFrame:
     """Products with and without a line of 50 units, and whether they are the dearest of their category and model."""
-    big_lines = t["SalesOrderDetail"].filter(F.col("OrderQty") >= 50).select("ProductID")
+    big_lines = t["SalesOrderDetail"].filter(F.col("OrderQty") >= 50).select("ProductID").distinct()
     keys = ["ProductCategoryID", "ProductModelID"]
     goods = t["Product"].select("ProductID", *keys, "ListPrice")
     top = goods.groupBy(*keys).agg(F.max("ListPrice").alias("TopPrice"))
@@ -162,7 +163,7 @@ def full_outer(t: Tables, as_of: datetime) -> DataFrame:
 def theta_full_outer(t: Tables, as_of: datetime) -> DataFrame:
     """Size and amount of (customers ⟗ orders) × products, from per-table numbers only."""
     orders = t["SalesOrderHeader"]
-    idle = t["Customer"].join(orders.select("CustomerID"), "CustomerID", "left_anti").agg(F.count("*")).scalar()
+    idle = t["Customer"].join(orders.select("CustomerID").distinct(), "CustomerID", "left_anti").agg(F.count("*")).scalar()
     goods = t["Product"].agg(F.count("*")).scalar()
     left = F.col("n") + idle
     return (orders.agg(F.count("*").alias("n"), F.sum(total_due()).alias("due"))
@@ -245,7 +246,8 @@ def agg_global_having(t: Tables, as_of: datetime) -> DataFrame:
 
 def ranked_global(t: Tables, as_of: datetime) -> DataFrame:
     orders = t["SalesOrderHeader"].select("SalesOrderID", "SubTotal", "OrderDate")
-    return rank_global(rank_global(orders, "SubTotal", "AmountRank"), "OrderDate", "DateRank", ascending=True)
+    timed = orders.withColumn("_micros", F.unix_micros("OrderDate"))
+    return rank_many(timed, [("SubTotal", "AmountRank", False), ("_micros", "DateRank", True)]).drop("_micros")
 
 
 def ranked_partition(t: Tables, as_of: datetime) -> DataFrame:
@@ -297,7 +299,7 @@ def share(t: Tables, as_of: datetime) -> DataFrame:
 
 def ntile_bands(t: Tables, as_of: datetime) -> DataFrame:
     spend = t["SalesOrderHeader"].groupBy("CustomerID").agg(F.sum("SubTotal").cast("decimal(29,4)").alias("Spend"))
-    return quantile_scores(materialize(spend, "spend"), "Spend", "Quintile")
+    return quantile_scores(materialize(spend, "spend"), [("Spend", "Quintile", True)])
 
 
 def top_k(t: Tables, as_of: datetime) -> DataFrame:

@@ -76,7 +76,7 @@ ORDER_DETAIL = [
     "l_orderkey AS SalesOrderID",
     "l_partkey AS ProductID",
     "CAST(l_quantity AS INT) AS OrderQty",
-    "CAST(CAST(floor(round(l_extendedprice * 100) * 100 / l_quantity) AS DECIMAL(14,0))"
+    "CAST(CAST(floor(floor(l_extendedprice * 100 + 0.5) * 100 / l_quantity) AS DECIMAL(14,0))"
     " * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(19,4)) AS UnitPrice",
     "CAST(l_discount AS DECIMAL(4,2)) AS UnitPriceDiscount",
 ]

@@ -22,12 +22,17 @@ _POINTER = "batch long, bucket int, version long"
 
 
 class ChangeStore:
-    """Folded state of one feed."""
+    """Folded state of one feed.
+
+    ``buckets`` is fixed for the life of a store: it sets how finely a batch can touch the state, so pick it by the
+    size the state will reach (about a gigabyte per bucket). ``parts`` splits the rewriting of one bucket over that
+    many tasks and files and may change at any time.
+    """
 
     def __init__(self, spark: SparkSession, state_dir: str, changes_schema: T.StructType, columns: list[str],
-                 key: list[str] = KEY, buckets: int = 64, mask: str | None = None):
+                 key: list[str] = KEY, buckets: int = 64, mask: str | None = None, parts: int = 1):
         self.spark, self.dir, self.columns, self.key, self.buckets = spark, state_dir.rstrip("/"), columns, key, buckets
-        self.mask = mask
+        self.mask, self.parts = mask, parts
         empty = spark.createDataFrame([], changes_schema)
         self.schema = fold_changes(empty, columns, key, mask).schema
 
@@ -67,8 +72,11 @@ class ChangeStore:
             touched = [r.bucket for r in deltas.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
             if touched:
                 prior = self._read({b: versions[b] for b in touched if b in versions}).select("*", place)
-                both = prior.unionByName(deltas).repartition(min(len(touched), self.buckets), "bucket")
-                merged = merge_deltas(both, self.columns, ["bucket", *self.key])
+                part = F.pmod(F.xxhash64(F.lit("part"), *self.key), F.lit(self.parts)).alias("part")
+                both = prior.unionByName(deltas).select("*", part)
+                # one shuffle serves the merge and the files: rows of a bucket part meet in one task
+                placed = both.repartition(len(touched) * self.parts, "bucket", "part")
+                merged = merge_deltas(placed, self.columns, ["bucket", "part", *self.key]).drop("part")
                 merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.dir}/data/version={batch_id}")
             versions = {**versions, **{b: batch_id for b in touched}}
             rows = [(batch_id, b, v) for b, v in sorted(versions.items())]
