@@ -55,6 +55,14 @@ def test_rank_in_groups(spark, rows):
     assert got.tolist() == want.tolist()
 
 
+def test_null_keys_form_a_group(spark):
+    df = spark.createDataFrame([(None, 1, 10), (None, 2, 20), (1, 1, 5), (None, 3, 30)], "k int, o int, v int")
+    got = {(r.k, r.o): r.p for r in frames.neighbour(df, ["k"], ["o"], F.col("v"), "p", buckets=2).collect()}
+    assert got == {(None, 1): None, (None, 2): 10, (None, 3): 20, (1, 1): None}
+    ranks = {(r.k, r.o): r.r for r in frames.rank_in_groups(df, "k", "v", "r", buckets=2).collect()}
+    assert ranks == {(None, 3): 1, (None, 2): 2, (None, 1): 3, (1, 1): 1}
+
+
 @pytest.mark.parametrize("forward", [False, True])
 @pytest.mark.parametrize("chunks", [2, 8, 64])
 def test_neighbour_equals_shift(spark, rows, forward, chunks):

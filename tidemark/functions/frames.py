@@ -8,11 +8,9 @@ results: equal values share a bucket and buckets follow the order of the values.
 from __future__ import annotations
 
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.config import materialize
 from tidemark.functions.columns import at, fiscal_year, half_up, ratio, shift, week_of_year_sql
@@ -50,10 +48,6 @@ def with_bucket(df: DataFrame, column: str, out: str, buckets: int, sample: Data
     return cur.withColumn(out, F.when(c.isNull(), -1).otherwise(F.col(out))).drop("_cuts")
 
 
-def _same(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in names.items()])
-
-
 def value_ranks(df: DataFrame, columns: list[str], by: list[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Exact RANK of every distinct value, ascending and descending, per metric column and group:
     ``(by..., metric, value, rank_asc, rank_desc)``.
@@ -64,8 +58,9 @@ def value_ranks(df: DataFrame, columns: list[str], by: list[str] | None = None,
     """
     by = by or []
     buckets = buckets or default_buckets(df.sparkSession)
-    groups = [F.col(b).alias(f"_g{i}") for i, b in enumerate(by)]
-    names = [f"_g{i}" for i in range(len(by))]
+    # groups travel as one struct: null members compare equal there, so plain equality keeps the partitioning
+    groups = [F.struct(*by).alias("g")] if by else []
+    names = ["g"] if by else []
     if len(columns) == 1:
         stacked = df.select(*groups, F.lit(0).alias("metric"), F.col(columns[0]).alias("value"))
     else:
@@ -74,22 +69,19 @@ def value_ranks(df: DataFrame, columns: list[str], by: list[str] | None = None,
     counts = stacked.groupBy(*names, "metric", "value").agg(F.count("*").alias("n"))
     placed = with_bucket(counts, "value", "bucket", buckets, sample=stacked)
 
-    inside = (Window.partitionBy(*names, "metric", "bucket").orderBy("value")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    cell = [*names, "metric", "bucket"]
+    inside = Window.partitionBy(*cell).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*names, "metric")
     earlier = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most ``buckets`` rows per group
-    sizes = placed.groupBy(*names, "metric", "bucket").agg(F.sum("n").alias("size"))
-    offsets = sizes.select(*[F.col(g).alias(f"{g}_") for g in names], F.col("metric").alias("metric_"),
-                           F.col("bucket").alias("bucket_"), F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"),
-                           F.sum("size").over(whole).alias("total"))
+    offsets = placed.groupBy(*cell).agg(F.sum("n").alias("size")).select(
+        *cell, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"), F.sum("size").over(whole).alias("total"))
     if not by:
         offsets = F.broadcast(offsets)  # metrics x buckets rows at most
     ahead = placed.withColumn("ahead", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    keys = {**{g: f"{g}_" for g in names}, "metric": "metric_", "bucket": "bucket_"}
-    joined = ahead.join(offsets, _same(ahead, offsets, keys))
     before = F.col("offset") + F.col("ahead")
-    return joined.select(*[F.col(g).alias(b) for g, b in zip(names, by)], "metric", "value",
-                         (before + 1).alias("rank_asc"), (F.col("total") - before - F.col("n") + 1).alias("rank_desc"))
+    return ahead.join(offsets, cell).select(
+        *[F.col("g")[b].alias(b) for b in by], "metric", "value", (before + 1).alias("rank_asc"),
+        (F.col("total") - before - F.col("n") + 1).alias("rank_desc"))
 
 
 def rank_many(df: DataFrame, specs: list[tuple[str, str, bool]], by: list[str] | None = None,
@@ -143,40 +135,46 @@ def ordered_pass(df: DataFrame, keys: list[str], order: list[str], fill: list[st
     """Values of the previous row (``lag``), the next row (``lead``) and the latest earlier non-null value (``fill``, in
     place) of the same key. ``order`` must identify a row within its key.
 
-    A plain window sends all rows of a key to one task. Here each key's rows are split into stretches of the first
-    order column; the window runs inside a stretch, and values that cross its edge come from the nearest other
-    stretches of the key, found among at most ``buckets`` rows per key.
+    A plain window sends all rows of a key to one task. Here the rows of every key that holds more than one part in
+    ``buckets`` of all rows are split into stretches of the first order column; the window runs inside a stretch, and
+    values that cross its edge come from the nearest other stretches of the key, found among at most ``buckets`` rows
+    per key. All other keys are one stretch each.
     """
     fill, lag, lead = fill or [], lag or {}, lead or {}
     buckets = buckets or default_buckets(df.sparkSession)
-    placed = with_bucket(df, order[0], "_chunk", buckets)
-    for i, value in enumerate([*lag.values(), *lead.values()]):
-        placed = placed.withColumn(f"_s{i}", F.struct(value.alias("v")))  # tells a null value from a missing row
-    lags = {name: f"_s{i}" for i, name in enumerate(lag)}
-    leads = {name: f"_s{i + len(lag)}" for i, name in enumerate(lead)}
-
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    # keys travel as one struct: null members compare equal there, so plain equality keeps the window's partitioning
+    packed = df.select(F.struct(*keys).alias("_key"), *[c for c in df.columns if c not in keys])
+    total = packed.agg(F.count("*")).scalar()
+    heavy = (packed.groupBy("_key").agg(F.count("*").alias("_n")).filter(F.col("_n") * buckets > total)
+             .select("_key", F.lit(True).alias("_heavy")))
+    marked = packed.join(F.broadcast(heavy), "_key", "left")  # fewer than ``buckets`` keys can be that heavy
+    placed = with_bucket(marked, order[0], "_chunk", buckets, sample=packed).withColumn(
+        "_chunk", F.when(F.col("_heavy"), F.col("_chunk")).otherwise(0))
+    inside = Window.partitionBy("_key", "_chunk").orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = placed.select(
-        "*", *[F.lag(s, 1).over(inside).alias(f"_in_{n}") for n, s in lags.items()],
-        *[F.lead(s, 1).over(inside).alias(f"_in_{n}") for n, s in leads.items()],
+        "*", *([F.lag(F.lit(1), 1).over(inside).isNull().alias("_first")] if lag else []),
+        *([F.lead(F.lit(1), 1).over(inside).isNull().alias("_last")] if lead else []),
+        *[F.lag(v, 1).over(inside).alias(f"_in_{n}") for n, v in lag.items()],
+        *[F.lead(v, 1).over(inside).alias(f"_in_{n}") for n, v in lead.items()],
         *[F.last(c, ignorenulls=True).over(so_far).alias(f"_in_{c}") for c in fill])
-    at_row = F.struct(*order)
-    edges = placed.groupBy(*keys, "_chunk").agg(
-        *[F.max_by(s, at_row).alias(f"_e_{n}") for n, s in lags.items()],
-        *[F.min_by(s, at_row).alias(f"_e_{n}") for n, s in leads.items()],
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), at_row)).alias(f"_e_{c}") for c in fill])
-    across = Window.partitionBy(*keys).orderBy("_chunk")
+    # a single order column keeps the aggregation buffers primitive, hence hashed rather than sorted
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    edges = placed.filter("_heavy").groupBy("_key", "_chunk").agg(
+        *[F.max_by(v, place).alias(f"_e_{n}") for n, v in lag.items()],
+        *[F.min_by(v, place).alias(f"_e_{n}") for n, v in lead.items()],
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_e_{c}") for c in fill])
+    across = Window.partitionBy("_key").orderBy("_chunk")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_chunk").alias("_kc"),
-        *[F.lag(f"_e_{n}", 1).over(across).alias(f"_c_{n}") for n in lags],
-        *[F.lead(f"_e_{n}", 1).over(across).alias(f"_c_{n}") for n in leads],
+        "_key", "_chunk", *[F.lag(f"_e_{n}", 1).over(across).alias(f"_c_{n}") for n in lag],
+        *[F.lead(f"_e_{n}", 1).over(across).alias(f"_c_{n}") for n in lead],
         *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in fill])
-    joined = rows.join(carried, _same(rows, carried, {**{k: f"_k{i}" for i, k in enumerate(keys)}, "_chunk": "_kc"}), "left")
-    return joined.select(
-        *[F.coalesce(f"_in_{c}", f"_c_{c}").alias(c) if c in fill else rows[c] for c in df.columns],
-        *[F.coalesce(f"_in_{n}", f"_c_{n}")["v"].alias(n) for n in [*lags, *leads]])
+    kept = [F.col("_key")[c].alias(c) if c in keys
+            else F.coalesce(f"_in_{c}", f"_c_{c}").alias(c) if c in fill else F.col(c) for c in df.columns]
+    return rows.join(carried, ["_key", "_chunk"], "left").select(
+        *kept, *[F.when(F.col("_first"), F.col(f"_c_{n}")).otherwise(F.col(f"_in_{n}")).alias(n) for n in lag],
+        *[F.when(F.col("_last"), F.col(f"_c_{n}")).otherwise(F.col(f"_in_{n}")).alias(n) for n in lead])
 
 
 def neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, forward: bool = False,

@@ -3,7 +3,7 @@
 from tidemark.oracle.base import (
     DUE, LINE, NOW, avg, avgi, big, dd, div, gone, growth, live, mirror_sql, pct, rnd, ts, usd,
 )
-from tidemark.oracle.views import C360, CAT, DQ, KPI, LTV, ORDERS, PERF, TREND
+from tidemark.oracle.views import C360, CAT, CAT_FIXED, DQ, KPI, LTV, ORDERS, PERF, TREND, TREND_FIXED
 
 KEPT = "o.IsDeleted = FALSE"
 M1, M2, Y1, Y2 = (f"({NOW} - INTERVAL {x})" for x in ("1 MONTH", "2 MONTH", "1 YEAR", "2 YEAR"))
@@ -44,6 +44,26 @@ SELECT CASE WHEN o.OnlineOrderFlag THEN 'Online' ELSE 'Offline' END AS SalesChan
 FROM m_order o JOIN m_line l USING (SalesOrderID) WHERE {KEPT} AND o.OrderDate >= {Y1} GROUP BY 1"""
 
 
+# once-per-order forms: header amounts from the orders alone, volumes from the lines
+HAS_LINES = "EXISTS (SELECT 1 FROM m_line l WHERE l.SalesOrderID = o.SalesOrderID)"
+
+
+def once(group: str, heads: str, volumes: str, since: str) -> str:
+    keep = f"{KEPT} AND o.OrderDate >= {since}"
+    return f"""SELECT * FROM (SELECT {group} AS g, {heads} FROM m_order o WHERE {keep} AND {HAS_LINES} GROUP BY 1)
+      JOIN (SELECT {group} AS g, {volumes} FROM m_order o JOIN m_line l USING (SalesOrderID) WHERE {keep} GROUP BY 1) USING (g)"""
+
+
+_HEADS = f"count(*) AS n, count(DISTINCT o.CustomerID) AS c, sum({DUE}) AS due, {avg(DUE)} AS aov"
+MONTHS_ONCE = "SELECT g AS m, * FROM (" + once(
+    "date_trunc('month', o.OrderDate)", f"sum(o.SubTotal) AS rev, sum(o.TaxAmt) AS tax, sum(o.Freight) AS ship, {_HEADS}",
+    "sum(l.OrderQty) AS u", Y2) + ")"
+DAYS_ONCE = "SELECT g AS d, * FROM (" + once("date_trunc('day', o.OrderDate)", _HEADS, "sum(l.OrderQty) AS u", f"{NOW} - INTERVAL 90 DAY") + ")"
+CHANNEL_ONCE = "SELECT g AS SalesChannel, * FROM (" + once(
+    "CASE WHEN o.OnlineOrderFlag THEN 'Online' ELSE 'Offline' END", f"{_HEADS}, {avgi(dd('o.OrderDate', 'o.ShipDate'))} AS ship",
+    f"sum(l.OrderQty) AS u, {avgi('l.OrderQty')} AS q, {avg('l.UnitPriceDiscount')} AS disc", Y1) + ")"
+
+
 def n0(x: str) -> str:
     return f"format('{{:,}}', CAST(round(CAST({x} AS DECIMAL(28,10)), 0) AS BIGINT))"
 
@@ -57,6 +77,42 @@ _trend = "CASE WHEN {0} >= {1} THEN 'Positive' ELSE 'Negative' END"
 _health = (f"{div('ActiveProducts', 'TotalProducts')} * 50 + least(AverageMarginPercent / 100, 1.0::DOUBLE) * 30"
            f" + {div('revenue', 'sum(revenue) OVER ()')} * 20")
 
+_MONTHLY = f"""
+      SELECT {big('year(m)')} AS OrderYear, {big('month(m)')} AS OrderMonth, {ts('m')} AS MonthYear, strftime(m, '%B %Y') AS MonthName,
+        {usd('rev')} AS Revenue, {usd('tax')} AS Tax, {usd('ship')} AS Shipping, {usd('due')} AS GrandTotal, n AS OrderCount,
+        c AS UniqueCustomers, {big('u')} AS TotalUnits, aov AS AverageOrderValue, {div('rev', 'u')} AS RevenuePerUnit,
+        {usd('lag(due, 1) OVER (ORDER BY m)')} AS PreviousMonthRevenue, {usd('lag(due, 12) OVER (ORDER BY m)')} AS SameMonthLastYearRevenue
+      FROM t"""
+
+_CATEGORY = f"""
+      SELECT CategoryName, {big('TotalProducts')} AS TotalProducts, {big('ActiveProducts')} AS ActiveProducts,
+        {big('DiscontinuedProducts')} AS DiscontinuedProducts, {usd('revenue')} AS TotalRevenue, {big('units')} AS TotalUnitsSold,
+        AverageProductPrice, {usd('MinPrice')} AS MinPrice, {usd('MaxPrice')} AS MaxPrice, AverageMarginPercent,
+        {big('customers')} AS UniqueCustomers, h AS CategoryHealthScore, {rnd(div('revenue', 'TotalProducts'))} AS RevenuePerProduct,
+        {big('units // TotalProducts')} AS UnitsPerProduct, {rnd(div('revenue', 'customers'))} AS RevenuePerCustomer,
+        rank() OVER (ORDER BY revenue DESC) AS RevenueRank, rank() OVER (ORDER BY h DESC) AS HealthRank,
+        {pct('revenue', 'sum(revenue) OVER ()')} AS PortfolioContribution
+      FROM (SELECT *, {rnd(_health)} AS h FROM cat)"""
+
+_SALES = f"""
+      SELECT {big('year(MonthYear)')} AS OrderYear, {big('month(MonthYear)')} AS OrderMonth, {ts('MonthYear')} AS MonthYear, TotalOrders,
+        UniqueCustomers, UniqueProductsSold, {usd('TotalRevenue')} AS TotalRevenue, AverageOrderValue, {big('TotalQuantitySold')} AS TotalQuantitySold,
+        {usd('GrandTotal')} AS GrandTotal, {growth('TotalRevenue', 'p')} AS MoM_Growth_Percent, {growth('TotalRevenue', 'y')} AS YoY_Growth_Percent,
+        CASE WHEN TotalRevenue >= p THEN 'Positive' ELSE 'Negative' END AS MoM_Trend, {usd('ytd')} AS YTD_Revenue
+      FROM (SELECT *, lag(TotalRevenue) OVER (ORDER BY MonthYear) AS p, lag(TotalRevenue, 12) OVER (ORDER BY MonthYear) AS y,
+              sum(TotalRevenue) OVER (PARTITION BY year(MonthYear) ORDER BY MonthYear ROWS UNBOUNDED PRECEDING) AS ytd FROM t)"""
+
+_DAILY = f"""
+      SELECT {ts('d')} AS OrderDate, dayname(d) AS DayOfWeek, n AS OrderCount, c AS UniqueCustomers, {usd('due')} AS DailyRevenue, aov AS AvgOrderValue,
+        {big('u')} AS TotalUnits, {usd('lag(due, 1) OVER (ORDER BY d)')} AS PreviousDayRevenue, {usd('lag(due, 7) OVER (ORDER BY d)')} AS SameDayLastWeekRevenue,
+        CASE WHEN CAST(due AS DOUBLE) >= usual * 1.5::DOUBLE THEN 'High' WHEN CAST(due AS DOUBLE) >= usual * 0.8::DOUBLE THEN 'Normal' ELSE 'Low' END AS DayPerformance
+      FROM t, (SELECT {avg('due')} AS usual FROM t)"""
+
+_CHANNEL = f"""
+      SELECT SalesChannel, n AS OrderCount, c AS UniqueCustomers, {usd('due')} AS TotalRevenue, aov AS AvgOrderValue, {big('u')} AS TotalUnits,
+        q AS AvgQuantityPerOrder, disc AS AvgDiscountRate, ship AS AvgShippingDays, {pct('n', 'sum(n) OVER ()')} AS OrderShare,
+        {pct('due', 'sum(due) OVER ()')} AS RevenueShare FROM t"""
+
 SQL = {
     "exec_kpi": mirror_sql(f"""
       SELECT {usd('r1 * greatest(p, 1)')} AS Revenue_ThisMonth, {usd('r2 * greatest(p, 1)')} AS Revenue_LastMonth,
@@ -70,12 +126,8 @@ SQL = {
         (SELECT count(*) FILTER (IsDeleted = FALSE AND ModifiedDate >= {M1}) AS cn, count(*) FILTER (IsDeleted = FALSE) AS cl,
               count(*) FILTER (IsDeleted = TRUE) AS cg FROM m_customer),
         (SELECT count(*) AS p, count(*) FILTER (NOT IsDeleted) AS pl, count(*) FILTER (IsDeleted) AS pg FROM m_product)"""),
-    "monthly_revenue_trend": mirror_sql(f"""
-      SELECT {big('year(m)')} AS OrderYear, {big('month(m)')} AS OrderMonth, {ts('m')} AS MonthYear, strftime(m, '%B %Y') AS MonthName,
-        {usd('rev')} AS Revenue, {usd('tax')} AS Tax, {usd('ship')} AS Shipping, {usd('due')} AS GrandTotal, n AS OrderCount,
-        c AS UniqueCustomers, {big('u')} AS TotalUnits, aov AS AverageOrderValue, {div('rev', 'u')} AS RevenuePerUnit,
-        {usd('lag(due, 1) OVER (ORDER BY m)')} AS PreviousMonthRevenue, {usd('lag(due, 12) OVER (ORDER BY m)')} AS SameMonthLastYearRevenue
-      FROM t""", t=MONTHS),
+    "monthly_revenue_trend": mirror_sql(_MONTHLY, t=MONTHS),
+    "monthly_revenue_trend_corrected": mirror_sql(_MONTHLY, t=MONTHS_ONCE),
     "segment_overview": mirror_sql(f"""
       SELECT CustomerSegment, count(*) AS CustomerCount, {usd('sum(TotalRevenue)')} AS SegmentRevenue, {avg('TotalRevenue')} AS AvgRevenuePerCustomer,
         {avgi('TotalOrders')} AS AvgOrdersPerCustomer, {avg('round(CAST(AverageOrderValue AS DECIMAL(28,10)), 4)')} AS AvgOrderValue,
@@ -105,15 +157,8 @@ SQL = {
         rank() OVER (ORDER BY TotalUnitsSold DESC) AS VolumeRank, rank() OVER (ORDER BY ProfitMarginPercent DESC) AS MarginRank,
         {pct('TotalRevenue', 'sum(TotalRevenue) OVER ()')} AS RevenueContributionPercent
       FROM perf WHERE TotalRevenue > 0 OR ProductStatus = 'ACTIVE'""", perf=PERF),
-    "category_analysis": mirror_sql(f"""
-      SELECT CategoryName, {big('TotalProducts')} AS TotalProducts, {big('ActiveProducts')} AS ActiveProducts,
-        {big('DiscontinuedProducts')} AS DiscontinuedProducts, {usd('revenue')} AS TotalRevenue, {big('units')} AS TotalUnitsSold,
-        AverageProductPrice, {usd('MinPrice')} AS MinPrice, {usd('MaxPrice')} AS MaxPrice, AverageMarginPercent,
-        {big('customers')} AS UniqueCustomers, h AS CategoryHealthScore, {rnd(div('revenue', 'TotalProducts'))} AS RevenuePerProduct,
-        {big('units // TotalProducts')} AS UnitsPerProduct, {rnd(div('revenue', 'customers'))} AS RevenuePerCustomer,
-        rank() OVER (ORDER BY revenue DESC) AS RevenueRank, rank() OVER (ORDER BY h DESC) AS HealthRank,
-        {pct('revenue', 'sum(revenue) OVER ()')} AS PortfolioContribution
-      FROM (SELECT *, {rnd(_health)} AS h FROM cat)""", cat=CAT),
+    "category_analysis": mirror_sql(_CATEGORY, cat=CAT),
+    "category_analysis_corrected": mirror_sql(_CATEGORY, cat=CAT_FIXED),
     "top_products_by_category": mirror_sql(f"""
       SELECT CategoryName, ProductID, ProductName, ProductNumber, Color, {usd('ListPrice')} AS ListPrice, {usd('TotalRevenue')} AS TotalRevenue,
         {big('TotalUnitsSold')} AS TotalUnitsSold, {usd('ProfitMarginPercent')} AS ProfitMarginPercent, PerformanceCategory, ProductStatus,
@@ -128,13 +173,8 @@ SQL = {
              WHEN margin >= 30 THEN 'Question Marks' ELSE 'Dogs' END AS BCGClassification
       FROM (SELECT CategoryName, ProductStatus, count(*) n, sum(TotalRevenue) rev, {avg('ListPrice')} price,
               {avg('ProfitMarginPercent')} margin, sum(TotalUnitsSold) u FROM perf GROUP BY 1, 2)""", perf=PERF),
-    "sales_performance": mirror_sql(f"""
-      SELECT {big('year(MonthYear)')} AS OrderYear, {big('month(MonthYear)')} AS OrderMonth, {ts('MonthYear')} AS MonthYear, TotalOrders,
-        UniqueCustomers, UniqueProductsSold, {usd('TotalRevenue')} AS TotalRevenue, AverageOrderValue, {big('TotalQuantitySold')} AS TotalQuantitySold,
-        {usd('GrandTotal')} AS GrandTotal, {growth('TotalRevenue', 'p')} AS MoM_Growth_Percent, {growth('TotalRevenue', 'y')} AS YoY_Growth_Percent,
-        CASE WHEN TotalRevenue >= p THEN 'Positive' ELSE 'Negative' END AS MoM_Trend, {usd('ytd')} AS YTD_Revenue
-      FROM (SELECT *, lag(TotalRevenue) OVER (ORDER BY MonthYear) AS p, lag(TotalRevenue, 12) OVER (ORDER BY MonthYear) AS y,
-              sum(TotalRevenue) OVER (PARTITION BY year(MonthYear) ORDER BY MonthYear ROWS UNBOUNDED PRECEDING) AS ytd FROM t)""", t=TREND),
+    "sales_performance": mirror_sql(_SALES, t=TREND),
+    "sales_performance_corrected": mirror_sql(_SALES, t=TREND_FIXED),
     "order_status": mirror_sql(f"""
       SELECT OrderStatus, n AS OrderCount, {usd('rev')} AS TotalRevenue, aov AS AvgOrderValue, items AS AvgItemsPerOrder, qty AS AvgQuantityPerOrder,
         sd AS AvgDaysToShip, ok AS OnTimeOrders, late AS LateOrders, od AS OverdueOrders, lg AS LargeOrders, md AS MediumOrders, sm AS SmallOrders,
@@ -144,15 +184,10 @@ SQL = {
         count(*) FILTER (DeliveryPerformance = 'OVERDUE') od, count(*) FILTER (OrderSize = 'LARGE') lg, count(*) FILTER (OrderSize = 'MEDIUM') md,
         count(*) FILTER (OrderSize = 'SMALL') sm, count(*) FILTER (OrderType = 'B2B') b2b, count(*) FILTER (OrderType = 'B2C') b2c
         FROM oa GROUP BY 1)""", oa=ORDERS),
-    "daily_sales": mirror_sql(f"""
-      SELECT {ts('d')} AS OrderDate, dayname(d) AS DayOfWeek, n AS OrderCount, c AS UniqueCustomers, {usd('due')} AS DailyRevenue, aov AS AvgOrderValue,
-        {big('u')} AS TotalUnits, {usd('lag(due, 1) OVER (ORDER BY d)')} AS PreviousDayRevenue, {usd('lag(due, 7) OVER (ORDER BY d)')} AS SameDayLastWeekRevenue,
-        CASE WHEN CAST(due AS DOUBLE) >= usual * 1.5::DOUBLE THEN 'High' WHEN CAST(due AS DOUBLE) >= usual * 0.8::DOUBLE THEN 'Normal' ELSE 'Low' END AS DayPerformance
-      FROM t, (SELECT {avg('due')} AS usual FROM t)""", t=DAYS),
-    "channel_performance": mirror_sql(f"""
-      SELECT SalesChannel, n AS OrderCount, c AS UniqueCustomers, {usd('due')} AS TotalRevenue, aov AS AvgOrderValue, {big('u')} AS TotalUnits,
-        q AS AvgQuantityPerOrder, disc AS AvgDiscountRate, ship AS AvgShippingDays, {pct('n', 'sum(n) OVER ()')} AS OrderShare,
-        {pct('due', 'sum(due) OVER ()')} AS RevenueShare FROM t""", t=CHANNEL),
+    "daily_sales": mirror_sql(_DAILY, t=DAYS),
+    "daily_sales_corrected": mirror_sql(_DAILY, t=DAYS_ONCE),
+    "channel_performance": mirror_sql(_CHANNEL, t=CHANNEL),
+    "channel_performance_corrected": mirror_sql(_CHANNEL, t=CHANNEL_ONCE),
     "dq_scores": mirror_sql(f"""
       SELECT TableName, TotalRecords, SoftDeletedRecords, {pct('SoftDeletedRecords', 'TotalRecords')} AS SoftDeletePercent, MissingEmailRecords,
         MissingPhoneRecords, AvgDaysOld, {rnd(_q)} AS DataQualityScore,

@@ -1,6 +1,6 @@
 """Reference SQL for the change, stream, audit and monitoring operators."""
 
-from tidemark.oracle.base import DUE, ENOW, LINE, NOW, avg, big, dd, div, gone, live, mirror_sql, pct, ts, usd
+from tidemark.oracle.base import DUE, ENOW, LINE, NOW, big, dd, div, gone, live, mirror_sql, pct, ts, usd
 from tidemark.sources.schemas import DECLARED, KEYS
 
 AUDIT = "IsDeleted, DeletedDate, DeletedBy"

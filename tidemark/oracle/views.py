@@ -1,7 +1,7 @@
 """Reference SQL for the analytics views. Fan-out is checked against the literal joins, not against the decomposition."""
 
 from tidemark.oracle.base import (
-    DUE, LINE, MARGIN, NOW, avg, avgi, big, dd, div, gone, live, mirror_sql, rnd, ts, usd,
+    DUE, LINE, MARGIN, NOW, avg, avgi, big, dd, div, gone, live, mirror_sql, ts, usd,
 )
 
 C360 = f"""
@@ -143,6 +143,10 @@ TREND_OUT = f"""{big('year(MonthYear)')} AS OrderYear, {big('month(MonthYear)')}
   {usd('TotalTax')} AS TotalTax, {usd('TotalShipping')} AS TotalShipping, {usd('GrandTotal')} AS GrandTotal,
   {big('TotalQuantitySold')} AS TotalQuantitySold, AverageQuantityPerOrder"""
 
+PERF_OUT = f"""SELECT * REPLACE ({usd('StandardCost')} AS StandardCost, {usd('ListPrice')} AS ListPrice,
+      {usd('Weight')} AS Weight, {usd('ProfitMarginPercent')} AS ProfitMarginPercent, {usd('TotalRevenue')} AS TotalRevenue,
+      {big('TimesSold')} AS TimesSold, {big('TotalUnitsSold')} AS TotalUnitsSold) FROM perf"""
+
 SQL = {
     "customer_360": mirror_sql(f"""SELECT * REPLACE ({usd('TotalRevenue')} AS TotalRevenue, {big('TotalOrders')} AS TotalOrders)
       FROM c360""", c360=C360),
@@ -153,9 +157,8 @@ SQL = {
       FROM m_customer c LEFT JOIN m_order o USING (CustomerID) GROUP BY ALL"""),
     "customer_ltv": mirror_sql(f"""SELECT * REPLACE ({usd('HistoricalCLV')} AS HistoricalCLV, {usd('PredictedCLV')} AS PredictedCLV,
       {big('TotalOrders')} AS TotalOrders) FROM ltv""", c360=C360, ltv=LTV),
-    "product_performance": mirror_sql(f"""SELECT * REPLACE ({usd('StandardCost')} AS StandardCost, {usd('ListPrice')} AS ListPrice,
-      {usd('Weight')} AS Weight, {usd('ProfitMarginPercent')} AS ProfitMarginPercent, {usd('TotalRevenue')} AS TotalRevenue,
-      {big('TimesSold')} AS TimesSold, {big('TotalUnitsSold')} AS TotalUnitsSold) FROM perf""", perf=PERF),
+    "product_performance": mirror_sql(PERF_OUT, perf=PERF),
+    "product_performance_active": mirror_sql(PERF_OUT, perf=PERF.replace("m_line l LEFT JOIN m_order o", "m_line l JOIN m_order o")),
     "product_performance_by_count": mirror_sql(f"""
       SELECT p.ProductID, p.Name, p.ProductNumber, p.Color, {usd('p.ListPrice')} AS ListPrice, g.Name AS CategoryName,
         count(l.ProductID) AS TimesSold, {big('sum(l.OrderQty)')} AS TotalQuantitySold, {usd(f'sum({LINE})')} AS TotalRevenue,
@@ -169,6 +172,10 @@ SQL = {
     "category_performance_corrected": mirror_sql(f"SELECT {CAT_OUT} FROM cat", cat=CAT_FIXED),
     "sales_trend": mirror_sql(f"SELECT {TREND_OUT} FROM t", t=TREND),
     "sales_trend_corrected": mirror_sql(f"SELECT {TREND_OUT} FROM t", t=TREND_FIXED),
+    "sales_trend_short": mirror_sql(f"""SELECT {big('year(o.OrderDate)')} AS OrderYear, {big('month(o.OrderDate)')} AS OrderMonth,
+      count(DISTINCT o.SalesOrderID) AS TotalOrders, count(DISTINCT o.CustomerID) AS UniqueCustomers, {usd('sum(o.SubTotal)')} AS TotalRevenue,
+      {avg('o.SubTotal')} AS AverageOrderValue, {big('sum(l.OrderQty)')} AS TotalQuantitySold
+      FROM m_order o JOIN m_line l USING (SalesOrderID) WHERE o.IsDeleted = FALSE GROUP BY 1, 2"""),
     "order_analysis": mirror_sql(f"""SELECT * REPLACE ({usd('SubTotal')} AS SubTotal, {usd('TaxAmt')} AS TaxAmt,
       {usd('Freight')} AS Freight, {usd('TotalDue')} AS TotalDue, {big('TotalQuantity')} AS TotalQuantity) FROM oa""", oa=ORDERS),
     "data_quality": mirror_sql("SELECT * FROM dq", dq=DQ),

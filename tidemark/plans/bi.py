@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Thresholds, materialize
 from tidemark.functions.columns import (
     at, avg_int, band, concat_nullable, datediff_sql, days_old, flag_is, format_n0, half_up, int_div, is_active,
-    is_deleted, line_total, margin_ratio, mean, pct_change, percent, ratio, shift, total_due,
+    is_deleted, line_total, mean, pct_change, percent, ratio, shift, total_due,
 )
 from tidemark.functions.frames import (
     date_dim, quantile_scores, rank_global, rank_in_groups, rank_many, share_of_total,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Thresholds
 from tidemark.functions.columns import (
-    at, avg_int, band, concat_nullable, datediff_sql, days_old, full_name, half_up, is_active, is_blank, is_deleted,
+    at, avg_int, band, datediff_sql, days_old, flag_is, full_name, half_up, is_active, is_blank, is_deleted,
     line_total, margin_ratio, mean, ratio, shift, total_due, value_map,
 )
 from tidemark.sources.tables import Tables
@@ -281,6 +281,16 @@ def sales_trend(tables: Tables, as_of: datetime, th: Thresholds = DEFAULTS, fano
         "TotalShipping", "GrandTotal", "TotalQuantitySold", "AverageQuantityPerOrder")
 
 
+def sales_trend_short(tables: Tables, as_of: datetime, th: Thresholds = DEFAULTS,
+                      fanout: str = "reference") -> DataFrame:
+    """Short form: orders whose flag is set to not deleted, without products, tax and freight."""
+    orders = joined_orders(tables, fanout, flag_is("IsDeleted", False))
+    return orders.groupBy(F.year("OrderDate").alias("OrderYear"), F.month("OrderDate").alias("OrderMonth")).agg(
+        F.count("*").alias("TotalOrders"), F.count_distinct("CustomerID").alias("UniqueCustomers"),
+        weighted_sum("SubTotal").alias("TotalRevenue"), weighted_mean("SubTotal").alias("AverageOrderValue"),
+        F.sum("Units").alias("TotalQuantitySold"))
+
+
 def order_status() -> Column:
     return F.when(is_deleted(), "CANCELLED").otherwise(value_map("Status", ORDER_STATUS, "UNKNOWN"))
 

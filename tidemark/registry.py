@@ -49,11 +49,13 @@ VIEW_QUERIES: dict[str, Query] = {
     "customer_summary": over_tables(views.customer_summary),
     "customer_ltv": over_tables(views.customer_ltv),
     "product_performance": over_tables(views.product_performance),
+    "product_performance_active": over_tables(views.product_performance, active_only=True),
     "product_performance_by_count": over_tables(views.product_performance_by_count),
     "category_performance": over_tables(views.category_performance),
     "category_performance_corrected": over_tables(views.category_performance, fanout="corrected"),
     "sales_trend": over_tables(views.sales_trend),
     "sales_trend_corrected": over_tables(views.sales_trend, fanout="corrected"),
+    "sales_trend_short": over_tables(views.sales_trend_short),
     "order_analysis": over_tables(views.order_analysis),
     "data_quality": over_tables(views.data_quality),
     "view_catalog": over_tables(views.view_catalog_status),
@@ -63,18 +65,23 @@ VIEW_QUERIES: dict[str, Query] = {
 REPORT_QUERIES: dict[str, Query] = {
     "exec_kpi": over_tables(bi.exec_kpi),
     "monthly_revenue_trend": over_tables(bi.monthly_revenue_trend),
+    "monthly_revenue_trend_corrected": over_tables(bi.monthly_revenue_trend, fanout="corrected"),
     "segment_overview": over_tables(bi.segment_overview),
     "top_customers": over_tables(bi.top_customers),
     "rfm_base": with_tables(bi.rfm_base),
     "rfm_segments": over_tables(bi.rfm_segments),
     "product_overview": over_tables(bi.product_overview),
     "category_analysis": over_tables(bi.category_analysis),
+    "category_analysis_corrected": over_tables(bi.category_analysis, fanout="corrected"),
     "top_products_by_category": over_tables(bi.top_products_by_category),
     "portfolio": over_tables(bi.portfolio),
     "sales_performance": over_tables(bi.sales_performance),
+    "sales_performance_corrected": over_tables(bi.sales_performance, fanout="corrected"),
     "order_status": over_tables(bi.order_status_report),
     "daily_sales": over_tables(bi.daily_sales),
+    "daily_sales_corrected": over_tables(bi.daily_sales, fanout="corrected"),
     "channel_performance": over_tables(bi.channel_performance),
+    "channel_performance_corrected": over_tables(bi.channel_performance, fanout="corrected"),
     "dq_scores": over_tables(bi.dq_scores),
     "business_summary": over_tables(bi.business_summary),
     "cohort_base": with_tables(bi.cohort_base),
