@@ -34,6 +34,6 @@ def test_kpi_decomposition_equals_literal_product(spark, con):
       SELECT round(sum({DUE}), 2)::DOUBLE AS total, count(DISTINCT c.CustomerID) AS people, count(DISTINCT p.ProductID) AS goods,
         round(sum(CASE WHEN o.OrderDate >= TIMESTAMP '2001-07-03' AND NOT o.IsDeleted THEN {DUE} ELSE 0 END), 2)::DOUBLE AS recent
       FROM m_customer c FULL JOIN m_order o ON c.CustomerID = o.CustomerID CROSS JOIN m_product p""")
-    total, people, goods, recent = con.sql(literal).fetchone()
+    total, people, goods, recent = con.sql(literal).fetchall()[0]
     row = QUERIES["business_kpi"](spark, DATA).first()
     assert (row.TotalRevenue, row.TotalCustomers, row.TotalProducts, row.Revenue_Last30Days) == (total, people, goods, recent)
