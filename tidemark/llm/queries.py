@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, spotsigs, toxicity, urlfilter
+from tidemark.llm import mixing, packing, spotsigs, toxicity, urlfilter, warc
 from tidemark.llm.common import crc_fold
 
 RULES = [urlfilter.Rule("block", "net", "/"), urlfilter.Rule("allow", "example.net", "/en/"),
@@ -37,6 +37,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary())
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(table(spark, folder, "documents"))
 
@@ -45,7 +49,7 @@ def op9_urlfilter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages"), RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_spotsigs, op5_toxicity, op6_packing, op8_mixing, op9_urlfilter)}
+QUERIES = {f.__name__: f for f in (op1_spotsigs, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter)}
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^ \x09-\x0D]+')), 0)::BIGINT"
 
