@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, mixing, packing, spotsigs, toxicity, urlfilter, warc
+from tidemark.llm import licenses, mixing, packing, spotsigs, toxicity, urlfilter, vectors, warc
 from tidemark.llm.common import crc_fold
 
 RULES = [urlfilter.Rule("block", "net", "/"), urlfilter.Rule("allow", "example.net", "/en/"),
@@ -30,6 +30,10 @@ def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op3_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.train(docs, table(spark, folder, "labels"))
@@ -53,7 +57,7 @@ def op9_urlfilter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages"), RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_licenses, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter)}
+QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_licenses, op3_vectors, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter)}
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^ \x09-\x0D]+')), 0)::BIGINT"
 
