@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, mixing, packing, spotsigs, toxicity, urlfilter, vectors, warc
+from tidemark.llm import licenses, mixing, ngramjoin, packing, spotsigs, toxicity, urlfilter, vectors, warc
 from tidemark.llm.common import crc_fold
 
 RULES = [urlfilter.Rule("block", "net", "/"), urlfilter.Rule("allow", "example.net", "/en/"),
@@ -57,7 +57,11 @@ def op9_urlfilter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judge(table(spark, folder, "pages"), RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_licenses, op3_vectors, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter)}
+def op10_ngramjoin(spark: SparkSession, folder: str) -> DataFrame:
+    return ngramjoin.near_components(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_licenses, op3_vectors, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter, op10_ngramjoin)}
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^ \x09-\x0D]+')), 0)::BIGINT"
 
