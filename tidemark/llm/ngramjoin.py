@@ -301,7 +301,7 @@ def _pairs_of(rows: pd.DataFrame, everyone: bool, seen: set) -> Iterator[tuple[i
             continue
         order = lo + np.lexsort((gid[lo:hi], n[lo:hi]))
         sizes, where, parts = n[order], place[order], comp[order]
-        full, loose = np.stack(every[order]), np.stack(some[order])
+        full, loose = (np.stack(x[order]).astype(np.int64).view(np.uint64) for x in (every, some))  # counting bits takes absolute values
         crossing = mark[lo, 1] != mark[lo, 2]
         head = 0
         for j in range(1, len(order)):
