@@ -11,6 +11,7 @@ document longer than a window is cut at window borders; an empty table gives no
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,38 +26,71 @@ from tidemark.llm.common import docs_of, longs, materialize, small_batches
 WINDOW, END, OPEN, MIN_PIECE = 2048, 1, 32, 32
 #: Tasks whose leftovers one merge task takes, so that it holds at most FAN_IN x OPEN windows.
 FAN_IN = 64
-#: Distinct words whose ids a worker remembers.
-MEMO_ROOM = 300_000
-#: Characters of text tokenized as one batch of unknown words.
-LOT = 4_000_000
+#: Distinct pieces whose ids a worker remembers; beyond that it starts anew.
+MEMO_ROOM = 600_000
+#: Characters of text tokenized at a time.
+LOT = 1_000_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long,"
           " open int, ids binary")
 
 
 class WordIds:
-    """Token ids of texts. White space splits texts before all else in this vocabulary, so each blank-separated
-    part is encoded once, by the tokenizer itself, and remembered."""
+    """Token ids of texts. This vocabulary's tokenizer splits a text at white space and then into letters, digits and signs
+    before all else, so each such piece is encoded once, by the tokenizer itself, and remembered, as are the words made
+    of them, for the worker's life. Texts with characters on which two Unicode libraries could differ, or
+    with a special token's beginning, are encoded whole."""
+
+    PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+    UNSURE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20ac]|<\|")
 
     def __init__(self, path: str):
+        import sys
+        import types
+
+        # one memo per worker process and vocabulary: tasks come and go, workers stay
+        shelf = sys.modules.setdefault("_tidemark_worker_memo", types.ModuleType("_tidemark_worker_memo"))
+        if path not in shelf.__dict__:
+            shelf.__dict__[path] = (self._load(path), {}, {})
+        self.coder, self.words, self.pieces = shelf.__dict__[path]
+
+    @staticmethod
+    def _load(path: str):
+        import os
+
         from tokenizers import Tokenizer
 
-        self.coder = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        return Tokenizer.from_file(path)
+
+    def _learn(self, new: list[str]) -> None:
+        if len(self.words) + len(new) > MEMO_ROOM:
+            self.words.clear()
+        split = list(map(self.PIECE.findall, new))
+        unknown = list(set().union(*split).difference(self.pieces))
+        if len(self.pieces) + len(unknown) > MEMO_ROOM:
+            self.pieces.clear()
+            unknown = list(set().union(*split))
+        for at in range(0, len(unknown), 4000):
+            some = unknown[at:at + 4000]
+            for piece, code in zip(some, self.coder.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.pieces[piece] = np.array(code.ids, "<u4").tobytes()
+        of = self.pieces
+        for word, pieces in zip(new, split, strict=True):
+            self.words[word] = of[pieces[0]] if len(pieces) == 1 else b"".join([of[p] for p in pieces])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.known
-        new = list({w for p in parts for w in p if w not in known})
-        if len(known) + len(new) > MEMO_ROOM:
-            known.clear()
-            new = list({w for p in parts for w in p})
-        for at in range(0, len(new), 50_000):
-            some = new[at:at + 50_000]
-            for word, code in zip(some, self.coder.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[word] = np.array(code.ids, "<u4").tobytes()
         end = np.array([END], "<u4").tobytes()
-        return [np.frombuffer(b"".join([known[w] for w in p]) + end, "<u4") for p in parts]
+        parts = [None if self.UNSURE.search(t) else t.lower().split() for t in texts]
+        every = set().union(*[p for p in parts if p is not None])
+        new = every.difference(self.words)
+        if new:
+            if len(self.words) + len(new) > MEMO_ROOM:
+                new = every
+            self._learn(list(new))
+        of = self.words.__getitem__
+        return [np.array([*self.coder.encode(text, add_special_tokens=False).ids, END], "<u4") if p is None
+                else np.frombuffer(b"".join(map(of, p)) + end, "<u4") for text, p in zip(texts, parts, strict=True)]
 
 
 class Windows:
