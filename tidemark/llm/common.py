@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 import pandas as pd
@@ -11,10 +10,10 @@ from pyspark.sql import functions as F
 
 from tidemark.config import materialize
 
-__all__ = ["materialize", "docs_of", "small_batches", "crc_fold", "shuffle_width", "longs", "WORDS"]
+__all__ = ["materialize", "docs_of", "small_batches", "crc_fold", "shuffle_width", "longs", "without_ids"]
 
-#: A run of characters other than ASCII white space.
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+#: Ids that are broadcast rather than shuffled against texts: at most so many, some 100 MB.
+BROADCAST_IDS = 2_000_000
 
 
 def docs_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,3 +40,11 @@ def shuffle_width(spark: SparkSession) -> int:
 def longs(values: Iterable) -> pd.array:
     """Ids that travelled as text (a null would turn a column of numbers into floats) as nullable integers."""
     return pd.array([None if v is None or v is pd.NA else int(v) for v in values], "Int64")
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``ids``. Few ids travel to the texts, many meet them in a shuffle."""
+    ids = materialize(ids.toDF("gone"), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, docs[id_col] == ids["gone"], "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, mixing, ngramjoin, packing, spotsigs, toxicity, urlfilter, vectors, warc
+from tidemark.llm import licenses, linededup, mixing, ngramjoin, packing, spotsigs, toxicity, urlfilter, vectors, warc
 from tidemark.llm.common import crc_fold
 
 RULES = [urlfilter.Rule("block", "net", "/"), urlfilter.Rule("allow", "example.net", "/en/"),
@@ -34,6 +34,12 @@ def op3_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op4_linededup(spark: SparkSession, folder: str) -> DataFrame:
+    out = linededup.dedupe(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), F.size("cut_lines").alias("n_cut"),
+                      F.array_join(F.col("cut_lines").cast("array<string>"), ",").alias("cut_lines"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.train(docs, table(spark, folder, "labels"))
@@ -61,7 +67,7 @@ def op10_ngramjoin(spark: SparkSession, folder: str) -> DataFrame:
     return ngramjoin.near_components(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_licenses, op3_vectors, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter, op10_ngramjoin)}
+QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_licenses, op3_vectors, op4_linededup, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter, op10_ngramjoin)}
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^ \x09-\x0D]+')), 0)::BIGINT"
 

@@ -19,8 +19,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from tidemark.llm.common import crc_fold, docs_of, longs, small_batches
 
@@ -148,6 +149,19 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
     return fit(sample["text"].tolist(), sample["toxic"].tolist())
 
 
+def scorer(spark: SparkSession, model: Model):
+    """A column function: the score of a text."""
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast((model.bias, model.weights))  # at most the words of TRAIN_CHARS characters
+
+    @pandas_udf("double")
+    def of(texts: pd.Series) -> pd.Series:
+        judge = Model(*shared.value).score
+        return pd.Series([judge(t)[0] for t in texts], dtype="float64")
+
+    return of
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted, worst_sentence, worst_score of every whole text."""
     spark = docs.sparkSession
