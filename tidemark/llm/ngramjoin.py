@@ -362,7 +362,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, comp: the smallest node reachable. Alternating star steps; every round is stored, so lineage stays short.
+    """node, comp (the smallest node reachable) of every linked node but those smallest ones. Alternating star steps; every round is stored, so lineage stays short.
 
     Each step groups by node with a partial minimum and joins the minimum back, which splits where a node has very
     many links. Stops when a round changes nothing.

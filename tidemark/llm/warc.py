@@ -10,7 +10,7 @@ Archives are written by Spark's text writer (a WARC record ends with two line br
 the separator closes the record), hence on any file system and with its commit protocol. They are read as
 whole files, one per task's output, and parsed as streams.
 
-Defined cases: a null or empty body is a payload of 0 bytes; a null url is written as ``urn:none``; blanks and control
+Defined cases: a null or empty body is a payload of 0 bytes; a null or empty url is written as ``urn:none``; blanks and control
 characters in urls are escaped; a record cut off by its file's end is kept and marked truncated; a header line that
 does not parse is skipped; rows with one order number and one payload are all responses; a null order number comes
 last; an empty table gives no archive and no row.
@@ -54,7 +54,7 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, id_col: str = "page
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length(body).cast("string"),
                     F.lit(f"\r\n{ORDER_HEADER}: "), F.coalesce(page_id.cast("string"), F.lit("")), F.lit("\r\n\r\n"))
     when = F.date_format(F.timestamp_seconds(F.lit(1_262_304_000) + F.pmod(F.coalesce(page_id, F.lit(0)), F.lit(86_400_000))), "yyyyMMddHHmmss")
-    safe = F.coalesce(F.regexp_replace(url, r"[\x00-\x20\x7f]", "%20"), F.lit("urn:none"))
+    safe = F.when(F.length(url) > 0, F.regexp_replace(url, r"[\x00-\x20\x7f]", "%20")).otherwise(F.lit("urn:none"))
     length = (F.octet_length(head) + F.octet_length(body)).cast("string")
     middle = [F.lit("text/html")] if version == 1 else [F.lit("text/html"), F.lit("200"), F.lit("-"), F.lit("-"), F.lit("0"), F.lit("pages.arc")]
     line = F.concat_ws(" ", safe, F.lit("0.0.0.0"), when, *middle, length)
