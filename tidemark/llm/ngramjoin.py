@@ -9,8 +9,9 @@ a component. Nothing is sampled or capped:
    (frequency, hash), rarest first: two partners must share a shingle of their prefixes, the first n - ceil(3n/4) + 1.
 3. Sets with one prefix and size form a group. Groups meet in the buckets of their prefix shingles; size, position
    and bitmap bounds filter pairs. First each meets its neighbour and the head of its bucket, which already connects copies
-   of a text, however many; then all pairs of different components that pass the filters are expanded to
-   their members and verified on the shingles. So a large group of copies never yields all its pairs.
+   of a text, however many. Large buckets that still hold several components are told apart in place. In the
+   others all pairs of groups of different components that pass the filters are expanded to their members
+   and verified on the shingles. So a large group of copies never yields all its pairs.
 4. Components come from alternating star steps on the links.
 
 Shingles are compared as 48-bit hashes, sets as 64-bit hashes. Jaccard 100 * i >= 75 * u is tested in whole numbers as 7 * i >= 3 * (a + b).
@@ -43,6 +44,8 @@ COMMON = 1 << 30
 BITMAP_WORDS = 8
 #: Rows of one bucket that one task compares with each other.
 BUCKET_ROWS = 4000
+#: Buckets of more sets than this are verified in place, in slices of about so many shingles.
+LARGE, SLICE_TOKENS = 64, 4_000_000
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -248,50 +251,47 @@ def sets_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blo
     return materialize(answered.groupBy("block").applyInPandas(_survivors, SETS), "ngram-sets")
 
 
-BUCKET = "bucket long, slice int, other int, gid long, n long, place int, comp long, all_bits array<long>, any_bits array<long>"
+def _whole_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted rows regrouped so that no bucket is cut between two frames."""
+    def mark(frame: pd.DataFrame, at: int) -> tuple:
+        row = frame.iloc[at]
+        return row["bucket"], row["slice"], row["other"]
+
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        if held and mark(held[-1], -1) != mark(batch, 0):
+            yield pd.concat(held, ignore_index=True)
+            held = []
+        last = mark(batch, -1)
+        open_ = (batch["bucket"] == last[0]) & (batch["slice"] == last[1]) & (batch["other"] == last[2])
+        if not open_.all():
+            yield pd.concat([*held, batch[~open_]], ignore_index=True)
+            held = []
+        held.append(batch[open_])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _edges(rows: pd.DataFrame) -> np.ndarray:
+    """Where each bucket of a frame starts, and the end."""
+    mark = rows[["bucket", "slice", "other"]].to_numpy()
+    return np.append(np.flatnonzero(np.concatenate(([True], (mark[1:] != mark[:-1]).any(1)))), len(rows))
 
 
 def _meet(everyone: bool):
     """Pairs of groups in one bucket that pass the filters: all of different components, or only neighbours and heads."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
         seen: set[tuple[int, int]] = set()
-
-        def flush() -> pd.DataFrame:
-            rows = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
-            pairs = list(_pairs_of(rows, everyone, seen))
-            return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            # a bucket may continue in the next batch: hold back its last one
-            last = batch.iloc[-1]
-            same = (batch["bucket"] == last["bucket"]) & (batch["slice"] == last["slice"]) & (batch["other"] == last["other"])
-            if same.all():
-                held.append(batch)
-                if not _one_bucket(held):
-                    first = pd.concat(held[:-1], ignore_index=True)
-                    held[:] = [first]
-                    yield flush()
-                    held[:] = [batch]
-                continue
-            held.append(batch[~same])
-            yield flush()
-            held[:] = [batch[same]]
-        if held:
-            yield flush()
+        for rows in _whole_buckets(batches):
+            yield pd.DataFrame(list(_pairs_of(rows, everyone, seen)), columns=["a", "b"]).astype("int64")
     return run
 
 
-def _one_bucket(held: list[pd.DataFrame]) -> bool:
-    a, b = held[0].iloc[-1], held[-1].iloc[0]
-    return bool(a["bucket"] == b["bucket"] and a["slice"] == b["slice"] and a["other"] == b["other"])
-
-
 def _pairs_of(rows: pd.DataFrame, everyone: bool, seen: set) -> Iterator[tuple[int, int]]:
-    mark = rows[["bucket", "slice", "other"]].to_numpy()
-    edges = np.append(np.flatnonzero(np.concatenate(([True], (mark[1:] != mark[:-1]).any(1)))), len(rows))
+    edges = _edges(rows)
+    slices, others = rows["slice"].to_numpy(), rows["other"].to_numpy()
     gid, comp = rows["gid"].to_numpy(), rows["comp"].to_numpy()
     n, place = rows["n"].to_numpy(), rows["place"].to_numpy()
     every, some = rows["all_bits"].to_numpy(), rows["any_bits"].to_numpy()
@@ -302,7 +302,7 @@ def _pairs_of(rows: pd.DataFrame, everyone: bool, seen: set) -> Iterator[tuple[i
         order = lo + np.lexsort((gid[lo:hi], n[lo:hi]))
         sizes, where, parts = n[order], place[order], comp[order]
         full, loose = (np.stack(x[order]).astype(np.int64).view(np.uint64) for x in (every, some))  # counting bits takes absolute values
-        crossing = mark[lo, 1] != mark[lo, 2]
+        crossing = slices[lo] != others[lo]
         head = 0
         for j in range(1, len(order)):
             if everyone:
@@ -354,6 +354,40 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
+def _links_of_bucket(rows: pd.DataFrame) -> Iterator[tuple[int, int]]:
+    """Links between different components of one bucket, thinned to a forest, by counting common shingles."""
+    order = rows["n"].to_numpy().argsort(kind="stable")
+    key, n, comp, home = (rows[c].to_numpy()[order] for c in ("key", "n", "comp", "home"))
+    crossing = rows["slice"].iloc[0] != rows["other"].iloc[0]
+    own = [np.frombuffer(t, "<i8") for t in rows["tokens"].to_numpy()[order]]
+    length = np.array([len(t) for t in own])
+    _, number = np.unique(np.concatenate(own), return_inverse=True)
+    holder = np.repeat(np.arange(len(own)), length)[number.argsort(kind="stable")]
+    start = np.concatenate(([0], np.cumsum(np.bincount(number))))
+    at = np.concatenate(([0], np.cumsum(length)))
+    names, label = np.unique(comp, return_inverse=True)
+    root = np.arange(len(names))
+    largest = np.bincount(label).argmax()
+    for i in np.flatnonzero(label != largest).tolist():
+        tokens = number[at[i]:at[i + 1]]
+        common = np.bincount(np.concatenate([holder[start[t]:start[t + 1]] for t in tokens.tolist()]), minlength=len(own))
+        good = 7 * common >= 3 * (n + n[i])
+        if crossing:
+            good &= home != home[i]
+        for j in np.flatnonzero(good & (root[label] != root[label[i]])).tolist():
+            x, y = root[label[i]], root[label[j]]
+            if x != y:
+                root[root == max(x, y)] = min(x, y)
+                yield int(key[i]), int(key[j])
+
+
+def _link_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in _whole_buckets(batches):
+        edges = _edges(rows)
+        out = [pair for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True) for pair in _links_of_bucket(rows.iloc[lo:hi])]
+        yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     slim = sets.select("key", "n", "tokens")
     a = slim.withColumnsRenamed({"key": "a", "n": "na", "tokens": "ta"})
@@ -383,24 +417,37 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now
 
 
-def _bucketed(groups: DataFrame, width: int) -> DataFrame:
-    """Groups at their prefix shingles; a bucket of very many is cut into slices, of which each pair meets in one task."""
-    placed = groups.select("gid", "n", "comp", "all_bits", "any_bits", F.posexplode("prefix").alias("at", "bucket"), "single")
-    counts = placed.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1")
-    met = placed.join(counts, "bucket").withColumn("place", F.col("single") + F.col("at"))
-    slices = F.ceil(F.col("rows") / F.lit(BUCKET_ROWS)).cast("int")
-    met = met.withColumn("slices", slices).withColumn("home", F.pmod(F.xxhash64("gid"), F.col("slices").cast("long")).cast("int"))
+def _sliced(met: DataFrame, slices, who: str, width: int, *columns: str) -> DataFrame:
+    """Rows of buckets in slices, each slice beside each, so that every pair meets in one task; sorted by bucket."""
+    met = met.withColumn("slices", slices.cast("int")).withColumn("home", F.pmod(F.xxhash64(who), F.col("slices").cast("long")).cast("int"))
     met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    met = met.select("bucket", F.least("home", "with").alias("slice"), F.greatest("home", "with").alias("other"), "gid", "n", "place", "comp", "all_bits", "any_bits", "home")
+    met = met.select("bucket", F.least("home", "with").alias("slice"), F.greatest("home", "with").alias("other"), "home", *columns)
     return met.repartition(width, "bucket", "slice", "other").sortWithinPartitions("bucket", "slice", "other")
 
 
+def _bucketed(groups: DataFrame, width: int, most: int | None = None) -> DataFrame:
+    """Groups at their prefix shingles, in the buckets with at most ``most`` sets."""
+    placed = groups.select("gid", "n", "comp", "members", "all_bits", "any_bits", F.posexplode("prefix").alias("at", "bucket"), "single")
+    counts = placed.groupBy("bucket").agg(F.count("*").alias("rows"), F.sum("members").alias("sets")).where("rows > 1")
+    met = placed.join(counts if most is None else counts.where(F.col("sets") <= most), "bucket").withColumn("place", F.col("single") + F.col("at"))
+    return _sliced(met, F.ceil(F.col("rows") / F.lit(BUCKET_ROWS)), "gid", width, "gid", "n", "place", "comp", "all_bits", "any_bits")
+
+
+def _large_buckets(sets: DataFrame, width: int) -> DataFrame:
+    """Sets with their shingles in the buckets of more than ``LARGE`` sets that hold several components."""
+    placed = sets.select("key", "n", "comp", F.explode("prefix").alias("bucket"))
+    counts = (placed.groupBy("bucket").agg(F.count("*").alias("sets"), F.sum("n").alias("weight"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+              .where((F.col("sets") > LARGE) & (F.col("low") != F.col("high"))).select("bucket", "weight"))
+    met = placed.join(counts, "bucket").join(sets.select("key", "tokens"), "key")
+    return _sliced(met, F.ceil(F.col("weight") / F.lit(SLICE_TOKENS)), "key", width, "key", "n", "comp", "tokens")
+
+
 def _grouped(sets: DataFrame) -> DataFrame:
     """Sets of one size, prefix and component as one group."""
     words = range(BITMAP_WORDS)
     one = sets.withColumn("gid", F.xxhash64("n", "prefix", "comp"))
     rows = one.groupBy("gid").agg(
-        F.first("n").alias("n"), F.first("comp").alias("comp"), F.first("single").alias("single"), F.first("prefix").alias("prefix"),
+        F.count("*").alias("members"), F.first("n").alias("n"), F.first("comp").alias("comp"), F.first("single").alias("single"), F.first("prefix").alias("prefix"),
         F.array(*[F.bit_and(F.col("bits")[i]) for i in words]).alias("all_bits"), F.array(*[F.bit_or(F.col("bits")[i]) for i in words]).alias("any_bits"))
     return rows
 
@@ -424,17 +471,25 @@ def classes(docs: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     across = (met.distinct().join(heads.withColumnsRenamed({"gid": "a", "head": "x"}), "a").join(heads.withColumnsRenamed({"gid": "b", "head": "y"}), "b")
               .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     links = materialize(_links(inside.unionByName(across), sets), "ngram-links")
+    # round 2: in large buckets, whole components are told apart on the shingles themselves, without a pair leaving
+    now = _labelled(sets, components(links))
+    links = links.unionByName(materialize(_large_buckets(now, width).mapInPandas(_link_buckets, "a long, b long"), "ngram-links"))
+    # round 3: in the others, all pairs of groups of different components that pass the filters
     comp = components(links)
-    # round 2: what is not connected yet, all pairs that pass the filters
-    now = materialize(sets.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key")), "ngram-labelled")
-    met = _bucketed(_grouped(now), width).mapInPandas(_meet(True), "a long, b long")
+    now = _labelled(sets, comp)
+    met = _bucketed(_grouped(now), width, LARGE).mapInPandas(_meet(True), "a long, b long")
     members = now.select(F.xxhash64("n", "prefix", "comp").alias("gid"), "key")
     pairs = (met.distinct().join(members.withColumnsRenamed({"gid": "a", "key": "x"}), "a").join(members.withColumnsRenamed({"gid": "b", "key": "y"}), "b")
              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     more = materialize(_links(pairs, sets), "ngram-links")
-    if more.isEmpty():
-        return stored.select("doc_id", "n_shingles", "key"), comp.select(F.col("node").alias("key"), "comp")
-    return stored.select("doc_id", "n_shingles", "key"), components(links.unionByName(more)).select(F.col("node").alias("key"), "comp")
+    if not more.isEmpty():
+        comp = components(links.unionByName(more))
+    return stored.select("doc_id", "n_shingles", "key"), comp.select(F.col("node").alias("key"), "comp")
+
+
+def _labelled(sets: DataFrame, comp: DataFrame) -> DataFrame:
+    named = sets.join(comp.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    return materialize(named, "ngram-labelled")
 
 
 def near_components(docs: DataFrame, **options) -> DataFrame:
