@@ -195,3 +195,36 @@ def test_schemas_are_declared(spark):
     t = load_mirror(spark, DATA)
     assert t["SalesOrderHeader"].schema["SubTotal"].dataType == MONEY
     assert t["SalesOrderDetail"].schema["UnitPrice"].dataType == MONEY
+
+
+def test_reconcile_sees_moved_values_null_and_repeated_keys(spark):
+    schema = "k long, a string, b string"
+
+    def counts(left, right, key="k"):
+        r = monitor.reconcile(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), key).first()
+        return r.SourceRows, r.MirrorRows, r.MissingRows, r.ExtraRows, r.ChangedRows, r.InSync
+
+    assert counts([(1, None, "x")], [(1, "x", None)]) == (1, 1, 0, 0, 1, False)
+    assert counts([(None, "a", "b")], [(None, "a", "b")]) == (1, 1, 0, 0, 0, True)
+    assert counts([(1, "a", None), (1, "a", None)], [(1, "a", None), (1, "a", None)]) == (2, 2, 0, 0, 0, True)
+    assert counts([(1, "a", None), (1, "b", None)], [(1, "a", None), (1, "c", None), (1, "d", None)]) == (2, 3, 0, 1, 1, False)
+    assert counts([(1, "a", None), (1, "a", None)], [(1, "a", None), (2, "a", None)], None) == (2, 2, 1, 1, 0, False)
+    assert counts([], []) == (0, 0, 0, 0, 0, True)
+
+
+def test_equal_business_keys_get_different_keys(spark):
+    from tidemark.operators import changes
+    rows = spark.createDataFrame([("b", 1), ("a", 2), ("a", 3), ("c", 4), ("a", 3)], "name string, v long")
+    got = changes.assign_keys(rows.withColumn("id", rows.v), spark.createDataFrame([(10,)], "id long"), "id", "name").collect()
+    assert sorted((r.id, r.name) for r in got) == [(11, "a"), (12, "a"), (13, "a"), (14, "b"), (15, "c")]
+
+
+def test_lag_percentiles_are_exact(spark):
+    from datetime import datetime, timedelta
+
+    from tidemark.streaming import windows
+    start = datetime(2024, 1, 1)
+    rows = [("t", start, start + timedelta(seconds=s)) for s in [*range(1, 100), 5000]] + [("u", start, start + timedelta(seconds=7)), ("u", start, None)]
+    got = {r.table_name: r for r in windows.replication_lag(spark.createDataFrame(rows, "table_name string, ts timestamp, arrived timestamp")).collect()}
+    assert (got["t"].MedianLagSeconds, got["t"].P95LagSeconds, got["t"].MaxLagSeconds, got["t"].Changes) == (50, 95, 5000, 100)
+    assert (got["u"].MedianLagSeconds, got["u"].AvgLagSeconds, got["u"].Changes) == (7, 7.0, 2)

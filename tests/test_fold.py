@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tidemark.operators import changes
-from tidemark.streaming.cdc import ChangeStore, start_cdc
+from tidemark.streaming.cdc import BatchFolders, ChangeStore, append_batches, start_cdc
 
 SCHEMA = ("table_name string, key long, seq long, ts timestamp, op string, actor string, a double, b string,"
           " mask array<string>")
@@ -69,99 +69,131 @@ def test_fold_equals_replay_in_any_split_and_order(spark, ops, seed):
 ROWS = make([("Customer", i % 5, "IUDRU"[i % 5] if i > 4 else "I", float(i), str(i), COLS[: i % 3]) for i in range(60)])
 
 
-def test_store_applies_batches_in_any_arrival_and_ignores_replays(spark, fresh):
-    store = ChangeStore(spark, f"{fresh}/state", spark.createDataFrame([], SCHEMA).schema, COLS, buckets=4, mask="mask")
+def new_store(spark, path):
+    return ChangeStore(spark, path, spark.createDataFrame([], SCHEMA).schema, COLS, mask="mask")
+
+
+def test_store_applies_batches_in_any_arrival_and_repetition(spark, fresh):
+    store = new_store(spark, f"{fresh}/state")
     parts = [ROWS[40:], ROWS[:20], ROWS[20:40]]  # later changes arrive first
-    for i, part in enumerate(parts):
+    for i, part in enumerate([*parts, parts[1]]):
         store.apply(spark.createDataFrame(part, SCHEMA), i)
-    want = replay(ROWS)
-    assert seen(store.current()) == want
-    # a batch that comes again, even with other rows, changes nothing
-    store.apply(spark.createDataFrame(make([("Customer", 0, "D", None, None, [])]), SCHEMA), 2)
-    assert seen(store.current()) == want
+    store.apply(spark.createDataFrame(parts[0], SCHEMA), 0)  # delivered again
+    assert seen(store.current()) == replay(ROWS)
 
 
 def test_store_survives_a_failed_batch(spark, fresh):
-    store = ChangeStore(spark, f"{fresh}/state", spark.createDataFrame([], SCHEMA).schema, COLS, buckets=4, mask="mask")
+    store = new_store(spark, f"{fresh}/state")
     store.apply(spark.createDataFrame(ROWS[:30], SCHEMA), 0)
     before = seen(store.current())
-    # data of batch 1 written, pointer not: readers must still see batch 0, and the retry must apply it
-    store.state().limit(1).write.mode("overwrite").parquet(f"{fresh}/state/data/version=1/bucket=0")
+    # a write that broke off: files of a task attempt, never committed
+    store.deltas().limit(1).write.parquet(f"{fresh}/state/run=direct/batch=1/_temporary/0/task")
     assert seen(store.current()) == before
     store.apply(spark.createDataFrame(ROWS[30:], SCHEMA), 1)
     assert seen(store.current()) == replay(ROWS)
 
 
-def test_untouched_buckets_are_not_rewritten(spark, fresh):
-    store = ChangeStore(spark, f"{fresh}/state", spark.createDataFrame([], SCHEMA).schema, COLS, buckets=8, mask="mask", parts=2)
+def test_batches_write_in_proportion_to_themselves(spark, fresh):
+    store = new_store(spark, f"{fresh}/state")
     store.apply(spark.createDataFrame(ROWS, SCHEMA), 0)
     store.apply(spark.createDataFrame(make([("Customer", 1, "D", None, None, [])]), SCHEMA), 1)
-    versions = store._pointer()[1]
-    assert list(versions.values()).count(1) == 1 and 0 in versions.values()
+    assert spark.read.parquet(f"{fresh}/state/run=direct/batch=1").count() == 1
+
+
+def test_snapshot_then_changes_equals_one_fold(spark, fresh):
+    store = new_store(spark, f"{fresh}/state")
+    old = changes.current_rows(changes.fold_changes(spark.createDataFrame(ROWS[:30], SCHEMA), COLS, mask="mask"), COLS)
+    store.seed(old, T0, "IsDeleted")
+    assert {k: v[:3] for k, v in seen(store.current()).items()} == {k: v[:3] for k, v in replay(ROWS[:30]).items()}
+    store.apply(spark.createDataFrame(ROWS[30:], SCHEMA), 0)
+    whole = {k: v[:3] for k, v in replay(ROWS).items()}
+    assert {k: v[:3] for k, v in seen(store.current()).items()} == whole
+    small = store.compact(f"{fresh}/compacted")
+    assert small.deltas().count() == len(whole) and {k: v[:3] for k, v in seen(small.current()).items()} == whole
 
 
-def test_streams_of_counts_sessions_and_deduplicated_changes(spark, fresh):
-    """Streamed counts, sessions and deduplication against the same operators on the whole table."""
+def feed_files(spark, fresh, n, folder=False):
+    """The change feed cut into interleaved files, as files or as one folder of part files."""
     import os
-    import shutil
 
+    from conftest import DATA
+    from tidemark.sources.tables import read_raw
+    events = read_raw(spark, DATA, "events").toPandas().sample(frac=1.0, random_state=7)
+    home = f"{fresh}/feed/events.parquet" if folder else f"{fresh}/feed"
+    os.makedirs(home)
+    for i in range(n):
+        spark.createDataFrame(events.iloc[i::n]).coalesce(1).write.mode("overwrite").parquet(f"{fresh}/part{i}")
+        name = next(f for f in os.listdir(f"{fresh}/part{i}") if f.endswith(".parquet"))
+        os.link(f"{fresh}/part{i}/{name}", f"{home}/{'part' if folder else 'events'}-{i}.parquet")
+    return f"{fresh}/feed"
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_streams_count_every_row(spark, fresh, folder):
+    """Counts, late changes, sessions and deduplication of eight interleaved files equal those of the whole table."""
     from conftest import DATA
     from pyspark.sql import functions as F
     from tidemark.config import EVENTS_AS_OF
-    from tidemark.sources import schemas
-    from tidemark.sources.tables import load_changes, read_raw, stream_changes
+    from tidemark.plans.mirror_queries import arrivals
+    from tidemark.sources.tables import load_changes, read_raw, stream_changes, stream_events
     from tidemark.streaming import windows
-    os.makedirs(f"{fresh}/feed")
-    for i in range(2):  # every change arrives twice
-        shutil.copy(f"{DATA}/events.parquet", f"{fresh}/feed/events-{i}.parquet")
-    log, events = load_changes(spark, DATA), read_raw(spark, DATA, "events")
-
-    def drain(frame, name):
-        (frame.writeStream.outputMode("append").format("parquet").option("path", f"{fresh}/{name}")
-         .option("checkpointLocation", f"{fresh}/{name}-cp").trigger(availableNow=True).start().awaitTermination())
-        return spark.read.schema(frame.schema).parquet(f"{fresh}/{name}")
-
-    both_files = stream_changes(spark, f"{fresh}/feed", files_per_trigger=2)
-    once = drain(changes.dedupe_feed(both_files, "40 days"), "once")
-    assert sorted(map(str, once.collect())) == sorted(map(str, log.collect()))
-    end = log.agg(F.max("ts")).first()[0]
-    counted = drain(windows.change_counts(stream_changes(spark, f"{fresh}/feed", 2)), "counts")
-    whole = windows.change_counts(log.union(log)).filter(F.col("WindowEnd") <= end - timedelta(hours=2))
-    assert sorted(map(str, counted.collect())) == sorted(map(str, whole.collect()))
-    src = spark.readStream.schema(schemas.EVENTS_IN).option("pathGlobFilter", "events-0*").parquet(f"{fresh}/feed")
-    found = {(r.user_id, r.SessionStart, r.Events) for r in drain(windows.session_stream(src), "sessions").collect()}
-    want = {(r.user_id, r.SessionStart, r.Events) for r in windows.sessions(events, EVENTS_AS_OF, 30).collect()}
-    assert found and found <= want and len(want) - len(found) < 10
+    feed, log, events = feed_files(spark, fresh, 8, folder), load_changes(spark, DATA), read_raw(spark, DATA, "events")
+
+    def drain(stream, part, name):
+        folders = BatchFolders(spark, f"{fresh}/{name}", part(stream).schema)
+        query = append_batches(stream, folders, f"{fresh}/{name}-cp", part)
+        query.awaitTermination()
+        assert len([p for p in query.recentProgress if p.numInputRows]) == 4
+        return folders.read()
+
+    def same(a, b):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+
+    same(windows.count_whole(drain(stream_changes(spark, feed, 2), windows.count_part, "counts")), windows.change_counts(log))
+    same(windows.late_whole(drain(arrivals(stream_changes(spark, feed, 2)), windows.late_part, "late")), windows.late_changes(arrivals(log)))
+    slots = drain(stream_events(spark, feed, 2), windows.session_part, "slots")
+    same(windows.session_whole(slots, EVENTS_AS_OF), windows.sessions(events, EVENTS_AS_OF))
+    once = changes.dedupe_feed(drain(stream_changes(spark, feed, 2).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))), lambda x: x.drop("copy"), "once"))
+    same(once, log)
+
+
+def test_within_watermark_dedupe_on_a_stream(spark, fresh):
+    from conftest import DATA
+    from tidemark.sources.tables import load_changes, stream_changes
+    stream = changes.dedupe_feed(stream_changes(spark, feed_files(spark, fresh, 2), 2), "40 days")
+    (stream.writeStream.outputMode("append").format("parquet").option("path", f"{fresh}/once").option("checkpointLocation", f"{fresh}/cp")
+     .trigger(availableNow=True).start().awaitTermination())
+    got = spark.read.schema(stream.schema).parquet(f"{fresh}/once")
+    assert sorted(map(str, got.collect())) == sorted(map(str, load_changes(spark, DATA).collect()))
 
 
 def test_empty_batch(spark, fresh):
-    store = ChangeStore(spark, f"{fresh}/state", spark.createDataFrame([], SCHEMA).schema, COLS, mask="mask")
+    store = new_store(spark, f"{fresh}/state")
+    assert store.current().count() == 0
     store.apply(spark.createDataFrame([], SCHEMA), 0)
     assert store.current().count() == 0
 
 
 def test_stream_of_shuffled_files_equals_fold(spark, fresh):
-    """Six files in a random arrival order, one per micro-batch."""
+    """Six files in a random arrival order, one per micro-batch; then a new checkpoint, whose batches count from 0 again."""
     from conftest import DATA
     from tidemark.plans.mirror_queries import PAYLOAD
-    from tidemark.sources.tables import load_changes, read_raw, stream_changes
-    events = read_raw(spark, DATA, "events").toPandas().sample(frac=1.0, random_state=7)
-    import os
-    os.makedirs(f"{fresh}/feed")
-    for i in range(6):
-        spark.createDataFrame(events.iloc[i::6]).coalesce(1).write.mode("overwrite").parquet(f"{fresh}/part{i}")
-        name = next(f for f in os.listdir(f"{fresh}/part{i}") if f.endswith(".parquet"))
-        os.link(f"{fresh}/part{i}/{name}", f"{fresh}/feed/events-{i}.parquet")
-    feed = stream_changes(spark, f"{fresh}/feed")
-    store = ChangeStore(spark, f"{fresh}/state", feed.schema, PAYLOAD, buckets=8)
+    from tidemark.sources.tables import load_changes, stream_changes
+    feed = stream_changes(spark, feed_files(spark, fresh, 6), 1)
+    store = ChangeStore(spark, f"{fresh}/state", feed.schema, PAYLOAD)
     query = start_cdc(feed, store, f"{fresh}/checkpoint")
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p.numInputRows]) == 6
-    want = changes.current_rows(changes.fold_changes(load_changes(spark, DATA), PAYLOAD), PAYLOAD)
-    assert sorted(map(str, store.current().collect())) == sorted(map(str, want.collect()))
+    want = sorted(map(str, changes.current_rows(changes.fold_changes(load_changes(spark, DATA), PAYLOAD), PAYLOAD).collect()))
+    assert sorted(map(str, store.current().collect())) == want
     # the same feed started again finds nothing to do
     start_cdc(feed, store, f"{fresh}/checkpoint").awaitTermination()
-    assert store.current().count() == want.count()
+    assert sorted(map(str, store.current().collect())) == want
+    # a first half under one checkpoint and the rest under another end up in one state
+    other = ChangeStore(spark, f"{fresh}/other", feed.schema, PAYLOAD)
+    for name, half in (("a", "seq % 2 = 0"), ("b", "seq % 2 = 1")):
+        start_cdc(feed.filter(half), other, f"{fresh}/checkpoint-{name}").awaitTermination()
+    assert sorted(map(str, other.current().collect())) == want
 
 
 def test_history_versions(spark):

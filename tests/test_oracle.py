@@ -5,8 +5,10 @@ from conftest import DATA
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from tidemark.oracle import sql_by_name
+from tidemark.registry import QUERIES
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = sql_by_name()
 
 
 @pytest.fixture(scope="module")
@@ -16,11 +18,12 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, con, name):
-    assert compare(QUERIES[name](spark, DATA), con, SQL[name]) is None
+    assert compare(entry.queries()[name](spark, DATA), con, SQL[name]) is None
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_returns_rows(spark):

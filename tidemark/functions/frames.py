@@ -21,7 +21,7 @@ _COMMON = "decimal(38,8)"  # holds whole numbers and money alike when several me
 def default_buckets(spark: SparkSession) -> int:
     """Power of two, about four buckets per shuffle partition."""
     wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(8192, max(64, 1 << (wanted - 1).bit_length()))
+    return max(64, 1 << (wanted - 1).bit_length())
 
 
 def cut_points(df: DataFrame, column: str, buckets: int) -> Column:

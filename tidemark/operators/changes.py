@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import at, is_active, is_deleted
@@ -51,7 +51,7 @@ def merge_deltas(deltas: DataFrame, columns: list[str], key: list[str] = KEY) ->
 
 def current_rows(state: DataFrame, columns: list[str], key: list[str] = KEY) -> DataFrame:
     """Readable rows of a folded state: payload, delete audit columns, last modification."""
-    gone = F.coalesce("delete_seq", F.lit(-1)) > F.coalesce("restore_seq", F.lit(-1))
+    gone = F.coalesce(F.col("delete_seq") > F.col("restore_seq"), F.col("delete_seq").isNotNull())
     return state.select(*key, *columns, gone.alias("IsDeleted"), F.when(gone, F.col("delete_ts")).alias("DeletedDate"),
                         F.when(gone, F.col("delete_actor")).alias("DeletedBy"), F.col("last_ts").alias("ModifiedDate"),
                         F.col("last_seq").alias("LastSeq"))
@@ -107,9 +107,15 @@ def insert_rows(df: DataFrame, rows: DataFrame, ts: datetime) -> DataFrame:
 
 def assign_keys(rows: DataFrame, existing: DataFrame, key: str, business_key: str,
                 buckets: int | None = None) -> DataFrame:
-    """Give new rows the integers after the highest existing key, in the order of a unique business key."""
+    """Give new rows the integers after the highest existing key, in the order of the business key. Rows that share one
+    get different keys, in the order of their other columns."""
     top = existing.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    return dense_positions(rows.drop(key), business_key, key, top, buckets)
+    bare = rows.drop(key)
+    # equal business keys share a rank; the place among them makes the number unique
+    others = [F.col(c) for c in bare.columns if c != business_key]
+    tied = Window.partitionBy(business_key).orderBy(*others, F.monotonically_increasing_id()) if others else Window.partitionBy(business_key).orderBy(F.monotonically_increasing_id())
+    placed = dense_positions(bare, business_key, key, top, buckets).withColumn("_tie", F.row_number().over(tied) - 1)
+    return placed.withColumn(key, F.col(key) + F.col("_tie")).drop("_tie")
 
 
 def update_where(df: DataFrame, where: Column, sets: dict[str, Column], ts: datetime) -> DataFrame:
@@ -145,11 +151,10 @@ def undelete(df: DataFrame, keys: DataFrame, key: str, ts: datetime, stamp: bool
     """Clear the flag and its audit columns; ``stamp=False`` leaves the modification time alone."""
     cols, flagged = df.columns, _flagged(df, keys, key)
     sets = {"IsDeleted": F.lit(False), "DeletedDate": F.lit(None), "DeletedBy": F.lit(None)}
-    out = update_where(flagged, F.col("_hit"), sets, ts)
     if not stamp:
-        original = df.select(key, F.col("ModifiedDate").alias("_original"))
-        out = out.drop("ModifiedDate").join(original, key, "left").withColumnRenamed("_original", "ModifiedDate")
-    return out.select(*cols)
+        flagged = flagged.withColumn("_original", F.col("ModifiedDate"))
+    out = update_where(flagged, F.col("_hit"), sets, ts)
+    return (out if stamp else out.withColumn("ModifiedDate", F.col("_original"))).select(*cols)
 
 
 def purge(tables: dict[str, DataFrame], predicates: dict[str, Column],

@@ -24,26 +24,44 @@ def freshness(tables: Tables, as_of: datetime, names=("Customer", "Product", "Sa
             .orderBy("TableName"))
 
 
-def reconcile(source: DataFrame, mirror: DataFrame, key: str, name: str = "") -> DataFrame:
-    """Counts of matching, changed, missing and extra rows, from a key join of row hashes."""
+def row_hash(columns: list[str]) -> Column:
+    """Hash of a row in which a null in one column differs from a null in the next."""
+    return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+
+
+def reconcile(source: DataFrame, mirror: DataFrame, key: str | None, name: str = "") -> DataFrame:
+    """Counts of missing, extra and changed rows.
+
+    Both sides are counted per key and row hash in one aggregation, so null and repeated keys count like any other and
+    a large key is reduced before it moves. Rows of one key that the sides do not share pair up as changed; the surplus of a
+    side is missing or extra. Without a key, rows are compared as multisets and none is changed.
+    """
     columns = [c for c in source.columns if c in mirror.columns and c != key]
-    left = source.select(F.col(key).alias("k"), F.xxhash64(*columns).alias("h"))
-    right = mirror.select(F.col(key).alias("k2"), F.xxhash64(*columns).alias("h2"))
-    both = left.join(right, F.col("k") == F.col("k2"), "full_outer")
-    missing, extra = F.col("k2").isNull(), F.col("k").isNull()
-    changed = ~missing & ~extra & (F.col("h") != F.col("h2"))
-    counts = both.agg(F.count("k").alias("SourceRows"), F.count("k2").alias("MirrorRows"),
-                      F.count_if(missing).alias("MissingRows"), F.count_if(extra).alias("ExtraRows"),
-                      F.count_if(changed).alias("ChangedRows"))
+    held = F.col(key) if key else F.lit(0)
+
+    def side(df: DataFrame, mine: int) -> DataFrame:
+        return df.select(held.alias("k"), row_hash(columns).alias("h"), F.lit(mine).alias("a"), F.lit(1 - mine).alias("b"))
+
+    rows = side(source, 1).unionByName(side(mirror, 0)).groupBy("k", "h").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    rows = rows.withColumns({"gone": F.greatest(F.col("a") - F.col("b"), F.lit(0)), "new": F.greatest(F.col("b") - F.col("a"), F.lit(0))})
+    if key:
+        rows = rows.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("a", "b", "gone", "new")])
+    pairs = F.least("gone", "new") if key else F.lit(0)
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0))
+
+    counts = rows.agg(total(F.col("a")).alias("SourceRows"), total(F.col("b")).alias("MirrorRows"), total(F.col("gone") - pairs).alias("MissingRows"),
+                      total(F.col("new") - pairs).alias("ExtraRows"), total(pairs).alias("ChangedRows"))
     bad = F.col("MissingRows") + F.col("ExtraRows") + F.col("ChangedRows")
     return counts.select(F.lit(name).alias("TableName"), "*", (bad == 0).alias("InSync"))
 
 
 def reconcile_all(source: Tables, mirror: Tables) -> DataFrame:
-    """Keyed tables of the source against the mirror; a table the mirror lacks counts as not enabled."""
+    """Every table of the source against the mirror; a table the mirror lacks counts as not enabled."""
     parts = []
     for name, key in schemas.KEYS.items():
-        if key and name in source:
+        if name in source:
             enabled = name in mirror
             part = reconcile(source[name], mirror[name] if enabled else source[name].limit(0), key, name)
             parts.append(part.withColumn("Enabled", F.lit(enabled)))

@@ -211,7 +211,7 @@ SQL = {
       SELECT {ts('f.m0')} AS CohortMonth, {dd('f.m0', 'o.OrderDate', 'month')} AS MonthOffset, count(DISTINCT o.CustomerID) AS ActiveCustomers,
         {usd('sum(o.SubTotal)')} AS Revenue
       FROM m_order o JOIN (SELECT o.CustomerID, date_trunc('month', min(o.OrderDate)) AS m0 FROM m_order o WHERE {live('o')} GROUP BY 1) f USING (CustomerID)
-      WHERE {live('o')} AND date_diff('month', f.m0, o.OrderDate) <= 12 GROUP BY 1, 2"""),
+      WHERE {live('o')} GROUP BY 1, 2"""),
     "measure_growth": mirror_sql(f"""
       SELECT coalesce({rnd(f"{div('(a - b)', 'b')} * 100")}, 0) AS RevenueGrowthPercent FROM (SELECT
         sum({DUE}) FILTER (o.OrderDate >= {M1}) AS a, sum({DUE}) FILTER (o.OrderDate >= {M2} AND o.OrderDate < {M1}) AS b

@@ -63,18 +63,23 @@ MIRRORED = {
                 "UNION ALL SELECT * REPLACE (CustomerID + 1000000000000 AS CustomerID) FROM m_customer WHERE Title IS NOT NULL",
     "Product": "SELECT * FROM m_product", "ProductCategory": "SELECT * FROM m_category",
     "SalesOrderHeader": "SELECT * FROM m_order WHERE NOT IsDeleted",
+    "SalesOrderDetail": "SELECT * FROM m_line WHERE OrderQty > 2 UNION ALL SELECT * FROM m_line WHERE OrderQty = 50",
 }
 
 
 def recon(name: str) -> str:
     view, key = VIEW[name], KEYS[name]
     mirror = MIRRORED.get(name, f"SELECT * FROM {view} WHERE FALSE")
+    if key is None:
+        return f"""SELECT '{name}' AS TableName, (SELECT count(*) FROM {view}) AS SourceRows, (SELECT count(*) FROM ({mirror})) AS MirrorRows,
+          (SELECT count(*) FROM (SELECT * FROM {view} EXCEPT ALL ({mirror}))) AS MissingRows,
+          (SELECT count(*) FROM (({mirror}) EXCEPT ALL SELECT * FROM {view})) AS ExtraRows, CAST(0 AS BIGINT) AS ChangedRows, {name in MIRRORED} AS Enabled"""
     return f"""SELECT '{name}' AS TableName, count(k) AS SourceRows, count(k2) AS MirrorRows, count(*) FILTER (k2 IS NULL) AS MissingRows,
       count(*) FILTER (k IS NULL) AS ExtraRows, count(*) FILTER (k = k2 AND a <> b) AS ChangedRows, {name in MIRRORED} AS Enabled
       FROM (SELECT s.{key} AS k, to_json(s) AS a FROM {view} s) x FULL JOIN (SELECT d.{key} AS k2, to_json(d) AS b FROM ({mirror}) d) y ON k = k2"""
 
 
-RECON = " UNION ALL ".join(recon(n) for n, k in KEYS.items() if k)
+RECON = " UNION ALL ".join(recon(n) for n in KEYS)
 RECON_FLAGGED = "SELECT *, MissingRows + ExtraRows + ChangedRows = 0 AS InSync FROM r"
 
 USED = "event_type IN ('click', 'view', 'purchase')"
@@ -242,8 +247,9 @@ SQL = {
     "conformance": mirror_sql("SELECT * FROM x", x=_conformance()),
     "key_audit": mirror_sql(f"SELECT *, {ISSUE} AS Issue FROM x", x=KEY_ROWS),
     "backfill": mirror_sql("SELECT CustomerID, coalesce(Title, 'n/a') AS Title, CAST(coalesce(IsDeleted, FALSE) AS BIGINT) AS IsDeleted, coalesce(Phone, '') AS Phone FROM m_customer"),
-    "truncate_binary": f"""SELECT page_id, {big('octet_length(encode(html))')} AS OriginalBytes, {big('least(octet_length(encode(html)), 2048)')} AS KeptBytes,
-      {big('octet_length(encode(html)) > 2048')} AS Truncated FROM pages""",
+    **{name: f"""SELECT page_id, {big('octet_length(b)')} AS OriginalBytes, {big(f'least(octet_length(b), {n})')} AS KeptBytes,
+      md5(b[1:{n}]) AS KeptHash, {big(f'octet_length(b) > {n}')} AS Truncated FROM (SELECT page_id, encode(html) AS b FROM pages)"""
+       for name, n in (("truncate_binary", 1 << 20), ("truncate_binary_small", 2048))},
     "issue_summary": mirror_sql(f"""
       SELECT count(DISTINCT TableName) FILTER (TypeClass = 'UDT') AS UDTIssues, count(DISTINCT TableName) FILTER (TypeClass = 'COMPUTED') AS ComputedIssues,
         count(DISTINCT TableName) FILTER (TypeClass = 'XML') AS XMLIssues, count(DISTINCT TableName) FILTER (CastFailures > 0) AS CastIssues,
@@ -273,7 +279,7 @@ SQL = {
     "cdc_apply": mirror_sql(FOLDED, f=FOLD),
     "feed_dedupe": mirror_sql("SELECT table_name, op, count(*) AS Changes FROM m_change GROUP BY 1, 2"),
     "change_counts": mirror_sql("SELECT * FROM x", x=COUNTS),
-    "change_counts_stream": mirror_sql("SELECT * FROM x WHERE WindowEnd <= (SELECT max(ts) FROM m_change) - INTERVAL 2 HOUR", x=COUNTS),
+    "change_counts_stream": mirror_sql("SELECT * FROM x", x=COUNTS),
     "late_changes": mirror_sql("""
       SELECT date_trunc('hour', a.arrived) AS WindowStart, a.table_name, count(*) AS Changes, count(*) FILTER (a.ts < m.mark) AS LateChanges
       FROM a LEFT JOIN (SELECT table_name, h, max(newest) OVER (PARTITION BY table_name ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS mark
@@ -306,7 +312,7 @@ SQL = {
       FROM c3 JOIN (SELECT table_name, count(*) AS m, max(ts) AS last FROM m_change WHERE ts >= {ENOW} - INTERVAL 24 HOUR GROUP BY 1) USING (table_name)""", c3=_COUNT3),
     "activity_levels": mirror_sql(f"""
       SELECT s.TableName, s.n AS CurrentRows, coalesce(r, 0) AS ModifiedRecently, last AS LastChange,
-        CASE WHEN s.TableName IN ('Customer', 'Product', 'ProductCategory', 'SalesOrderHeader') THEN 'YES' ELSE 'NO' END AS IsMirrored,
+        CASE WHEN s.TableName IN ('Customer', 'Product', 'ProductCategory', 'SalesOrderHeader', 'SalesOrderDetail') THEN 'YES' ELSE 'NO' END AS IsMirrored,
         CASE WHEN r > 1000 THEN 'HIGH' WHEN r > 100 THEN 'MEDIUM' WHEN r > 0 THEN 'LOW' ELSE 'NONE' END AS ActivityLevel
       FROM sizes s LEFT JOIN (SELECT table_name AS TableName, count(*) FILTER (ts >= {ENOW} - INTERVAL 24 HOUR) AS r, max(ts) AS last FROM m_change GROUP BY 1) USING (TableName)""", sizes=_SIZES),
     "metric_rollup": "SELECT count(*) AS Samples, min(ts) AS SampleTimeStart, max(ts) AS SampleTimeEnd, " + ", ".join(
@@ -336,3 +342,5 @@ SQL = {
        UNION ALL SELECT 1, 'INFO', 'Mirroring looks healthy. Keep monitoring.' FROM f
          WHERE enabled > 0 AND failing = 0 AND used <= 75 AND longs = 0 AND blocked = 0)""", **FACT_PARTS),
 }
+SQL |= {"late_changes_stream": SQL["late_changes"], "session_stream": SQL["sessions"], "feed_dedupe_stream": SQL["feed_dedupe"],
+        "cdc_snapshot": mirror_sql(f"""SELECT table_name, "key", set_value, set_props, {big('gone')} AS IsDeleted FROM f""", f=FOLD)}

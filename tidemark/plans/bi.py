@@ -364,13 +364,15 @@ def cohort_retention(tables: Tables, as_of: datetime, th: Thresholds = DEFAULTS)
     ).orderBy(F.desc("CohortMonth"))
 
 
-def cohort_matrix(tables: Tables, as_of: datetime, horizon: int = 12) -> DataFrame:
-    """[Ours] Active customers per cohort and month offset. A customer's partition holds one row per month at most."""
+def cohort_matrix(tables: Tables, as_of: datetime, horizon: int | None = None) -> DataFrame:
+    """[Ours] Active customers per cohort and month offset, up to ``horizon`` months if given. A customer's partition
+    holds one row per month at most."""
     first = F.min("Month").over(Window.partitionBy("CustomerID"))
-    return (customer_months(tables).withColumn("CohortMonth", first)
-            .withColumn("MonthOffset", datediff_sql("month", F.col("CohortMonth"), F.col("Month")))
-            .filter(F.col("MonthOffset") <= horizon)
-            .groupBy("CohortMonth", "MonthOffset")
+    placed = (customer_months(tables).withColumn("CohortMonth", first)
+              .withColumn("MonthOffset", datediff_sql("month", F.col("CohortMonth"), F.col("Month"))))
+    if horizon is not None:
+        placed = placed.filter(F.col("MonthOffset") <= horizon)
+    return (placed.groupBy("CohortMonth", "MonthOffset")
             .agg(F.count("*").alias("ActiveCustomers"), F.sum("Revenue").alias("Revenue")))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tidemark.config import EVENTS_AS_OF, ORDERS_AS_OF, shared_dir
 from tidemark.functions.columns import at, is_active, is_deleted, percent, shift
 from tidemark.operators import audit, changes, monitor, softdelete
-from tidemark.sources.tables import Tables, load_changes, load_mirror, read_raw, stream_changes
+from tidemark.sources.tables import Tables, load_changes, load_mirror, read_raw, stream_changes, stream_events
 from tidemark.streaming import cdc, windows
 
 PAYLOAD = ["set_value", "set_props"]
@@ -151,11 +151,30 @@ def cdc_fold(spark: SparkSession, folder: str) -> DataFrame:
 def cdc_apply(spark: SparkSession, folder: str) -> DataFrame:
     """The feed streamed into a change store, then read back."""
     feed = stream_changes(spark, folder)
-    store = cdc.ChangeStore(spark, shared_dir(spark, "cdc-state"), feed.schema, PAYLOAD, buckets=16)
+    store = cdc.ChangeStore(spark, shared_dir(spark, "cdc-state"), feed.schema, PAYLOAD)
     cdc.start_cdc(feed, store, shared_dir(spark, "cdc-checkpoint")).awaitTermination()
     return store.current()
 
 
+def cdc_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """The state before the middle of the log as a snapshot, the later changes streamed on top, then compacted."""
+    log = load_changes(spark, folder)
+    middle = log.agg(F.floor((F.min("seq") + F.max("seq")) / 2)).first()[0] or 0
+    old = changes.current_rows(changes.fold_changes(log.filter(F.col("seq") <= middle), PAYLOAD), PAYLOAD)
+    feed = stream_changes(spark, folder)
+    store = cdc.ChangeStore(spark, shared_dir(spark, "cdc-state"), feed.schema, PAYLOAD)
+    store.seed(old, EVENTS_AS_OF, "IsDeleted")
+    cdc.start_cdc(feed.filter(F.col("seq") > middle), store, shared_dir(spark, "cdc-checkpoint")).awaitTermination()
+    return store.compact(shared_dir(spark, "cdc-compacted")).current().select("table_name", "key", *PAYLOAD, "IsDeleted")
+
+
+def streamed(spark: SparkSession, stream: DataFrame, part, name: str) -> DataFrame:
+    """Parts of all micro-batches of a stream that is read to its present end."""
+    folders = cdc.BatchFolders(spark, shared_dir(spark, name), part(stream).schema)
+    cdc.append_batches(stream, folders, shared_dir(spark, f"{name}-checkpoint"), part).awaitTermination()
+    return folders.read()
+
+
 def feed_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """A feed that delivered its updates twice, each change kept once, counted per table and kind."""
     log = load_changes(spark, folder)
@@ -163,6 +182,14 @@ def feed_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     return changes.dedupe_feed(twice).groupBy("table_name", "op").agg(F.count("*").alias("Changes"))
 
 
+def feed_dedupe_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a stream: each batch keeps its distinct changes, the reader those of all batches."""
+    feed = stream_changes(spark, folder).select("table_name", "key", "seq", "op")
+    twice = feed.withColumn("copy", F.explode(F.when(F.col("op") == "U", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("copy")
+    kept = streamed(spark, twice, lambda batch: batch.dropDuplicates(["table_name", "key", "seq"]), "feed-dedupe")
+    return changes.dedupe_feed(kept).groupBy("table_name", "op").agg(F.count("*").alias("Changes"))
+
+
 def arrivals(log: DataFrame) -> DataFrame:
     """The log with an arrival time up to 96 minutes after the change."""
     return log.withColumn("arrived", F.col("ts") + F.make_dt_interval(mins=(F.col("seq") % 97).cast("int")))
@@ -173,19 +200,18 @@ def change_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def change_counts_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The windowed counts from a stream in append mode: windows the watermark has closed."""
-    out = shared_dir(spark, "change-counts")
-    counts = windows.change_counts(stream_changes(spark, folder))
-    (counts.writeStream.outputMode("append").format("parquet").option("path", out)
-     .option("checkpointLocation", shared_dir(spark, "change-counts-checkpoint"))
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(counts.schema).parquet(out)
+    """The windowed counts from a stream; no row is too late for them."""
+    return windows.count_whole(streamed(spark, stream_changes(spark, folder), windows.count_part, "change-counts"))
 
 
 def late_changes(spark: SparkSession, folder: str) -> DataFrame:
     return windows.late_changes(arrivals(load_changes(spark, folder)))
 
 
+def late_changes_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return windows.late_whole(streamed(spark, arrivals(stream_changes(spark, folder)), windows.late_part, "late-changes"))
+
+
 def replication_lag(spark: SparkSession, folder: str) -> DataFrame:
     return windows.replication_lag(arrivals(load_changes(spark, folder)))
 
@@ -207,6 +233,14 @@ def sessions(spark: SparkSession, folder: str) -> DataFrame:
     return found_sessions(spark, folder, 240)
 
 
+def session_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Sessions from a stream of events: slots per batch, sessions over the slots of all batches."""
+    def part(batch: DataFrame) -> DataFrame:
+        return windows.session_part(batch, 240, is_error=F.col("event_type") == "error")
+
+    return windows.session_whole(streamed(spark, stream_events(spark, folder), part, "session-slots"), EVENTS_AS_OF, 240)
+
+
 # --- audits ---------------------------------------------------------------------------------------------------------
 
 def profile_columns(tables: Tables, as_of: datetime) -> DataFrame:
@@ -239,10 +273,15 @@ def backfill(tables: Tables, as_of: datetime) -> DataFrame:
 PAGES = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("html", T.StringType())])
 
 
-def truncate_binary(spark: SparkSession, folder: str) -> DataFrame:
+def truncate_binary(spark: SparkSession, folder: str, limit: int = 1 << 20) -> DataFrame:
     pages = spark.read.schema(PAGES).parquet(f"{folder}/pages.parquet")
-    cut = audit.truncate_binary(pages.select("page_id", F.col("html").cast("binary").alias("body")), "body", 2048)
-    return cut.select("page_id", "OriginalBytes", F.octet_length("body").alias("KeptBytes"), "Truncated")
+    cut = audit.truncate_binary(pages.select("page_id", F.col("html").cast("binary").alias("body")), "body", limit)
+    return cut.select("page_id", "OriginalBytes", F.octet_length("body").alias("KeptBytes"), F.md5("body").alias("KeptHash"), "Truncated")
+
+
+def truncate_binary_small(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a limit that most pages exceed."""
+    return truncate_binary(spark, folder, 2048)
 
 
 def issue_summary(tables: Tables, as_of: datetime) -> DataFrame:
@@ -284,12 +323,14 @@ def freshness(tables: Tables, as_of: datetime) -> DataFrame:
 
 def lagging_mirror(tables: Tables) -> Tables:
     """A mirror out of step: customers without phone missing, e-mails rewritten, some rows too many, deleted orders
-    lost, product models not mirrored."""
+    lost, small order lines lost and large ones doubled, product models and addresses not mirrored."""
     people = tables["Customer"]
     extra = people.filter(F.col("Title").isNotNull()).withColumn("CustomerID", F.col("CustomerID") + 1_000_000_000_000)
     kept = people.filter(F.col("Phone").isNotNull()).withColumn("EmailAddress", F.coalesce("EmailAddress", F.lit("")))
+    lines = tables["SalesOrderDetail"]
     return {"Customer": kept.union(extra), "Product": tables["Product"], "ProductCategory": tables["ProductCategory"],
-            "SalesOrderHeader": tables["SalesOrderHeader"].filter(is_active())}
+            "SalesOrderHeader": tables["SalesOrderHeader"].filter(is_active()),
+            "SalesOrderDetail": lines.filter(F.col("OrderQty") > 2).union(lines.filter(F.col("OrderQty") == 50))}
 
 
 def reconcile(tables: Tables, as_of: datetime) -> DataFrame:
@@ -374,7 +415,8 @@ TABLE_QUERIES = {
     "failing_items": failing_items,
 }
 FOLDER_QUERIES = {
-    "cdc_fold": cdc_fold, "cdc_apply": cdc_apply, "feed_dedupe": feed_dedupe, "change_counts": change_counts,
+    "cdc_fold": cdc_fold, "cdc_apply": cdc_apply, "cdc_snapshot": cdc_snapshot, "feed_dedupe_stream": feed_dedupe_stream,
+    "late_changes_stream": late_changes_stream, "session_stream": session_stream, "truncate_binary_small": truncate_binary_small, "feed_dedupe": feed_dedupe, "change_counts": change_counts,
     "change_counts_stream": change_counts_stream, "late_changes": late_changes, "replication_lag": replication_lag,
     "history": history, "price_history": price_history, "sessions": sessions, "truncate_binary": truncate_binary,
     "change_activity": change_activity, "activity_levels": activity_levels, "metric_rollup": metric_rollup,

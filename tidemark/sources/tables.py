@@ -29,13 +29,17 @@ def load_changes(spark: SparkSession, folder: str) -> DataFrame:
     return read_raw(spark, folder, "events").selectExpr(*mapping.CHANGE)
 
 
-def stream_changes(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
-    """The same change feed as a file stream."""
-    return (spark.readStream.schema(schemas.EVENTS_IN)
-            .option("pathGlobFilter", "events*.parquet")
-            .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(folder)
-            .selectExpr(*mapping.CHANGE))
+def stream_events(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The event table as a file stream, whether it is one file, several, or folders of part files."""
+    reader = spark.readStream.schema(schemas.EVENTS_IN)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(f"{folder}/events*.parquet")
+
+
+def stream_changes(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The change feed of ``load_changes`` as a file stream."""
+    return stream_events(spark, folder, files_per_trigger).selectExpr(*mapping.CHANGE)
 
 
 def register_views(tables: Tables, prefix: str = "") -> None:

@@ -1,94 +1,104 @@
-"""Continuous application of a change stream to a versioned, bucketed parquet state.
+"""Continuous application of a change stream: each micro-batch appends its folded changes, readers fold what is there.
 
 Layout below ``state_dir``::
 
-    data/version=<batch>/bucket=<b>/…   folded rows of the buckets a batch touched
-    pointer/slot=<0|1>/…                for every bucket the version that holds it, written last
+    run=<run>/batch=<batch>/…    state-shaped rows, one per key the batch touched
 
-A batch reads and rewrites only the buckets its keys fall in. Readers follow the pointer, so a failed batch leaves the
-earlier state in force, and a batch delivered again finds its number in the pointer and does nothing.
+A batch writes only its own folder, in as many tasks as it has data for, and overwrites it when it comes again. The fold is
+associative, commutative and idempotent, so the order of batches, their repetition and the number of feeds do not matter, and the state is
+the fold of all folders. ``run`` names a checkpoint: a renewed checkpoint counts its batches from 0 again, but in
+folders of its own. A snapshot enters as rows older than any change; compaction writes the folded state as the only
+folder of a new store.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.changes import KEY, current_rows, fold_changes, merge_deltas
+from tidemark.functions.columns import at
+from tidemark.operators.changes import KEY, current_rows, fold_changes, merge_deltas, to_deltas
 
-_POINTER = "batch long, bucket int, version long"
+#: Sequence number of snapshot rows: below that of every change.
+SNAPSHOT_SEQ = -(1 << 62)
 
 
-class ChangeStore:
-    """Folded state of one feed.
+class BatchFolders:
+    """Rows appended batch by batch, a folder each. Reading shows every batch that was written in full."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+
+    def write(self, rows: DataFrame, run: str, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/run={run}/batch={batch_id}")
+
+    def read(self) -> DataFrame:
+        try:
+            # a folder whose write broke off holds only temporary files, which readers skip
+            return self.spark.read.schema(self.schema).option("recursiveFileLookup", "true").parquet(self.root)
+        except Exception as err:
+            if "PATH_NOT_FOUND" not in str(err):
+                raise
+            return self.spark.createDataFrame([], self.schema)
+
+
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's id, which a checkpoint gets when it is first used and keeps for its life."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return line.split('"id":"')[1].split('"')[0]
+
 
-    ``buckets`` is fixed for the life of a store: it sets how finely a batch can touch the state, so pick it by the
-    size the state will reach (about a gigabyte per bucket). ``parts`` splits the rewriting of one bucket over that
-    many tasks and files and may change at any time.
-    """
+def append_batches(stream: DataFrame, folders: BatchFolders, checkpoint: str, reduce: Callable[[DataFrame], DataFrame],
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Reduce every micro-batch and append it; by default everything available now, in as many batches as the source cuts."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        folders.write(reduce(batch), run_name(batch.sparkSession, checkpoint), batch_id)
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+
+
+class ChangeStore:
+    """Folded state of any number of feeds, optionally on top of a snapshot."""
 
     def __init__(self, spark: SparkSession, state_dir: str, changes_schema: T.StructType, columns: list[str],
-                 key: list[str] = KEY, buckets: int = 64, mask: str | None = None, parts: int = 1):
-        self.spark, self.dir, self.columns, self.key, self.buckets = spark, state_dir.rstrip("/"), columns, key, buckets
-        self.mask, self.parts = mask, parts
+                 key: list[str] = KEY, mask: str | None = None):
+        self.spark, self.columns, self.key, self.mask, self.changes_schema = spark, columns, key, mask, changes_schema
         empty = spark.createDataFrame([], changes_schema)
-        self.schema = fold_changes(empty, columns, key, mask).schema
-
-    def _pointer(self) -> tuple[int, dict[int, int]]:
-        """Number of the last applied batch and the version of each bucket; one small row per bucket."""
-        slots = []
-        for slot in (0, 1):
-            try:
-                rows = self.spark.read.schema(_POINTER).parquet(f"{self.dir}/pointer/slot={slot}").collect()
-            except Exception as err:
-                if "PATH_NOT_FOUND" not in str(err):
-                    raise
-                rows = []
-            if rows:
-                slots.append((rows[0].batch, {r.bucket: r.version for r in rows}))
-        return max(slots, key=lambda s: s[0]) if slots else (-1, {})
-
-    def _read(self, versions: dict[int, int]) -> DataFrame:
-        if not versions:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self.dir}/data/version={v}/bucket={b}" for b, v in sorted(versions.items())]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        self.folders = BatchFolders(spark, state_dir, fold_changes(empty, columns, key, mask).schema)
+
+    def deltas(self) -> DataFrame:
+        return self.folders.read()
 
     def state(self) -> DataFrame:
-        return self._read(self._pointer()[1])
+        return merge_deltas(self.deltas(), self.columns, self.key)
 
     def current(self) -> DataFrame:
         return current_rows(self.state(), self.columns, self.key)
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        done, versions = self._pointer()
-        if batch_id <= done:
-            return
-        place = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int").alias("bucket")
-        deltas = fold_changes(batch, self.columns, self.key, self.mask).select("*", place).persist()
-        try:
-            touched = [r.bucket for r in deltas.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-            if touched:
-                prior = self._read({b: versions[b] for b in touched if b in versions}).select("*", place)
-                part = F.pmod(F.xxhash64(F.lit("part"), *self.key), F.lit(self.parts)).alias("part")
-                both = prior.unionByName(deltas).select("*", part)
-                # one shuffle serves the merge and the files: rows of a bucket part meet in one task
-                placed = both.repartition(len(touched) * self.parts, "bucket", "part")
-                merged = merge_deltas(placed, self.columns, ["bucket", "part", *self.key]).drop("part")
-                merged.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.dir}/data/version={batch_id}")
-            versions = {**versions, **{b: batch_id for b in touched}}
-            rows = [(batch_id, b, v) for b, v in sorted(versions.items())]
-            (self.spark.createDataFrame(rows, _POINTER).coalesce(1)
-             .write.mode("overwrite").parquet(f"{self.dir}/pointer/slot={batch_id % 2}"))
-        finally:
-            deltas.unpersist()
+    def reduce(self, batch: DataFrame) -> DataFrame:
+        return fold_changes(batch, self.columns, self.key, self.mask)
+
+    def apply(self, batch: DataFrame, batch_id: int, run: str = "direct") -> None:
+        self.folders.write(self.reduce(batch), run, batch_id)
+
+    def seed(self, snapshot: DataFrame, as_of: datetime, deleted: str | None = None) -> None:
+        """Rows of a full copy (keys and columns) as the oldest state; ``deleted`` names a flag that may mark some as deleted."""
+        gone = F.coalesce(F.col(deleted), F.lit(False)) if deleted else F.lit(False)
+        rows = snapshot.select(*self.key, *self.columns, F.lit(SNAPSHOT_SEQ).alias("seq"), at(as_of).alias("ts"), F.lit(None).cast("string").alias("actor"),
+                               F.when(gone, "D").otherwise("I").alias("op"))
+        self.folders.write(merge_deltas(to_deltas(rows, self.columns, self.key), self.columns, self.key), "snapshot", 0)
+
+    def compact(self, state_dir: str) -> ChangeStore:
+        """A new store whose only folder is the state of this one. Feeds go on into the new store; this one stays as it is."""
+        out = ChangeStore(self.spark, state_dir, self.changes_schema, self.columns, self.key, self.mask)
+        out.folders.write(self.state(), "compacted", 0)
+        return out
 
 
 def start_cdc(changes: DataFrame, store: ChangeStore, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Run the feed into the store; by default everything available now, in as many batches as the source cuts."""
-    return (changes.writeStream.foreachBatch(store.apply)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True}))
-            .start())
+    return append_batches(changes, store.folders, checkpoint, store.reduce, trigger)
