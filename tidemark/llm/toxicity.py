@@ -14,8 +14,8 @@ label says so; equal texts score alike; without usable labels of both kinds ever
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ from pyspark.sql.functions import pandas_udf
 
 from tidemark.llm.common import crc_fold, docs_of, longs, small_batches
 
-TRAIN_ROWS, TRAIN_CHARS = 6000, 16_000_000
+TRAIN_ROWS, TRAIN_CHARS = 6000, 12_000_000
 STEPS, RATE, RIDGE = 300, 0.2, 3e-5
 #: Weight of a toxic document in the likelihood.
 TOXIC_WEIGHT = 3.0
@@ -80,48 +80,57 @@ class Model:
         return float(-np.expm1(-np.logaddexp(0, z).sum())), worst, float(1 / (1 + np.exp(-z[worst])))
 
 
-def _telling(bags: list[set[str]], y: np.ndarray) -> dict[str, int]:
-    """Features that speak for toxicity, numbered."""
-    toxic, other = Counter(), Counter()
-    for bag, label in zip(bags, y, strict=True):
-        (toxic if label else other).update({f for w in bag for f in features(w)})
+def _numbered(texts: Iterable[str]) -> tuple[dict[str, int], np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the distinct words, and for every word of every sentence its number, sentence and text."""
+    number: dict[str, int] = {}
+    word, sentence, doc = array("i"), array("i"), array("i")
+    n = 0
+    for d, text in enumerate(texts):
+        for part in SENTENCE.split(text.lower()):
+            if words := set(TOKEN.findall(part)):
+                word.extend([number.setdefault(w, len(number)) for w in sorted(words)])
+                sentence.extend([n] * len(words))
+                doc.append(d)
+                n += 1
+    return number, np.array(word, np.int32), np.array(sentence, np.int32), np.array(doc, np.int32)
+
+
+def _telling(words: list[str], word: np.ndarray, starts: np.ndarray, y: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Features that speak for toxicity, and for each word the numbers of its own among them (-1 where there is none)."""
+    ids: dict[str, int] = {}
+    of = np.full((len(words), 1 + len(STEMS)), -1, np.int32)
+    for i, w in enumerate(words):
+        for k, f in enumerate(features(w)):
+            of[i, k] = ids.setdefault(f, len(ids))
+    toxic, other = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int32)
+    for d, label in enumerate(y):
+        here = np.unique(of[np.unique(word[starts[d]:starts[d + 1]])])
+        (toxic if label else other)[here[here >= 0]] += 1
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
-    kept = []
-    for f, a in toxic.items():
-        b = other[f]
-        if a >= MIN_DOCS and a * n0 > LIFT * b * n1:
-            e1, e0 = (a + b) * n1 / (n1 + n0), (a + b) * n0 / (n1 + n0)
-            if 2 * (a * np.log(a / e1) + (b * np.log(b / e0) if b else 0.0)) > MIN_GAIN:
-                kept.append(f)
-    return {f: i for i, f in enumerate(sorted(kept))}
+    a, b = toxic.astype(float), other.astype(float)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = 2 * (a * np.log(a * (n1 + n0) / ((a + b) * n1)) + np.where(b > 0, b * np.log(b * (n1 + n0) / ((a + b) * n0)), 0.0))
+    keep = (a >= MIN_DOCS) & (a * n0 > LIFT * b * n1) & (gain > MIN_GAIN)
+    place = np.where(keep, np.cumsum(keep) - 1, -1).astype(np.int32)
+    return [f for f, i in ids.items() if keep[i]], np.where(of >= 0, place[of], -1)
 
 
 def fit(texts: list[str], labels: list[int]) -> Model:
     """Full-batch Adam on the noisy-or likelihood, with a ridge, over the telling features of distinct texts."""
     label_of: dict[str, int] = {}
     for text, label in zip(texts, labels, strict=True):
-        label_of[text] = max(label_of.get(text, 0), int(label))
-    split, y = [], []
-    for text, label in label_of.items():
-        if sentences := [w for s in SENTENCE.split(text.lower()) if (w := set(TOKEN.findall(s)))]:
-            split.append(sentences)
-            y.append(float(label))
-    y = np.array(y)
+        if TOKEN.search(text):
+            label_of[text] = max(label_of.get(text, 0), int(label))
+    y = np.array(list(label_of.values()), float)
     if not len(y) or y.min() == y.max():
         return Model()
-    numbers = _telling([set().union(*s) for s in split], y)
-    columns, of_sentence, of_doc = [], [], []
-    for d, sentences in enumerate(split):
-        for words in sentences:
-            n = len(of_doc)
-            of_doc.append(d)
-            for w in words:
-                for f in features(w):
-                    if (i := numbers.get(f)) is not None:
-                        columns.append(i)
-                        of_sentence.append(n)
-    col, sen, doc = np.array(columns, np.int64), np.array(of_sentence, np.int64), np.array(of_doc, np.int64)
-    n_sen, n_voc = len(doc), len(numbers)
+    number, word, sentence, doc = _numbered(label_of)
+    starts = np.searchsorted(sentence, np.searchsorted(doc, np.arange(len(y) + 1)))
+    names, of = _telling(list(number), word, starts, y)
+    col = of[word].ravel()
+    sen = np.repeat(sentence, of.shape[1])[col >= 0]
+    col = col[col >= 0]
+    n_sen, n_voc = len(doc), len(names)
     w, m, v = (np.zeros(n_voc + 1) for _ in range(3))
     w[-1] = -6.0
     for step in range(1, STEPS + 1):
@@ -134,7 +143,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         grad[:-1] += RIDGE * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    return Model(float(w[-1]), {f: float(w[i]) for f, i in numbers.items()})
+    return Model(float(w[-1]), dict(zip(names, w[:-1].tolist(), strict=True)))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
@@ -146,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
     one = docs_of(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     running = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     sample = one.withColumn("so_far", F.sum(F.length("text")).over(running)).where(F.col("so_far") <= chars).select("text", "toxic").toPandas()
-    return fit(sample["text"].tolist(), sample["toxic"].tolist())
+    return fit(sample.pop("text").tolist(), sample["toxic"].tolist())
 
 
 def scorer(spark: SparkSession, model: Model):
