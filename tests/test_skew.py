@@ -2,6 +2,7 @@
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import frames
@@ -114,3 +115,16 @@ def test_distinct_per_group_with_null_group(spark):
     df = spark.createDataFrame([(None, 1, 1), (None, 1, 2), ("a", 2, None)], "g string, x int, y int")
     got = {r.g: (r.nx, r.ny) for r in distinct_per_group(df, "g", {"x": "nx", "y": "ny"}).collect()}
     assert got == {None: (1, 2), "a": (1, 0)}
+
+
+def test_bunched_and_tied_rows_of_a_hot_key_are_split(spark):
+    """Half of a key's rows inside one hour, many at one instant: no stretch holds more than a few times its share."""
+    from tidemark.functions import frames
+    n, buckets = 40_000, 64
+    rows = spark.range(n).select(
+        F.lit(1).alias("user"), F.when(F.col("id") % 2 == 0, F.lit(7_000_000) + F.col("id") % 3).otherwise(F.col("id") * 1000).alias("t"), "id")
+    out = frames.neighbour(rows, ["user"], ["t", "id"], F.col("id"), "prev", buckets=buckets)
+    want = rows.withColumn("prev", F.lag("id").over(Window.partitionBy("user").orderBy("t", "id")))
+    assert out.select("id", "prev").exceptAll(want.select("id", "prev")).count() == 0 and out.count() == n
+    parts = frames._stretches(rows.select(F.struct("user").alias("_key"), "t", "id"), ["t", "id"], buckets).groupBy("_chunk").count()
+    assert parts.count() > buckets // 2 and parts.agg(F.max("count")).first()[0] < 8 * n // buckets

@@ -67,7 +67,7 @@ def value_ranks(df: DataFrame, columns: list[str], by: list[str] | None = None,
         cells = [F.struct(F.lit(i).alias("metric"), F.col(c).cast(_COMMON).alias("value")) for i, c in enumerate(columns)]
         stacked = df.select(*groups, F.inline(F.array(*cells)))
     counts = stacked.groupBy(*names, "metric", "value").agg(F.count("*").alias("n"))
-    placed = with_bucket(counts, "value", "bucket", buckets, sample=stacked)
+    placed = with_bucket(counts, "value", "bucket", buckets)
 
     cell = [*names, "metric", "bucket"]
     inside = Window.partitionBy(*cell).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
@@ -85,12 +85,18 @@ def value_ranks(df: DataFrame, columns: list[str], by: list[str] | None = None,
 
 
 def rank_many(df: DataFrame, specs: list[tuple[str, str, bool]], by: list[str] | None = None,
-              buckets: int | None = None) -> DataFrame:
+              buckets: int | None = None, key: str | None = None) -> DataFrame:
     """Add exact ranks: ``specs`` lists (column, output name, ascending). Pass a stored frame or a plain scan, since the
-    frame is read once for the ranks and once for the rows."""
+    frame is read once for the ranks and once for the rows.
+
+    With ``key``, a column unique in ``df``, only key and values move to the ranks: they become one row per key, and the
+    wide rows are joined once.
+    """
     by = by or []
     columns = list(dict.fromkeys(c for c, _, _ in specs))
     ranks = value_ranks(df, columns, by, buckets)
+    if key:
+        return _ranked_by_key(df, specs, by, columns, ranks, key)
     if len(columns) > 1:  # stored, or the filter per metric would run the whole pass once for each
         ranks = materialize(ranks, "ranks")
     cast = (lambda c: c) if len(columns) == 1 else (lambda c: c.cast(_COMMON))
@@ -106,6 +112,20 @@ def rank_many(df: DataFrame, specs: list[tuple[str, str, bool]], by: list[str] |
     return out
 
 
+def _ranked_by_key(df: DataFrame, specs: list[tuple[str, str, bool]], by: list[str], columns: list[str], ranks: DataFrame,
+                   key: str) -> DataFrame:
+    cast = (lambda c: c) if len(columns) == 1 else (lambda c: c.cast(_COMMON))
+    cells = [F.struct(F.lit(i).alias("_metric"), cast(F.col(c)).alias("_value")) for i, c in enumerate(columns)]
+    narrow = df.select(F.col(key).alias("_key"), *[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], F.inline(F.array(*cells)))
+    side = ranks.select(*[F.col(b).alias(f"_of{i}") for i, b in enumerate(by)], "metric", "value", "rank_asc", "rank_desc")
+    cond = (F.col("_metric") == F.col("metric")) & F.col("_value").eqNullSafe(F.col("value"))
+    for i in range(len(by)):
+        cond = cond & F.col(f"_by{i}").eqNullSafe(F.col(f"_of{i}"))
+    picked = [F.max(F.when(F.col("metric") == columns.index(c), F.col("rank_asc" if up else "rank_desc"))).alias(n) for c, n, up in specs]
+    per_key = narrow.join(side, cond).groupBy("_key").agg(*picked)
+    return df.join(per_key, F.col(key) == F.col("_key"), "left").drop("_key")
+
+
 def rank_global(df: DataFrame, order_col: str, out: str, ascending: bool = False, buckets: int | None = None) -> DataFrame:
     return rank_many(df, [(order_col, out, ascending)], None, buckets)
 
@@ -115,10 +135,11 @@ def rank_in_groups(df: DataFrame, group: str, metric: str, out: str, buckets: in
     return rank_many(df, [(metric, out, False)], [group], buckets)
 
 
-def quantile_scores(df: DataFrame, specs: list[tuple[str, str, bool]], n: int = 5, buckets: int | None = None) -> DataFrame:
+def quantile_scores(df: DataFrame, specs: list[tuple[str, str, bool]], n: int = 5, buckets: int | None = None,
+                    key: str | None = None) -> DataFrame:
     """Scores 1..n by global rank for (column, output name, ascending); equal values always share a score."""
     rows = df.agg(F.count("*")).scalar()
-    out = rank_many(df, [(c, name, asc) for c, name, asc in specs], None, buckets)
+    out = rank_many(df, [(c, name, asc) for c, name, asc in specs], None, buckets, key)
     for _, name, _ in specs:
         out = out.withColumn(name, F.call_function("div", (F.col(name) - 1) * n, rows) + 1)
     return out
@@ -129,6 +150,25 @@ def dense_positions(df: DataFrame, key: str, out: str, start: Column, buckets: i
     return rank_global(df, key, "_pos", True, buckets).withColumn(out, start + F.col("_pos")).drop("_pos")
 
 
+def _stretches(packed: DataFrame, order: list[str], buckets: int) -> DataFrame:
+    """Add ``_chunk``, the stretch of its key a row lies in, and ``_heavy``, whether the key has several."""
+    sizes = packed.groupBy("_key").agg(F.count("*").alias("_n"))
+    total = sizes.agg(F.sum("_n")).scalar()
+    # a key's stretches follow its share of the rows: fewer than ``buckets`` keys, and below 2 x ``buckets`` stretches in all
+    heavy = sizes.filter(F.col("_n") * buckets > total).select("_key", F.ceil(F.col("_n") * buckets / total).cast("int").alias("_slots"))
+    tuple_ = F.struct(*order)
+    # of the rows whose order values hash to one slot, the one with the smallest second hash: a uniform sample of rows
+    slot = F.pmod(F.xxhash64(*order), F.col("_slots"))
+    cuts = (packed.select("_key", *order).join(F.broadcast(heavy), "_key").groupBy("_key", slot.alias("_slot"))
+            .agg(F.min_by(tuple_, F.xxhash64(*order, F.lit(1))).alias("_v")).groupBy("_key").agg(F.sort_array(F.collect_list("_v")).alias("_cuts")))
+    marked = packed.join(F.broadcast(cuts), "_key", "left").withColumn("_chunk", F.lit(0))
+    step = 1 << (buckets - 1).bit_length()
+    while step:  # binary search: how many cuts lie below the row
+        marked = marked.withColumn("_chunk", F.when(F.get("_cuts", F.col("_chunk") + (step - 1)) < tuple_, F.col("_chunk") + step).otherwise(F.col("_chunk")))
+        step //= 2
+    return marked.withColumn("_heavy", F.col("_cuts").isNotNull()).drop("_cuts")
+
+
 def ordered_pass(df: DataFrame, keys: list[str], order: list[str], fill: list[str] | None = None,
                  lag: dict[str, Column] | None = None, lead: dict[str, Column] | None = None,
                  buckets: int | None = None) -> DataFrame:
@@ -136,20 +176,15 @@ def ordered_pass(df: DataFrame, keys: list[str], order: list[str], fill: list[st
     place) of the same key. ``order`` must identify a row within its key.
 
     A plain window sends all rows of a key to one task. Here the rows of every key that holds more than one part in
-    ``buckets`` of all rows are split into stretches of the first order column; the window runs inside a stretch, and
-    values that cross its edge come from the nearest other stretches of the key, found among at most ``buckets`` rows
-    per key. All other keys are one stretch each.
+    ``buckets`` of all rows are split into stretches of the whole order, cut by a sample of the key's own rows, so
+    rows bunched in time and ties of the first column are split too. The window runs inside a stretch, and values
+    that cross its edge come from the nearest other stretches of the key. All other keys are one stretch each.
     """
     fill, lag, lead = fill or [], lag or {}, lead or {}
     buckets = buckets or default_buckets(df.sparkSession)
     # keys travel as one struct: null members compare equal there, so plain equality keeps the window's partitioning
     packed = df.select(F.struct(*keys).alias("_key"), *[c for c in df.columns if c not in keys])
-    total = packed.agg(F.count("*")).scalar()
-    heavy = (packed.groupBy("_key").agg(F.count("*").alias("_n")).filter(F.col("_n") * buckets > total)
-             .select("_key", F.lit(True).alias("_heavy")))
-    marked = packed.join(F.broadcast(heavy), "_key", "left")  # fewer than ``buckets`` keys can be that heavy
-    placed = with_bucket(marked, order[0], "_chunk", buckets, sample=packed).withColumn(
-        "_chunk", F.when(F.col("_heavy"), F.col("_chunk")).otherwise(0))
+    placed = _stretches(packed, order, buckets)
     inside = Window.partitionBy("_key", "_chunk").orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = placed.select(

@@ -41,7 +41,7 @@ CHANNEL = f"""
 SELECT CASE WHEN o.OnlineOrderFlag THEN 'Online' ELSE 'Offline' END AS SalesChannel, count(DISTINCT o.SalesOrderID) AS n,
   count(DISTINCT o.CustomerID) AS c, sum({DUE}) AS due, {avg(DUE)} AS aov, sum(l.OrderQty) AS u, {avgi('l.OrderQty')} AS q,
   {avg('l.UnitPriceDiscount')} AS disc, {avgi(dd('o.OrderDate', 'o.ShipDate'))} AS ship
-FROM m_order o JOIN m_line l USING (SalesOrderID) WHERE {KEPT} AND o.OrderDate >= {Y1} GROUP BY 1"""
+FROM m_order o JOIN m_line l USING (SalesOrderID) WHERE {KEPT} AND o.OrderDate >= {Y1} GROUP BY o.OnlineOrderFlag"""
 
 
 # once-per-order forms: header amounts from the orders alone, volumes from the lines
@@ -59,8 +59,8 @@ MONTHS_ONCE = "SELECT g AS m, * FROM (" + once(
     "date_trunc('month', o.OrderDate)", f"sum(o.SubTotal) AS rev, sum(o.TaxAmt) AS tax, sum(o.Freight) AS ship, {_HEADS}",
     "sum(l.OrderQty) AS u", Y2) + ")"
 DAYS_ONCE = "SELECT g AS d, * FROM (" + once("date_trunc('day', o.OrderDate)", _HEADS, "sum(l.OrderQty) AS u", f"{NOW} - INTERVAL 90 DAY") + ")"
-CHANNEL_ONCE = "SELECT g AS SalesChannel, * FROM (" + once(
-    "CASE WHEN o.OnlineOrderFlag THEN 'Online' ELSE 'Offline' END", f"{_HEADS}, {avgi(dd('o.OrderDate', 'o.ShipDate'))} AS ship",
+CHANNEL_ONCE = "SELECT CASE WHEN g = 1 THEN 'Online' ELSE 'Offline' END AS SalesChannel, * FROM (" + once(
+    "CASE WHEN o.OnlineOrderFlag THEN 1 WHEN NOT o.OnlineOrderFlag THEN 0 ELSE -1 END", f"{_HEADS}, {avgi(dd('o.OrderDate', 'o.ShipDate'))} AS ship",
     f"sum(l.OrderQty) AS u, {avgi('l.OrderQty')} AS q, {avg('l.UnitPriceDiscount')} AS disc", Y1) + ")"
 
 

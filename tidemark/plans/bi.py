@@ -120,7 +120,7 @@ def rfm_base(tables: Tables, as_of: datetime, n: int = 5) -> DataFrame:
              .select("CustomerID", days_old("_last", as_of).alias("Recency"), "Frequency",
                      F.col("Monetary").cast("decimal(29,4)").alias("Monetary")))
     scored = quantile_scores(materialize(spend, "rfm"), [
-        ("Recency", "R_Score", False), ("Frequency", "F_Score", True), ("Monetary", "M_Score", True)], n)
+        ("Recency", "R_Score", False), ("Frequency", "F_Score", True), ("Monetary", "M_Score", True)], n, key="CustomerID")
     r, f, m = F.col("R_Score"), F.col("F_Score"), F.col("M_Score")
     label = (F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions").when((f >= 4) & (m >= 3), "Loyal")
              .when((r >= 4) & (f <= 2), "New").when((r <= 2) & (f >= 3), "At Risk")
@@ -150,7 +150,7 @@ def product_overview(tables: Tables, as_of: datetime, th: Thresholds = DEFAULTS)
     ranked = materialize(base, "product-overview")
     total = ranked.agg(F.sum("TotalRevenue")).scalar()
     ranked = rank_many(ranked, [("TotalRevenue", "RevenueRank", False), ("TotalUnitsSold", "VolumeRank", False),
-                                ("ProfitMarginPercent", "MarginRank", False)])
+                                ("ProfitMarginPercent", "MarginRank", False)], key="ProductID")
     return ranked.select(
         "ProductID", "ProductName", "ProductNumber", "Color", "Size", "CategoryName", "ProductStatus", "ListPrice",
         "StandardCost", "ProfitMarginPercent", "TimesSold", "TotalUnitsSold", "TotalRevenue", "AverageSellingPrice",
@@ -186,7 +186,7 @@ def top_products_by_category(tables: Tables, as_of: datetime, th: Thresholds = D
             .select("CategoryName", "ProductID", "ProductName", "ProductNumber", "Color", "ListPrice", "TotalRevenue",
                     "TotalUnitsSold", "ProfitMarginPercent", "PerformanceCategory", "ProductStatus"))
     stored = materialize(base, "products-by-category")
-    ranked = rank_in_groups(stored, "CategoryName", "TotalRevenue", "CategoryRank")
+    ranked = rank_many(stored, [("TotalRevenue", "CategoryRank", False)], ["CategoryName"], key="ProductID")
     return (share_of_total(ranked, "TotalRevenue", "CategoryContribution", by="CategoryName")
             .orderBy("CategoryName", "CategoryRank"))
 
@@ -266,16 +266,17 @@ def channel_performance(tables: Tables, as_of: datetime, th: Thresholds = DEFAUL
                         fanout: str = "reference") -> DataFrame:
     keep = flag_is("IsDeleted", False) & (F.col("OrderDate") >= shift(at(as_of), years=-1))
     ship_days = datediff_sql("day", F.col("OrderDate"), F.col("ShipDate"))
-    channel = F.when(F.col("OnlineOrderFlag").cast("boolean"), "Online").otherwise("Offline")
+    flag = F.col("OnlineOrderFlag").cast("boolean")
     out = (joined_orders(tables, fanout, keep).withColumn("_ship", ship_days)
-           .groupBy(channel.alias("SalesChannel")).agg(
+           .groupBy(flag.alias("_flag")).agg(
         F.count("*").alias("OrderCount"), F.count_distinct("CustomerID").alias("UniqueCustomers"),
         weighted_sum("TotalDue").alias("TotalRevenue"), weighted_mean("TotalDue").alias("AvgOrderValue"),
         F.sum("Units").alias("TotalUnits"), int_div(F.sum("Units"), F.sum("Lines")).alias("AvgQuantityPerOrder"),
         ratio(F.sum("DiscountSum"), F.sum("Lines")).alias("AvgDiscountRate"),
         int_div(weighted_sum("_ship"), F.sum(F.when(F.col("_ship").isNotNull(), F.col("w"))))
         .alias("AvgShippingDays")))
-    both = Window.partitionBy()  # two channels
+    out = out.select(F.when(F.col("_flag"), "Online").otherwise("Offline").alias("SalesChannel"), *[c for c in out.columns if c != "_flag"])
+    both = Window.partitionBy()  # two channels, and a row of its own for orders without flag
     return (out.withColumn("OrderShare", percent(F.col("OrderCount"), F.sum("OrderCount").over(both)))
             .withColumn("RevenueShare", percent(F.col("TotalRevenue"), F.sum("TotalRevenue").over(both)))
             .orderBy(F.desc("TotalRevenue")))
