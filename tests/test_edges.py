@@ -228,3 +228,14 @@ def test_lag_percentiles_are_exact(spark):
     got = {r.table_name: r for r in windows.replication_lag(spark.createDataFrame(rows, "table_name string, ts timestamp, arrived timestamp")).collect()}
     assert (got["t"].MedianLagSeconds, got["t"].P95LagSeconds, got["t"].MaxLagSeconds, got["t"].Changes) == (50, 95, 5000, 100)
     assert (got["u"].MedianLagSeconds, got["u"].AvgLagSeconds, got["u"].Changes) == (7, 7.0, 2)
+
+
+def test_scratch_folders_can_be_removed(spark, monkeypatch):
+    import os
+
+    from tidemark import config
+    monkeypatch.setattr(config, "_MADE", [])  # folders of other tests stay
+    kept = config.materialize(spark.range(3), "scratch-test")
+    path = config._MADE[0].removeprefix("file://")
+    assert kept.count() == 3 and os.path.isdir(path)
+    assert config.remove_scratch(spark) == 1 and not os.path.exists(path)

@@ -60,7 +60,23 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tidemark-")
-    return f"{root.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+_MADE: list[str] = []
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete every folder ``shared_dir`` has handed out in this process. Call it when no frame that reads one is needed
+    any more; returns how many there were."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _MADE:
+        path = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.config import materialize
 from tidemark.functions.columns import at, is_active, is_deleted
 from tidemark.functions.frames import dense_positions, neighbour, ordered_pass
 from tidemark.sources import schemas
@@ -160,7 +161,7 @@ def undelete(df: DataFrame, keys: DataFrame, key: str, ts: datetime, stamp: bool
 def purge(tables: dict[str, DataFrame], predicates: dict[str, Column],
           links: list[tuple[str, str, str]]) -> dict[str, DataFrame]:
     """Remove rows for good. ``links`` lists (child, parent, key) with children first: rows of a child whose parent row
-    goes are removed too, however many steps up the condition holds."""
+    goes are removed too, however many steps up the condition holds. Each set of doomed keys is found once and stored."""
     doomed: dict[str, DataFrame] = {}
 
     def condemned(name: str) -> DataFrame | None:
@@ -171,7 +172,7 @@ def purge(tables: dict[str, DataFrame], predicates: dict[str, Column],
                 if child == name and own and condemned(parent) is not None:
                     more = df.join(condemned(parent), key, "left_semi").select(own)
                     keys = more if keys is None else keys.union(more)
-            doomed[name] = keys.distinct() if keys is not None else None
+            doomed[name] = materialize(keys.distinct(), f"purge-{name}") if keys is not None else None
         return doomed[name]
 
     out = {}

@@ -344,3 +344,13 @@ SQL = {
 }
 SQL |= {"late_changes_stream": SQL["late_changes"], "session_stream": SQL["sessions"], "feed_dedupe_stream": SQL["feed_dedupe"],
         "cdc_snapshot": mirror_sql(f"""SELECT table_name, "key", set_value, set_props, {big('gone')} AS IsDeleted FROM f""", f=FOLD)}
+SQL |= {"purge_rows": mirror_sql("""
+  SELECT 'Customer' AS TableName, CAST(CustomerID AS VARCHAR) AS RowName FROM m_customer WHERE coalesce(EmailAddress, 'x') <> ''
+  UNION ALL SELECT 'Product', CAST(ProductID AS VARCHAR) FROM m_product WHERE Name NOT LIKE '%bolt%'
+  UNION ALL SELECT 'ProductCategory', CAST(ProductCategoryID AS VARCHAR) FROM m_category
+  UNION ALL SELECT 'ProductModel', CAST(ProductModelID AS VARCHAR) FROM m_model
+  UNION ALL SELECT 'SalesOrderHeader', CAST(SalesOrderID AS VARCHAR) FROM ko
+  UNION ALL SELECT 'SalesOrderDetail', concat(l.SalesOrderID, '|', l.ProductID, '|', l.OrderQty) FROM m_line l JOIN ko USING (SalesOrderID)
+    JOIN m_product p USING (ProductID) WHERE p.Name NOT LIKE '%bolt%'
+  UNION ALL SELECT 'CustomerAddress', concat(a.CustomerID, '|', a.AddressType) FROM m_address a JOIN m_customer c USING (CustomerID)
+    WHERE coalesce(c.EmailAddress, 'x') <> ''""", ko=_KEPT_ORDERS)}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,6 +108,17 @@ def purge(tables: Tables, as_of: datetime) -> DataFrame:
     return audit.row_count_integrity(tables, purged(tables))
 
 
+ROW_NAMES = {"Customer": ["CustomerID"], "Product": ["ProductID"], "ProductCategory": ["ProductCategoryID"], "ProductModel": ["ProductModelID"],
+             "SalesOrderHeader": ["SalesOrderID"], "SalesOrderDetail": ["SalesOrderID", "ProductID", "OrderQty"], "CustomerAddress": ["CustomerID", "AddressType"]}
+
+
+def purge_rows(tables: Tables, as_of: datetime) -> DataFrame:
+    """The rows a purge keeps, by name."""
+    parts = [df.select(F.lit(name).alias("TableName"), F.concat_ws("|", *[F.col(c).cast("string") for c in ROW_NAMES[name]]).alias("RowName"))
+             for name, df in purged(tables).items()]
+    return reduce(DataFrame.union, parts)
+
+
 def affected_counts(tables: Tables, as_of: datetime) -> DataFrame:
     return changes.affected_counts(tables["SalesOrderHeader"], {
         "cancel_expedited": is_deleted() & (F.col("ShipMethod") == "EXPEDITED"),
@@ -403,7 +415,7 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
 TABLE_QUERIES = {
     "insert_rows": insert_rows, "assign_keys": assign_keys, "update_by_key": update_by_key, "bulk_update": bulk_update,
     "update_from": update_from, "soft_delete": soft_delete, "bulk_soft_delete": bulk_soft_delete, "undelete": undelete,
-    "purge": purge, "affected_counts": affected_counts, "with_audit_columns": with_audit_columns,
+    "purge": purge, "purge_rows": purge_rows, "affected_counts": affected_counts, "with_audit_columns": with_audit_columns,
     "active_customers": active_rows("Customer"), "active_products": active_rows("Product"),
     "active_orders": active_rows("SalesOrderHeader"), "historical_customers": historical_rows("Customer"),
     "historical_products": historical_rows("Product"), "soft_delete_summary": soft_delete_summary,
