@@ -71,10 +71,11 @@ class WordIds:
         if len(self.pieces) + len(unknown) > MEMO_ROOM:
             self.pieces.clear()
             unknown = list(set().union(*split))
-        for at in range(0, len(unknown), 4000):
-            some = unknown[at:at + 4000]
-            for piece, code in zip(some, self.coder.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.pieces[piece] = np.array(code.ids, "<u4").tobytes()
+        # bytes stand for themselves in ASCII pieces, so these may enter the tokenizer's model directly
+        model = self.coder.model
+        for piece in unknown:
+            ids = [t.id for t in model.tokenize(piece)] if piece.isascii() else self.coder.encode(piece, add_special_tokens=False).ids
+            self.pieces[piece] = np.array(ids, "<u4").tobytes()
         of = self.pieces
         for word, pieces in zip(new, split, strict=True):
             self.words[word] = of[pieces[0]] if len(pieces) == 1 else b"".join([of[p] for p in pieces])
