@@ -17,7 +17,7 @@ from tidemark.functions.columns import (
     is_deleted, line_total, mean, pct_change, percent, ratio, shift, total_due,
 )
 from tidemark.functions.frames import (
-    date_dim, quantile_scores, rank_global, rank_in_groups, rank_many, share_of_total,
+    date_dim, quantile_scores, rank_global, rank_many, share_of_total,
 )
 from tidemark.plans import views
 from tidemark.plans.views import customer_type, joined_orders, multiplied, weighted_mean, weighted_sum
