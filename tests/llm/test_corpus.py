@@ -194,7 +194,9 @@ def test_archive_round_trip(spark):
     assert got.where("not intact").count() == 0
 
 
-def test_archives_of_awkward_pages(spark):
+@pytest.mark.parametrize("few", [200_000, -1])
+def test_archives_of_awkward_pages(spark, monkeypatch, few):
+    monkeypatch.setattr(warc, "BROADCAST_REVISITS", few)
     rows = [(5, "http://a/ b\nc", "same"), (3, None, "same"), (9, "http://x", "same"), (3, "http://y", "same"), (1, "http://é/ü", "WARC/1.1\r\n\r\n\r\nfiledesc://x\n1 0\n"),
             (2, "", None), (4, "u", ""), (6, "u", "é€\r\n\r\nlast "), (7, "v", "big " * 200_000), (-8, "v", "neg"), (10, "w", "\n")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("record_id", F.lit(1)).withColumn("payload", F.lit("p"))

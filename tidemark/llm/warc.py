@@ -40,6 +40,8 @@ ARC_FIELDS = {
 }
 ORDER_HEADER = "X-Order"
 FIRST_IN_TASK = (1 << 33) - 1
+#: Revisits that are broadcast: at most so many, some 60 MB.
+BROADCAST_REVISITS = 200_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -171,7 +173,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_byte
     """All ARC files below ``arc_path`` as WARC files in ``warc_path``.
 
     The files are parsed twice: once for the small columns, from which each payload's first record follows, and once
-    for the bytes. What decides meets the bytes by record id, which is unique, so copies of one payload stay spread.
+    for the bytes. What decides meets the bytes by record id, which is unique, so copies of one payload stay spread;
+    few decisions travel to the bytes, many meet them in a shuffle.
     """
     slim = parse_arcs(spark, arc_path, with_content=False).where(F.col("payload_bytes") >= min_revisit_bytes)
     place = F.struct(F.coalesce("order_no", F.lit((1 << 63) - 1)).alias("o"), "record_id")
@@ -181,6 +184,9 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_byte
     revisits = (known.join(first, ["payload_digest", "payload_bytes"])
                 .where((F.col("first.record_id") != F.col("record_id")) & ~F.col("order_no").eqNullSafe(F.col("first.order_no")))
                 .select("record_id", F.col("first.record_id").alias("of_id"), F.col("first.uri").alias("of_uri"), F.col("first.date").alias("of_date")))
+    revisits = materialize(revisits, "warc-revisits")
+    if revisits.count() <= BROADCAST_REVISITS:
+        revisits = F.broadcast(revisits)
     full = parse_arcs(spark, arc_path, with_content=True).join(revisits, "record_id", "left")
     again = F.col("of_id").isNotNull()
     kind = F.when(again, "revisit").when(F.col("http"), "response").otherwise("resource")
