@@ -88,6 +88,7 @@ def change_activity(log: DataFrame, tables: Tables, as_of: datetime, hours: int
     changed = (log.filter(F.col("ts") >= shift(at(as_of), hours=-hours)).groupBy("table_name")
                .agg(F.count("*").alias("TotalModifications"), F.max("ts").alias("LastChange")))
     total, rows = F.col("TotalModifications"), F.col("CurrentRows")
+    # fixed values: impact texts by number of modifications
     load = band(total, [(10000, "High mirroring load expected"), (1000, "Medium mirroring load expected"),
                         (100, "Low mirroring load expected")], "Minimal mirroring load", op=">")
     level = (F.when(total > rows * 0.5, "VERY_HIGH").when(total > rows * 0.2, "HIGH")
@@ -187,6 +188,7 @@ def health_score(known: DataFrame) -> DataFrame:
         F.when(F.col("FailingTables") == 0, 20).otherwise(0).alias("ErrorScore"),
         F.when(F.col("UsedPercent") < 75, 10).otherwise(0).alias("CapacityScore"))
     total_score = F.col("FeedScore") + F.col("CoverageScore") + F.col("ErrorScore") + F.col("CapacityScore")
+    # fixed values: advice by first failing check
     advice = (F.when(F.col("FeedScore") == 0, "Enable Change Feed for mirroring")
               .when(F.col("CoverageScore") < 30, "Configure more tables for mirroring")
               .when(F.col("ErrorScore") == 0, "Resolve Change Feed exceptions")
@@ -210,7 +212,7 @@ ALERT_RULES = [
     (4, "MEDIUM", lambda: F.col("LongSessions") > 0, "Long-running sessions found. They may slow mirroring."),
     (5, "LOW", lambda: F.col("BlockedEvents") > 0, "Blocked work found. It may delay mirroring."),
 ]
-ALL_CLEAR = (1, "INFO", "Mirroring looks healthy. Keep monitoring.")
+ALL_CLEAR = (1, "INFO", "All mirrored tables are enabled and in step, and no limit is exceeded.")
 
 
 def alerts(known: DataFrame, rules=None) -> DataFrame:

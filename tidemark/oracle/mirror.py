@@ -339,7 +339,7 @@ SQL = {
        UNION ALL SELECT 3, 'MEDIUM', 'Log usage is high. Look for long-running work.' FROM f WHERE used > 75
        UNION ALL SELECT 4, 'MEDIUM', 'Long-running sessions found. They may slow mirroring.' FROM f WHERE longs > 0
        UNION ALL SELECT 5, 'LOW', 'Blocked work found. It may delay mirroring.' FROM f WHERE blocked > 0
-       UNION ALL SELECT 1, 'INFO', 'Mirroring looks healthy. Keep monitoring.' FROM f
+       UNION ALL SELECT 1, 'INFO', 'All mirrored tables are enabled and in step, and no limit is exceeded.' FROM f
          WHERE enabled > 0 AND failing = 0 AND used <= 75 AND longs = 0 AND blocked = 0)""", **FACT_PARTS),
 }
 SQL |= {"late_changes_stream": SQL["late_changes"], "session_stream": SQL["sessions"], "feed_dedupe_stream": SQL["feed_dedupe"],

@@ -20,9 +20,10 @@ SQL = {
       FROM (VALUES (1, 'IN_PROCESS'), (2, 'APPROVED'), (3, 'BACKORDERED'), (4, 'REJECTED'), (5, 'SHIPPED'), (6, 'CANCELLED')) v(s, n)
       LEFT JOIN m_order o ON o.Status = v.s GROUP BY 1, 2"""),
     "op_view_stack": mirror_sql(f"SELECT CustomerSegment, ChurnRisk, count(*) AS Customers, {usd('sum(HistoricalCLV)')} AS Revenue, {usd('sum(PredictedCLV)')} AS Predicted FROM ltv GROUP BY 1, 2", c360=C360, ltv=LTV),
-    "op_date_spine": mirror_sql(f"""SELECT d AS "Date", {big('quarter(d)')} AS Quarter, {big("strftime(d, '%U')::INT + 1")} AS WeekOfYear, monthname(d) AS MonthName,
-      dayname(d) AS WeekdayName, {big('CASE WHEN month(d) >= 7 THEN 2002 ELSE 2001 END')} AS FiscalYear, count(o.SalesOrderID) AS Shipments
-      FROM (SELECT unnest(generate_series(TIMESTAMP '2001-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d) c
+    "op_date_spine": mirror_sql(f"""SELECT d AS "Date", {big('quarter(d)')} AS Quarter,
+      {big("strftime(d, '%U')::INT + CASE WHEN dayofweek(date_trunc('year', d)) = 0 THEN 0 ELSE 1 END")} AS WeekOfYear, monthname(d) AS MonthName,
+      dayname(d) AS WeekdayName, {big('year(d + INTERVAL 6 MONTH)')} AS FiscalYear, count(o.SalesOrderID) AS Shipments
+      FROM (SELECT unnest(generate_series((SELECT date_trunc('day', min(OrderDate))::TIMESTAMP FROM m_order), TIMESTAMP '2002-08-02', INTERVAL 1 DAY)) AS d) c
       LEFT JOIN m_order o ON date_trunc('day', o.ShipDate) = c.d GROUP BY d"""),
     "op_temp_result": mirror_sql("""SELECT * FROM (SELECT 'email' AS Rule, 'Customer' AS TableName, count(*) FILTER (trim(coalesce(EmailAddress, '')) = '') AS Hits FROM m_customer
       UNION ALL SELECT 'phone', 'Customer', count(*) FILTER (trim(coalesce(Phone, '')) = '') FROM m_customer

@@ -53,11 +53,11 @@ def view_stack(t: Tables, as_of: datetime) -> DataFrame:
 
 
 def date_spine(t: Tables, as_of: datetime) -> DataFrame:
-    """Shipments per day of the current year, with days without any."""
+    """Shipments per day of the calendar, with days without any."""
     spark, orders = t["Customer"].sparkSession, t["SalesOrderHeader"]
     first = orders.agg(F.min(F.to_date("OrderDate"))).scalar()
     shipped = orders.groupBy(F.to_date("ShipDate").alias("Date")).agg(F.count("*").alias("n"))
-    return (date_dim(spark, first, as_of).filter(F.col("IsCurrentYear") == 1).join(shipped, "Date", "left")
+    return (date_dim(spark, first, as_of).join(shipped, "Date", "left")
             .select("Date", "Quarter", "WeekOfYear", "MonthName", "WeekdayName", "FiscalYear",
                     F.coalesce("n", F.lit(0)).alias("Shipments")))
 
@@ -308,7 +308,7 @@ def top_k(t: Tables, as_of: datetime) -> DataFrame:
 
 
 def unpivot(t: Tables, as_of: datetime) -> DataFrame:
-    """Metric rows from one row of totals, and entity rows of three tables in one shape."""
+    """Metric rows from one row of totals."""
     totals = t["SalesOrderHeader"].agg(F.sum("SubTotal").alias("SubTotal"), F.sum("TaxAmt").alias("TaxAmt"),
                                        F.sum("Freight").alias("Freight"))
     return totals.unpivot([], ["SubTotal", "TaxAmt", "Freight"], "Metric", "Amount")
