@@ -27,7 +27,7 @@ WINDOW, END, OPEN, MIN_PIECE = 2048, 1, 32, 32
 #: Tasks whose leftovers one merge task takes, so that it holds at most FAN_IN x OPEN windows.
 FAN_IN = 64
 #: Distinct pieces whose ids a worker remembers; beyond that it starts anew.
-MEMO_ROOM = 600_000
+MEMO_ROOM = 350_000
 #: Characters of text tokenized at a time.
 LOT = 1_000_000
 

@@ -36,7 +36,7 @@ MIN_DOCS, LIFT, MIN_GAIN = 3, 3.0, 8.0
 STEMS = (4, 5, 6, 7)
 SENTENCE = re.compile(r"[.!?\n]+")
 TOKEN = re.compile(r"\w+")
-MEMO_ROOM = 500_000
+MEMO_ROOM = 200_000
 
 
 def features(word: str) -> list[str]:
