@@ -189,6 +189,18 @@ def test_line_dedup_finds_moved_and_split_passages(spark):
     assert out == {1: rows[0][1], 2: "own line\n", 3: rows[2][1], 4: rows[3][1], 5: "y\nz"}
 
 
+def test_line_dedup_finds_passages_in_swapped_order():
+    def cut(early, late):
+        marks = [linededup.line_marks("\n".join(x)) for x in (early, late)]
+        return linededup.common_lines(marks[0][0], *marks[1], 50)
+
+    p, q2, short = prose(1, 60), prose(2, 55), ["one two", "three four"]
+    assert cut([p, short[0]], [short[0], p]) == {1}
+    assert cut([p, *short], [*short, p]) == {2}
+    assert cut([p, *short, q2], [q2, "", *short, "own", p]) == {0, 5}
+    assert cut([short[0], p], [p, "own", short[0]]) == {0} and cut([prose(3, 30), *short], [*short, prose(3, 30)]) == set()
+
+
 def test_patience_blocks():
     assert linededup.patience([1, 2, 3, 9, 4, 5], [0, 1, 2, 3, 4, 5, 6]) == [(0, 1, 3), (4, 4, 2)]
     assert linededup.patience([1, 1, 2, 2], [2, 2, 1, 1]) in ([(0, 2, 2)], [(2, 0, 2)])

@@ -3,8 +3,8 @@
 A run of lines with at least ``MIN_WORDS`` words in all is an anchor; anchors are rare where single lines may be common.
 Each document meets, for every anchor it shares with an earlier document, the earliest one that holds it. Their
 lines are aligned by patience diff, and common blocks of at least ``MIN_WORDS`` words are deleted from the later
-document. A pair is aligned again without the found blocks until none is left, so moved passages are found as well. Any block of
-that size that a document shares with any earlier one holds an anchor, so meeting the earliest holders
+document. A pair is aligned again without the found blocks until none is left, and then every anchor of the pair that alignment
+crowded out is deleted too, so moved passages are found whatever lies around them. Any block of that size that a document shares with any earlier one holds an anchor, so meeting the earliest holders
 misses none, and pairs stay as few as anchors, however many documents share a passage. The first document with a line keeps it.
 
 Lines are compared without surrounding white space. Later means the larger doc_id, then the larger hash of the text.
@@ -42,14 +42,19 @@ def line_marks(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array(hashes, np.int64), np.array(words, np.int32)
 
 
-def anchors(hashes: np.ndarray, words: np.ndarray, min_words: int) -> list[int]:
-    """Hashes of the shortest runs of lines from each line on that reach ``min_words``. Lines without words are passed over."""
+def word_runs(h: np.ndarray, words: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
+    """Hash, start and end of the shortest runs from each line on that reach ``min_words``. All lines have words."""
     import xxhash
 
-    real = np.flatnonzero(words)
-    h, upto = hashes[real], np.concatenate(([0], np.cumsum(words[real])))
+    upto = np.concatenate(([0], np.cumsum(words)))
     ends = np.searchsorted(upto, upto[:-1] + min_words)
-    return list({xxhash.xxh3_64_intdigest(h[i:e].tobytes()) >> 1 for i, e in enumerate(ends.tolist()) if e < len(upto)})
+    return [(xxhash.xxh3_64_intdigest(h[i:e].tobytes()) >> 1, i, e) for i, e in enumerate(ends.tolist()) if e < len(upto)]
+
+
+def anchors(hashes: np.ndarray, words: np.ndarray, min_words: int) -> list[int]:
+    """Hashes of the runs of lines that reach ``min_words``. Lines without words are passed over."""
+    real = np.flatnonzero(words)
+    return list({x for x, _, _ in word_runs(hashes[real], words[real], min_words)})
 
 
 def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int]]:
@@ -125,14 +130,22 @@ def common_lines(early: np.ndarray, late: np.ndarray, words: np.ndarray, min_wor
     rows = np.flatnonzero(words)
     a, b = [x for x in early.tolist() if x], late[rows].tolist()
     weight = words[rows].tolist()
+    # equal lines have equally many words; a line of the early document alone is in no shared run, whatever it weighs
+    known = dict(zip(b, weight, strict=True))
+    held = {x for x, _, _ in word_runs(np.array(a, np.int64), np.array([known.get(x, min_words) for x in a], np.int64), min_words)}
+    shared = [(i, e) for x, i, e in word_runs(late[rows], words[rows], min_words) if x in held]
     cut: set[int] = set()
     while True:
         # what is cut already matches nothing, and neither does what lacks a partner
         masked = [-1 - j if j in cut else x for j, x in enumerate(b)]
         new = {j + k for _, j, size in patience(a, masked) for k in range(size) if sum(weight[j:j + size]) >= min_words}
         if not new:
-            return {int(rows[j]) for j in cut}
+            break
         cut |= new
+    # runs that the alignments' order or shorter matches crowded out
+    for i, e in shared:
+        cut.update(range(i, e))
+    return {int(rows[j]) for j in cut}
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple:
