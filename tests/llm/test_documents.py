@@ -201,6 +201,25 @@ def test_line_dedup_finds_passages_in_swapped_order():
     assert cut([short[0], p], [p, "own", short[0]]) == {0} and cut([prose(3, 30), *short], [*short, prose(3, 30)]) == set()
 
 
+def test_line_dedup_cuts_whole_blocks_of_any_earlier_document(spark):
+    head, tail = prose(1, 60), prose(2, 40)
+    rows = [(1, f"{head}\nx"), (2, f"{head}\n{tail}\ny"), (3, f"{head}\n{tail}\nz")]
+    out = {r.doc_id: r.text for r in linededup.dedupe(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: rows[0][1], 2: f"{tail}\ny", 3: "z"}
+
+    lines = [prose(20 + i, 1 + 9 * i % 31) for i in range(12)]
+    order = np.random.default_rng(5)
+    docs = [[lines[i] for i in order.integers(0, 12, 14)] for _ in range(12)]
+    docs = [d + docs[i // 2][i % 5:i % 5 + 6] for i, d in enumerate(docs)]
+    want = {}
+    for n, doc in enumerate(docs):
+        spans = [(i, j) for i in range(len(doc)) for j in range(i + 1, len(doc) + 1) if len(" ".join(doc[i:j]).split()) >= 50]
+        held = {tuple(d[i:i + k]) for d in docs[:n] for i in range(len(d)) for k in range(1, len(doc) + 1)}
+        want[n] = sorted({x for i, j in spans if tuple(doc[i:j]) in held for x in range(i, j)})
+    got = linededup.dedupe(spark.createDataFrame([(n, "\n".join(d)) for n, d in enumerate(docs)], "doc_id long, text string"))
+    assert {r.doc_id: r.cut_lines for r in got.collect()} == want and sum(map(bool, want.values())) > 5
+
+
 def test_patience_blocks():
     assert linededup.patience([1, 2, 3, 9, 4, 5], [0, 1, 2, 3, 4, 5, 6]) == [(0, 1, 3), (4, 4, 2)]
     assert linededup.patience([1, 1, 2, 2], [2, 2, 1, 1]) in ([(0, 2, 2)], [(2, 0, 2)])

@@ -1,11 +1,13 @@
 """Line dedup by pairwise alignment.
 
-A run of lines with at least ``MIN_WORDS`` words in all is an anchor; anchors are rare where single lines may be common.
+A shortest run of lines, from a line on or up to a line, with at least ``MIN_WORDS`` words in all is an anchor; anchors are rare where single lines may be common.
 Each document meets, for every anchor it shares with an earlier document, the earliest one that holds it. Their
 lines are aligned by patience diff, and common blocks of at least ``MIN_WORDS`` words are deleted from the later
 document. A pair is aligned again without the found blocks until none is left, and then every anchor of the pair that alignment
-crowded out is deleted too, so moved passages are found whatever lies around them. Any block of that size that a document shares with any earlier one holds an anchor, so meeting the earliest holders
-misses none, and pairs stay as few as anchors, however many documents share a passage. The first document with a line keeps it.
+crowded out is deleted too, so moved passages are found whatever lies around them. Every
+line of a block that a document shares with any earlier one lies in an anchor inside that block (the run from a line on, up to it, or
+around it), so meeting the earliest holders misses no line, and pairs stay as few as anchors, however many documents share a passage.
+The first document with a line keeps it.
 
 Lines are compared without surrounding white space. Later means the larger doc_id, then the larger hash of the text.
 
@@ -43,12 +45,14 @@ def line_marks(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_runs(h: np.ndarray, words: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
-    """Hash, start and end of the shortest runs from each line on that reach ``min_words``. All lines have words."""
+    """Hash, start and end of the shortest runs that reach ``min_words``, from each line on and up to each line. All lines have words."""
     import xxhash
 
     upto = np.concatenate(([0], np.cumsum(words)))
     ends = np.searchsorted(upto, upto[:-1] + min_words)
-    return [(xxhash.xxh3_64_intdigest(h[i:e].tobytes()) >> 1, i, e) for i, e in enumerate(ends.tolist()) if e < len(upto)]
+    starts = np.searchsorted(upto, upto[1:] - min_words, "right") - 1
+    spans = {(i, e) for i, e in enumerate(ends.tolist()) if e < len(upto)} | {(i, e) for e, i in enumerate(starts.tolist(), 1) if i >= 0}
+    return [(xxhash.xxh3_64_intdigest(h[i:e].tobytes()) >> 1, i, e) for i, e in spans]
 
 
 def anchors(hashes: np.ndarray, words: np.ndarray, min_words: int) -> list[int]:
