@@ -102,6 +102,19 @@ def test_noisy_or_learns_from_documents_and_points_at_sentences(spark):
     assert found == {(i, i % 6) for i, y in enumerate(labels) if y}
 
 
+def test_one_long_text_does_not_empty_the_sample(spark):
+    """A text over the bound comes first in the order of the sample, one over a share of it second."""
+    order = [r.id for r in spark.range(400).where(toxicity.crc_fold(F.col("id")) != 0).orderBy(F.xxhash64("id"), "id").collect()]
+    docs = [(i, f"{prose(3000 + n, 12)} {'grumblefoot' if n % 3 == 0 else 'calm'}") for n, i in enumerate(order)]
+    docs[0], docs[1] = (order[0], prose(1, 30_000)), (order[1], prose(2, 5000))
+    marks = spark.createDataFrame([(i, int(n % 3 == 0)) for n, i in enumerate(order)], "doc_id long, toxic int")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert len(docs[0][1]) > 200_000 > len(docs[1][1]) + sum(len(t) for _, t in docs[2:])
+    model = toxicity.train(frame, marks, chars=200_000)
+    got = {r.doc_id: r.predicted for r in toxicity.score(frame, model).collect()}
+    assert all(got[i] == int(n % 3 == 0) for n, i in enumerate(order) if n > 1)
+
+
 def test_toxicity_on_tricky_rows(spark, tricky, nothing):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.train(tricky, none).weights == {} and toxicity.train(nothing, none).weights == {}

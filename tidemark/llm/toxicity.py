@@ -4,8 +4,8 @@ Only documents are labelled, yet sentences offend. A sentence's probability is l
 the noisy-or of its sentences: it is toxic unless every sentence is innocent. The weights are fitted to the document
 labels through that noisy-or, and the same sentence scores then point at the offending sentences.
 
-The fit reads at most ``TRAIN_ROWS`` labelled documents and ``TRAIN_CHARS`` characters of them (in the order of their ids'
-hash), on the driver. Scoring reads every whole text.
+The fit reads at most ``TRAIN_ROWS`` labelled documents and ``TRAIN_CHARS`` characters of them (whole texts in the order of
+their ids' hash, very long ones last; one that no longer fits is passed over), on the driver. Scoring reads every whole text.
 
 Defined cases: null and empty texts have no sentence and score 0; a document labelled twice counts as toxic if one
 label says so; equal texts score alike; without usable labels of both kinds every score is 0.
@@ -19,13 +19,15 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.common import crc_fold, docs_of, longs, small_batches
+from tidemark.llm.common import crc_fold, docs_of, longs, materialize, small_batches
 
 TRAIN_ROWS, TRAIN_CHARS = 6000, 12_000_000
+#: A text longer than this part of the characters joins the sample after all others, if room is left.
+SHARES = 20
 STEPS, RATE, RIDGE = 300, 0.2, 3e-5
 #: Weight of a toxic document in the likelihood.
 TOXIC_WEIGHT = 3.0
@@ -153,8 +155,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
     mixed = F.xxhash64("doc_id")
     chosen = usable.orderBy(mixed, "doc_id").limit(rows)
     one = docs_of(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    running = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    sample = one.withColumn("so_far", F.sum(F.length("text")).over(running)).where(F.col("so_far") <= chars).select("text", "toxic").toPandas()
+    one = materialize(one, "labelled-texts")
+    # only ids and lengths are ordered, on the driver: at most ``rows`` of them
+    sizes = one.select("doc_id", F.length("text").alias("size"), F.xxhash64("doc_id").alias("place")).collect()
+    taken, so_far = [], 0
+    for r in sorted(sizes, key=lambda r: (r["size"] > chars // SHARES, r["place"], r["doc_id"])):
+        if so_far + r["size"] <= chars:
+            taken.append((r["doc_id"],))
+            so_far += r["size"]
+    spark = docs.sparkSession
+    ids = spark.createDataFrame(taken, one.select("doc_id").schema)
+    sample = one.join(F.broadcast(ids), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").select("text", "toxic").toPandas()
     return fit(sample.pop("text").tolist(), sample["toxic"].tolist())
 
 
