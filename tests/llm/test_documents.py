@@ -261,6 +261,13 @@ def test_license_wording(spark):
     assert not got.get(3, (None, False))[1]
 
 
+def test_license_in_long_lines_and_all_of_a_line(spark):
+    english = "The office of the harbour is open to any person who has the right to use, copy and sell this kind of fish without limitation. " * 80
+    lines = [english + "Licensed under CC BY 4.0.", f"Released under the MIT License. {english} Licensed under CC BY-SA 4.0. {english} All rights reserved."]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).where("confirmed")
+    assert rows_of(got, "doc_id", "license") == [(0, "CC-BY-4.0"), (1, "CC-BY-SA-4.0"), (1, "MIT"), (1, "Proprietary")]
+
+
 def test_license_on_tricky_rows(tricky, nothing):
     assert licenses.scan(tricky).count() == 0 and licenses.scan(nothing).count() == 0
     noted = tricky.withColumn("text", F.concat_ws("\n", "text", F.lit("All rights reserved.")))

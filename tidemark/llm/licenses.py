@@ -1,17 +1,20 @@
 """License scans by conditional compression.
 
-Lines that mention licensing are candidates. Each is compressed alone and with every template as a raw zstandard
-dictionary; a template that makes it much smaller explains it. Templates are ranked by that reduction, and the best
-are confirmed by comparing words: the passage of the template closest to the line must differ from it in few words.
-
-Defined cases: null and empty texts have no candidate; a line is judged whole however long; equal lines are judged
-alike (a worker remembers lines it has judged); ties in the reduction go to the smaller word difference, then to
-the template's name; an empty table gives no row.
+Texts that mention licensing are read in words, across line breaks. Every stretch of words that differs from a notice
+of any template in few words confirms that template; of overlapping stretches the closest stays. What is confirmed is compressed alone and with
+the template as a raw zstandard dictionary. A mention that no confirmed notice explains is judged by compression: the template that makes its
+line, or the lines around it, smallest explains it if it saves enough.
+
+Defined cases: null and empty texts have no candidate; a text is read whole however long its lines; a notice over several lines counts at its
+first; its lines must hold a mention; a line has one row per license; ties in the word difference go to the longer notice, the larger reduction,
+then the template's name; an empty table gives no row.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -24,7 +27,10 @@ from tidemark.llm.common import docs_of, longs, small_batches
 
 #: A line is a candidate if it holds one of these, in any case.
 MENTIONS = r"(?i)licen[cs]|copyright|©|all rights reserved|public domain|warranty|creative commons|cc[ -]by|redistribut"
-LEVEL, FINALISTS, MIN_SAVING, MAX_DIFFERENCE = 19, 3, 0.35, 0.25
+MENTION = re.compile(MENTIONS, re.ASCII)
+LEVEL, MIN_SAVING, MAX_DIFFERENCE = 19, 0.35, 0.25
+#: Characters around a confirmed stretch, and around a mention in a longer line or paragraph, that are compressed with it.
+MARGIN, REACH = 100, 500
 
 #: Notices of common licenses (fixed values: the wording of each license's own notice).
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -66,7 +72,7 @@ WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
 class Scanner:
-    """Judges single blocks against the templates."""
+    """Judges texts against the templates."""
 
     def __init__(self, templates: dict[str, tuple[str, ...]] = TEMPLATES):
         import zstandard
@@ -78,41 +84,147 @@ class Scanner:
             raw = zstandard.ZstdCompressionDict(text, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.with_template[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=raw)
         self.words = {name: [WORD.findall(n.lower()) for n in notices] for name, notices in templates.items()}
-        self.judge = lru_cache(maxsize=20_000)(self._judge)
-
-    def saving(self, block: bytes, name: str) -> tuple[int, int]:
-        return len(self.alone.compress(block)), len(self.with_template[name].compress(block))
+        self.known = {w for notices in self.words.values() for n in notices for w in n}
+        self.saving = lru_cache(maxsize=20_000)(self._saving)
+        self.guess = lru_cache(maxsize=20_000)(self._guess)
+        self.closest = lru_cache(maxsize=20_000)(self.difference)
 
-    def difference(self, block: str, name: str) -> tuple[int, int]:
-        """Words to change, and words compared, between the block's best stretch and the closest notice of a template."""
-        words = WORD.findall(block.lower())
-        best = None
-        for notice in self.words[name]:
-            same = SequenceMatcher(None, notice, words, autojunk=False).get_matching_blocks()
-            common = sum(m.size for m in same)
-            inside = [m for m in same if m.size]
-            # words of the block between its first and last common word, or the notice's, whichever is more
-            span = inside[-1].b + inside[-1].size - inside[0].b if inside else 0
-            changed = max(len(notice), span) - common
-            if best is None or (changed / len(notice), changed) < (best[0] / best[1], best[0]):
-                best = (changed, len(notice))
+    def _saving(self, block: str, name: str) -> tuple[int, int]:
+        data = block.encode("utf-8", "surrogatepass")
+        return len(self.alone.compress(data)), len(self.with_template[name].compress(data))
+
+    def difference(self, words: tuple[str | None, ...], name: str, k: int) -> tuple[int, int]:
+        """Words to change between notice ``k`` of a template and the closest stretch of ``words`` from their first common word on, and that stretch's length."""
+        notice = self.words[name][k]
+        inside = [m for m in SequenceMatcher(None, notice, words, autojunk=False).get_matching_blocks() if m.size]
+        best, common = (len(notice), 0), 0
+        for m in inside:
+            common += m.size
+            span = m.b + m.size - inside[0].b
+            # words of the stretch between its first and last common word, or the notice's, whichever is more
+            best = min(best, (max(len(notice), span) - common, m.b + m.size))
         return best
 
-    def _judge(self, block: str) -> tuple | None:
-        data = block.encode("utf-8", "surrogatepass")
+    def passages(self, text: str, breaks: list[int]) -> list[tuple]:
+        """(start, end, license, plain, given, changed, of, saving) of the stretches of words that confirm a template, none overlapping."""
+        at, start, end, word = [], [], [], []
+        for n, m in enumerate(WORD.finditer(text)):
+            if (w := m.group().lower()) in self.known:
+                at.append(n)
+                start.append(m.start())
+                end.append(m.end())
+                word.append(w)
+        found = []
+        for name, notices in self.words.items():
+            for k, notice in enumerate(notices):
+                own = Counter(notice)
+                slack = int(MAX_DIFFERENCE * len(notice))
+                least, room = len(notice) - slack, len(notice) + slack
+                mine = [i for i, w in enumerate(word) if w in own]
+                for x in range(len(mine) - least + 1):
+                    # a confirmed stretch holds so many words of the notice in so little room
+                    if at[mine[x + least - 1]] - at[mine[x]] >= room:
+                        continue
+                    first, y = at[mine[x]], x
+                    words: list[str | None] = [None] * room
+                    while y < len(mine) and at[mine[y]] - first < room:
+                        words[at[mine[y]] - first] = word[mine[y]]
+                        y += 1
+                    if (Counter(w for w in words if w) & own).total() < least:
+                        continue
+                    changed, size = self.closest(tuple(words), name, k)
+                    if changed <= slack:
+                        last = max(z for z in mine[x:y] if at[z] - first < size)
+                        found.append((start[mine[x]], end[last], name, changed, len(notice)))
         ranked = []
+        for lo, hi, name, changed, of in found:
+            plain, given = self.saving(text[slice(*around(breaks, lo, hi))], name)
+            ranked.append((changed / of, -of, -(1 - given / plain), name, lo, hi, plain, given, changed))
+        out: list[tuple] = []
+        used = bytearray(len(text))
+        for _, of, saving, name, lo, hi, plain, given, changed in sorted(ranked):
+            if not any(used[lo:hi]):
+                out.append((lo, hi, name, plain, given, changed, -of, -saving))
+                used[lo:hi] = b"\1" * (hi - lo)
+        return sorted(out)
+
+    def _guess(self, block: str) -> tuple | None:
+        """The template that saves most of an unconfirmed block: (license, plain, given, saving), if that is enough."""
+        best = None
         for name in self.with_template:
-            plain, given = self.saving(data, name)
-            ranked.append((1 - given / plain, name, plain, given))
-        ranked.sort(key=lambda r: (-r[0], r[1]))
-        found = None
-        for saving, name, plain, given in ranked[:FINALISTS]:
-            changed, of = self.difference(block, name)
-            sure = changed <= MAX_DIFFERENCE * of
-            # a long line holds more than the notice, so its saving is small although its wording is exact
-            if (saving >= MIN_SAVING or sure) and (found is None or (not sure, changed / of, -saving) < (not found[5], found[3] / found[4], -found[6])):
-                found = (name, plain, given, changed, of, sure, saving)
-        return found
+            plain, given = self.saving(block, name)
+            saving = 1 - given / plain
+            if saving >= MIN_SAVING and (best is None or (-saving, name) < (-best[3], best[0])):
+                best = (name, plain, given, saving)
+        return best
+
+    def _nearest(self, block: str, name: str) -> tuple[int, int]:
+        words = WORD.findall(block.lower())
+        got = [(self.difference(tuple(words), name, k)[0], len(n)) for k, n in enumerate(self.words[name])]
+        return min(got, key=lambda g: (g[0] / g[1], g[0]))
+
+    def judge(self, text: str) -> list[tuple]:
+        """Rows (line_no, license, saving, plain, given, changed, of, confirmed, line) of a text: its confirmed notices, and the blocks around other
+        mentions that a template makes much smaller. A line has one row per license."""
+        mentions = [m.start() for m in MENTION.finditer(text)]
+        breaks = [-1, *[m.start() for m in re.finditer("\n", text)], len(text)]
+        rows: dict[tuple[int, str], tuple] = {}
+        taken = []
+
+        def put(lo: int, hi: int, name: str, saving: float, plain: int, given: int, changed: int, of: int, sure: bool) -> None:
+            key = (bisect_left(breaks, lo) - 1, name)
+            if key not in rows or (not sure, changed / of, -of) < (not rows[key][7], rows[key][5] / rows[key][6], -rows[key][6]):
+                rows[key] = (*key, saving, plain, given, changed, of, sure, lines_of(breaks, lo, hi))
+
+        for lo, hi, name, plain, given, changed, of, saving in self.passages(text, breaks):
+            first, last = lines_of(breaks, lo, hi)
+            if bisect_left(mentions, first) < bisect_left(mentions, last):
+                put(lo, hi, name, saving, plain, given, changed, of, True)
+                taken.append(around(breaks, lo, hi))
+        ends = [hi for _, hi in taken]
+        done: set[tuple[int, int]] = set()
+        for at in mentions:
+            near = bisect_left(ends, at)
+            if any(lo <= at < hi for lo, hi in taken[max(0, near - 1):near + 2]):
+                continue
+            best = None
+            for lo, hi in {blocks_at(text, breaks, at, False), blocks_at(text, breaks, at, True)} - done:
+                done.add((lo, hi))
+                # what is confirmed speaks for itself only
+                lo = max([lo, *(y for _, y in taken[max(0, near - 1):near + 1] if y <= at)])
+                hi = min([hi, *(x for x, _ in taken[near:near + 2] if x > at)])
+                if (got := self.guess(text[lo:hi])) and (best is None or (-got[3], lo) < (-best[1][3], best[0])):
+                    best = (lo, got, hi)
+            if best:
+                lo, (name, plain, given, saving), hi = best
+                changed, of = self._nearest(text[lo:hi], name)
+                put(lo, hi, name, saving, plain, given, changed, of, False)
+        return [(*rows[k][:-1], text[slice(*rows[k][-1])]) for k in sorted(rows)]
+
+
+def lines_of(breaks: list[int], lo: int, hi: int) -> tuple[int, int]:
+    """Bounds of the whole lines that hold a stretch."""
+    return breaks[bisect_left(breaks, lo) - 1] + 1, breaks[bisect_left(breaks, hi)]
+
+
+def around(breaks: list[int], lo: int, hi: int) -> tuple[int, int]:
+    """Bounds of the block of a stretch: its lines, where they are not much longer."""
+    first, last = lines_of(breaks, lo, hi)
+    return max(first, lo - MARGIN), min(last, hi + MARGIN)
+
+
+def blocks_at(text: str, breaks: list[int], at: int, paragraph: bool) -> tuple[int, int]:
+    """Bounds of the candidate block of a mention: its line or the lines without a blank one between, as far as a notice reaches."""
+    lo, hi = lines_of(breaks, at, at)
+    if paragraph:
+        while lo and at - lo < REACH and text[(first := max(lines_of(breaks, lo - 1, lo - 1)[0], lo - REACH)):lo - 1].strip():
+            lo = first
+        while hi < len(text) and hi - at < REACH and text[hi + 1:(last := min(lines_of(breaks, hi + 1, hi + 1)[1], hi + REACH))].strip():
+            hi = last
+    if hi - lo <= 2 * REACH:
+        return lo, hi
+    at -= at % (REACH // 2)  # mentions close together share a block
+    return max(lo, at - REACH), min(hi, at + REACH + REACH // 2)
 
 
 SCHEMA = ("doc_id long, line_no int, license string, saving double, plain_bytes int, given_bytes int, changed_words int, template_words int,"
@@ -120,20 +232,15 @@ SCHEMA = ("doc_id long, line_no int, license string, saving double, plain_bytes
 
 
 def scan(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per line that a template explains: doc_id, line_no (from 0), license, saving, sizes, word difference, confirmed."""
+    """One row per line and license that explains it: doc_id, line_no (from 0, of the first line), license, saving, sizes, word difference, confirmed, lines."""
     small_batches(docs.sparkSession)
-    lines = (docs_of(docs, id_col, text_col).where(F.col("text").rlike(MENTIONS))
-             .select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.col("line").rlike(MENTIONS)))
+    texts = docs_of(docs, id_col, text_col).where(F.col("text").rlike(MENTIONS))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scanner = Scanner(templates)
         for batch in batches:
-            out = []
-            for doc_id, line_no, line in zip(batch["doc_id"], batch["line_no"], batch["line"], strict=True):
-                if found := scanner.judge(line):
-                    name, plain, given, changed, of, sure, saving = found
-                    out.append((doc_id, line_no, name, saving, plain, given, changed, of, sure, line))
+            out = [(doc_id, *row) for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True) for row in scanner.judge(text)]
             if out:
                 yield pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")]).assign(doc_id=longs(r[0] for r in out))
 
-    return lines.select(F.col("doc_id").cast("string").alias("doc_id"), "line_no", "line").mapInPandas(run, SCHEMA)
+    return texts.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
