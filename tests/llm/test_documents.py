@@ -268,6 +268,19 @@ def test_license_in_long_lines_and_all_of_a_line(spark):
     assert rows_of(got, "doc_id", "license") == [(0, "CC-BY-4.0"), (1, "CC-BY-SA-4.0"), (1, "MIT"), (1, "Proprietary")]
 
 
+def test_license_notices_over_several_lines(spark):
+    rows, want = [], []
+    for name, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            if len(notice.split()) > 12:
+                words = notice.split()
+                words[5] = "changed"
+                rows.append((len(rows), "\n".join([prose(1, 30), "", *(" * " + " ".join(words[i:i + 8]) for i in range(0, len(words), 8)), "", prose(2, 30)])))
+                want.append((len(want), 2, name, 1))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed")
+    assert len(want) >= 6 and rows_of(got, "doc_id", "line_no", "license", "changed_words") == sorted(want, key=str)
+
+
 def test_license_on_tricky_rows(tricky, nothing):
     assert licenses.scan(tricky).count() == 0 and licenses.scan(nothing).count() == 0
     noted = tricky.withColumn("text", F.concat_ws("\n", "text", F.lit("All rights reserved.")))
