@@ -21,7 +21,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-_DUCK = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp"}
+_DUCK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp"}
 
 
 def _row(values) -> tuple:
