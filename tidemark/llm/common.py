@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import materialize
 
-__all__ = ["materialize", "docs_of", "small_batches", "crc_fold", "shuffle_width", "longs", "without_ids"]
+__all__ = ["materialize", "docs_of", "small_batches", "bounded_batches", "crc_fold", "shuffle_width", "longs", "without_ids", "located", "on_shelf", "Memo", "lots"]
 
 #: Ids that are broadcast rather than shuffled against texts: at most so many, some 100 MB.
 BROADCAST_IDS = 2_000_000
@@ -28,6 +28,63 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "32m") -> None:
+    """As ``small_batches``, and few bytes: rows of many megabytes come alone."""
+    small_batches(spark, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def located(path: str | Callable[[], str]) -> str:
+    """A path, or what a function called in the worker says it is there."""
+    return path() if callable(path) else path
+
+
+def on_shelf(name: str, make: Callable):
+    """What ``make`` gives, made once per worker process. Functions of this subpackage travel by value, and their globals with
+    them, so what outlives a task is kept in a module of the worker's own."""
+    import sys
+    import types
+
+    shelf = sys.modules.setdefault("_tidemark_worker_shelf", types.ModuleType("_tidemark_worker_shelf")).__dict__
+    if name not in shelf:
+        shelf[name] = make()
+    return shelf[name]
+
+
+class Memo:
+    """Values of keys met lately, in two generations of ``room`` / 2 keys: when the younger is full the older is dropped, so
+    keys in use stay and the rest is forgotten. The keys of one call may go beyond that."""
+
+    def __init__(self, room: int):
+        self.room, self.young, self.old = room, {}, {}
+
+    def of(self, keys: set, learn: Callable[[list], Iterable]) -> dict:
+        """A dict that holds every one of ``keys``; ``learn`` gives the values of a list of unknown ones."""
+        missing = keys.difference(self.young)
+        if missing and len(self.young) + len(missing) > self.room // 2:
+            self.old, self.young, missing = self.young, {}, keys
+        known = missing.intersection(self.old)
+        self.young.update((k, self.old[k]) for k in known)
+        new = list(missing.difference(known))
+        if new:
+            self.young.update(zip(new, learn(new), strict=True))
+        return self.young
+
+
+def lots(batches: Iterator[pd.DataFrame], columns: list[str], size: Callable[[tuple], int], room: int) -> Iterator[list[tuple]]:
+    """Rows in lots of about ``room``, as ``size`` counts them; a row beyond that comes at the end of its lot."""
+    lot, left = [], room
+    for batch in batches:
+        for row in zip(*[batch[c] for c in columns], strict=True):
+            lot.append(row)
+            left -= size(row)
+            if left <= 0:
+                yield lot
+                lot, left = [], room
+    if lot:
+        yield lot
+
+
 def crc_fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id written as text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, linededup, mixing, ngramjoin, packing, spotsigs, toxicity, urlfilter, vectors, warc
+from tidemark.llm import alignment, licenses, linededup, mixing, ngramjoin, packing, search, spotsigs, tokencount, toxicity, urlfilter, vectors, warc
 from tidemark.llm.common import crc_fold
 
 RULES = [urlfilter.Rule("block", "net", "/"), urlfilter.Rule("allow", "example.net", "/en/"),
@@ -22,6 +22,15 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def public(name: str):
+    """Where a public vocabulary lies, found out in the worker that reads it."""
+    def path() -> str:
+        import public_tokenizers
+
+        return str(public_tokenizers.path(name))
+    return path
+
+
 def op1_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.with_edits(table(spark, folder, "documents"))
 
@@ -67,7 +76,20 @@ def op10_ngramjoin(spark: SparkSession, folder: str) -> DataFrame:
     return ngramjoin.near_components(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_licenses, op3_vectors, op4_linededup, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter, op10_ngramjoin)}
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.link_report(table(spark, folder, "documents"), public("byte_bpe_50k.json"), public("piece_bpe_32k.model"))
+
+
+def op12_tokencount(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, folder, "documents"), public("piece_bpe_32k.model"))
+
+
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_spotsigs, op2_licenses, op3_vectors, op4_linededup, op5_toxicity, op6_packing, op7_warc, op8_mixing, op9_urlfilter, op10_ngramjoin,
+                                   op11_alignment, op12_tokencount, op13_search)}
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^ \x09-\x0D]+')), 0)::BIGINT"
 
@@ -100,4 +122,18 @@ SELECT page_id, host, path,
   CASE WHEN net_en THEN 'example.net/en/' WHEN com_de THEN 'example.com/de/' WHEN org_fr THEN 'org/fr/' WHEN net THEN 'net/' END AS rule,
   CASE WHEN net_en THEN 'allow' WHEN com_de THEN 'block' WHEN org_fr THEN 'allow' WHEN net THEN 'block' ELSE 'allow' END AS verdict
 FROM r""",
+    "op13_search": r"""
+WITH w AS (SELECT rid, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT *, row_number() OVER () AS rid FROM documents)),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+d AS (SELECT rid, any_value(doc_id) AS doc_id, count(*) AS n FROM w GROUP BY rid),
+z AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d),
+p AS (SELECT rid, term, count(*) AS tf FROM w WHERE term IN (SELECT term FROM i) GROUP BY rid, term),
+f AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM (SELECT term, count(*) AS df FROM p GROUP BY term), z),
+s AS (SELECT item_id, rid, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::BIGINT AS score
+      FROM i JOIN p USING (term) JOIN f USING (term) JOIN d USING (rid), z GROUP BY item_id, rid),
+r AS (SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+      FROM s JOIN d USING (rid) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
 }
