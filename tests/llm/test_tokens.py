@@ -159,6 +159,15 @@ def test_gallop_finds_every_place():
         assert got.tolist() == np.searchsorted(longer, values).tolist()
 
 
+def test_rank_order_gives_the_tokenizers_ids(spark):
+    both, rng = alignment.tokens(A, B), random.Random(8)
+    assert both.fast is not None
+    kinds = ["abcdefghij ", " \n\t\r", "aé1² '", "'srevmldt ", "".join(map(chr, range(0x20, 0x180))), "a \xa0\x85\x1c\x0b梦٣\U0001f600"]
+    texts = ["".join(rng.choice(k) for _ in range(rng.choice([1, 7, 60, 900]))) for k in kinds for _ in range(60)] + ODD[1:]
+    texts += [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").where("text is not null").collect()]
+    assert both.ids_of_a(texts) == [e.ids for e in both.a.encode_batch(texts, add_special_tokens=False)]
+
+
 # ---- search
 
 def plain_search(docs, items, k):

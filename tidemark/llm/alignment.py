@@ -8,6 +8,9 @@ texts gallop in step, each within its own text's tokens.
 One tokenizer (A) takes a blank and the text, its pieces written byte by byte in printable characters; the other (B) adds that blank
 itself, writes blanks as U+2581 and unknown bytes as <0xHH>.
 
+The first tokenizer's pre-tokens are merged by rank order of its own vocabulary, in a faster library, for texts of characters that every
+library classes alike; the rest, or a vocabulary whose merges are not in the order of its ids, go through the tokenizer itself.
+
 Defined cases: a text that is null or empty, or whose joined token bytes are not the blank and the text, has no tokens and counts
 zero everywhere; special tokens written in a text are plain text; repeated rows and ids are rows of their own; an empty table
 gives no rows. Texts of any length are encoded whole. Only the two columns named are read.
@@ -16,7 +19,9 @@ gives no rows. Texts of any length are encoded whole. Only the two columns named
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,6 +36,9 @@ from tidemark.llm.common import bounded_batches, docs_of, located, longs, lots,
 SPACE = "▁"
 #: Characters of text aligned at a time.
 LOT = 1_000_000
+#: The public pattern that cuts text before merging, and characters that some library may class in another way.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+UNSURE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\xb1\xb4-\xb8\xba\xbb\xbf-\u017f\u2010-\u2027\u2030-\u205e\u20ac]")
 #: Pairs of ids that are broadcast rather than shuffled against links: at most so many, some 200 MB.
 BROADCAST_PAIRS = 4_000_000
 #: Parts a pair's links are dealt to where they are shuffled.
@@ -150,6 +158,7 @@ class Tokens:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else b"" if self.b.is_control(i) else piece.replace(SPACE, " ").encode())
+        self.fast = self._by_rank(a_path)
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.marks = {}
         for side, size in ((0, len(self.bytes_a)), (self.WIDTH, len(self.bytes_b))):
@@ -157,14 +166,36 @@ class Tokens:
                 self.marks[2 * (side + i)] = f"{i},"
                 self.marks[2 * (side + i) + 1] = f"{i};" if side else f"{i}|"
 
+    def _by_rank(self, path: str):
+        """The same tokenizer by rank order, or None where its file does not say that this is the same."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        model, cut = told["model"], told.get("pre_tokenizer") or {}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+        order = [model["vocab"][left + right] for left, right in merges]
+        plain = (told.get("normalizer") is None and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+                 and not model.get("ignore_merges") and not model.get("dropout") and order == sorted(set(order)) and min(order, default=0) >= 256)
+        merged = set(order)
+        ranks = {self.bytes_a[i]: i for i in model["vocab"].values() if i < 256 or i in merged} if plain else {}
+        if len(ranks) != 256 + len(order) or any(bytes([b]) not in ranks for b in range(256)):
+            return None
+        return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def ids_of_a(self, texts: list[str]) -> list[list[int]]:
+        sure = [self.fast is not None and not UNSURE.search(t) for t in texts]
+        rest = iter(self.a.encode_batch_fast([t for t, s in zip(texts, sure, strict=True) if not s], add_special_tokens=False))
+        return [self.fast.encode_ordinary(t) if s else next(rest).ids for t, s in zip(texts, sure, strict=True)]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, Lot]:
         """Whether each text has tokens, and the lot of those that have."""
         full = [i for i, t in enumerate(texts) if t]
-        coded_a = self.a.encode_batch_fast([" " + texts[i] for i in full], add_special_tokens=False) if full else []
+        coded_a = self.ids_of_a([" " + texts[i] for i in full]) if full else []
         coded_b = self.b.encode([texts[i] for i in full], num_threads=1) if full else []
         whole, lists_a, lists_b = np.zeros(len(texts), bool), [], []
         for i, a, b in zip(full, coded_a, coded_b, strict=True):
-            want, a = (" " + texts[i]).encode(), a.ids
+            want = (" " + texts[i]).encode()
             if b"".join(map(self.bytes_a.__getitem__, a)) == want and b"".join(map(self.bytes_b.__getitem__, b)) == want:
                 whole[i] = True
                 lists_a.append(np.array(a, np.int64))
