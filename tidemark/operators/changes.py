@@ -1,7 +1,8 @@
 """Folding an ordered change feed into current rows, and the edits a feed carries.
 
-A change sets some columns, deletes (flags) a row or restores it. Updates never touch the delete flag, so the current
-row is not the latest change: each column keeps the value of the last change that set it. All of that is expressed as
+A change sets some columns (I, U), deletes (flags) a row (D), restores it (R) or purges it for good (P). Updates never touch the
+delete flag, so the current row is not the latest change: each column keeps the value of the last change that set it. A
+purge takes with it whatever was set before; what is set after it makes a new row. All of that is expressed as
 ``max`` / ``max_by`` on the sequence number, which merges in any order and any number of times.
 """
 
@@ -26,17 +27,19 @@ def to_deltas(changes: DataFrame, columns: list[str], key: list[str] = KEY, mask
     ``mask`` names an array column listing the columns a change sets, so an explicit null can win; without it a
     change sets its non-null columns.
     """
+    seq, op = F.col("seq"), F.col("op")
+    lives = ~op.eqNullSafe("P")
+
     def sets(c: str) -> Column:
-        return F.array_contains(mask, c) if mask else F.col(c).isNotNull()
+        return (F.array_contains(mask, c) if mask else F.col(c).isNotNull()) & lives
 
-    seq, op = F.col("seq"), F.col("op")
     return changes.select(
         *key,
         *[F.when(sets(c), F.col(c)).alias(c) for c in columns],
         *[F.when(sets(c), seq).alias(f"{c}__seq") for c in columns],
         F.when(op == "D", seq).alias("delete_seq"), F.when(op == "R", seq).alias("restore_seq"),
         F.when(op == "D", F.col("ts")).alias("delete_ts"), F.when(op == "D", F.col("actor")).alias("delete_actor"),
-        seq.alias("last_seq"), F.col("ts").alias("last_ts"))
+        F.when(~lives, seq).alias("purge_seq"), F.when(lives, seq).alias("last_seq"), F.when(lives, F.col("ts")).alias("last_ts"))
 
 
 def merge_deltas(deltas: DataFrame, columns: list[str], key: list[str] = KEY) -> DataFrame:
@@ -46,12 +49,28 @@ def merge_deltas(deltas: DataFrame, columns: list[str], key: list[str] = KEY) ->
         *[F.max(f"{c}__seq").alias(f"{c}__seq") for c in columns],
         F.max("delete_seq").alias("delete_seq"), F.max("restore_seq").alias("restore_seq"),
         F.max_by("delete_ts", "delete_seq").alias("delete_ts"),
-        F.max_by("delete_actor", "delete_seq").alias("delete_actor"),
+        F.max_by("delete_actor", "delete_seq").alias("delete_actor"), F.max("purge_seq").alias("purge_seq"),
         F.max("last_seq").alias("last_seq"), F.max_by("last_ts", "last_seq").alias("last_ts"))
 
 
+def outlive_purge(state: DataFrame, columns: list[str], horizon: int | None = None) -> DataFrame:
+    """A folded state without what its purges took. A purged key stays as a tombstone, so that an older change that comes
+    late does not bring it back; up to ``horizon``, the sequence number below which no change can come any more, it goes."""
+    def after(seq: str) -> Column:
+        return F.col("purge_seq").isNull() | (F.col(seq) > F.col("purge_seq"))
+
+    guard = {c: f"{c}__seq" for c in columns} | {"delete_ts": "delete_seq", "delete_actor": "delete_seq", "last_ts": "last_seq"}
+    guard |= {seq: seq for seq in (*[f"{c}__seq" for c in columns], "delete_seq", "restore_seq", "last_seq")}
+    kept = state.select(*[F.when(after(guard[c]), F.col(c)).alias(c) if c in guard else F.col(c) for c in state.columns])
+    if horizon is None:
+        return kept
+    spent = F.coalesce(F.col("purge_seq") <= horizon, F.lit(False))
+    return kept.filter(~spent | F.col("last_seq").isNotNull()).withColumn("purge_seq", F.when(~spent, F.col("purge_seq")))
+
+
 def current_rows(state: DataFrame, columns: list[str], key: list[str] = KEY) -> DataFrame:
-    """Readable rows of a folded state: payload, delete audit columns, last modification."""
+    """Readable rows of a folded state: payload, delete audit columns, last modification. Purged rows are not there."""
+    state = outlive_purge(state, columns).filter("last_seq is not null")
     gone = F.coalesce(F.col("delete_seq") > F.col("restore_seq"), F.col("delete_seq").isNotNull())
     return state.select(*key, *columns, gone.alias("IsDeleted"), F.when(gone, F.col("delete_ts")).alias("DeletedDate"),
                         F.when(gone, F.col("delete_actor")).alias("DeletedBy"), F.col("last_ts").alias("ModifiedDate"),
@@ -158,10 +177,11 @@ def undelete(df: DataFrame, keys: DataFrame, key: str, ts: datetime, stamp: bool
     return (out if stamp else out.withColumn("ModifiedDate", F.col("_original"))).select(*cols)
 
 
-def purge(tables: dict[str, DataFrame], predicates: dict[str, Column],
-          links: list[tuple[str, str, str]]) -> dict[str, DataFrame]:
+def purge(tables: dict[str, DataFrame], predicates: dict[str, Column], links: list[tuple[str, str, str]],
+          rows: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Remove rows for good. ``links`` lists (child, parent, key) with children first: rows of a child whose parent row
-    goes are removed too, however many steps up the condition holds. Each set of doomed keys is found once and stored."""
+    goes are removed too, however many steps up the condition holds. Each set of doomed keys is found once and stored. ``rows`` are
+    the tables to remove from, if those differ from the ones the doomed keys are sought in."""
     doomed: dict[str, DataFrame] = {}
 
     def condemned(name: str) -> DataFrame | None:
@@ -176,7 +196,7 @@ def purge(tables: dict[str, DataFrame], predicates: dict[str, Column],
         return doomed[name]
 
     out = {}
-    for name, df in tables.items():
+    for name, df in (rows or tables).items():
         own, kept = schemas.KEYS[name], df
         if own and condemned(name) is not None:
             kept = kept.join(condemned(name), own, "left_anti")

@@ -343,7 +343,22 @@ SQL = {
          WHERE enabled > 0 AND failing = 0 AND used <= 75 AND longs = 0 AND blocked = 0)""", **FACT_PARTS),
 }
 SQL |= {"late_changes_stream": SQL["late_changes"], "session_stream": SQL["sessions"], "feed_dedupe_stream": SQL["feed_dedupe"],
-        "cdc_snapshot": mirror_sql(f"""SELECT table_name, "key", set_value, set_props, {big('gone')} AS IsDeleted FROM f""", f=FOLD)}
+        "late_dedupe_stream": SQL["feed_dedupe"], "cdc_snapshot": SQL["cdc_fold"], "history_incremental": SQL["history"]}
+_WITH_PURGES = "SELECT * REPLACE (CASE WHEN op = 'D' AND seq % 4 = 0 THEN 'P' ELSE op END AS op) FROM m_change"
+_PURGES = """SELECT table_name, "key", max(seq) AS purged FROM x WHERE op = 'P' GROUP BY 1, 2"""
+_LIVING = """SELECT x.* FROM x LEFT JOIN p USING (table_name, "key") WHERE op <> 'P' AND (purged IS NULL OR seq > purged)"""
+_MIDDLE = "(SELECT (min(seq) + max(seq)) // 2 FROM m_change)"
+SQL |= {
+    "cdc_purge": mirror_sql(FOLDED, x=_WITH_PURGES, p=_PURGES, l=_LIVING, f=FOLD.replace("m_change", "l")),
+    "cdc_evolve": mirror_sql(FOLDED, f=FOLD.replace("set_props IS NOT NULL", f"set_props IS NOT NULL AND seq > {_MIDDLE}")),
+    "evolved_rows": mirror_sql(f"""SELECT CustomerID, LastName, CASE WHEN CustomerID % 2 <> 0 THEN Phone END AS Phone, ModifiedDate,
+      {big('CASE WHEN CustomerID % 2 <> 0 THEN coalesce(IsDeleted, FALSE) ELSE FALSE END')} AS IsDeleted,
+      CASE WHEN CustomerID % 2 <> 0 THEN DeletedDate END AS DeletedDate, CASE WHEN CustomerID % 2 <> 0 THEN DeletedBy END AS DeletedBy FROM m_customer"""),
+    "purge_counts": mirror_sql("SELECT a.TableName, a.n AS RowsBefore, b.kept AS RowsAfter, a.n - b.kept AS RowsRemoved FROM sizes a JOIN kept b USING (TableName)",
+                               ko=_KEPT_ORDERS, kept=_REMOVED, sizes=_SIZES),
+    "feed_counts_stream": mirror_sql("""SELECT count(*) FILTER (op = 'I') AS Inserts, count(*) FILTER (op = 'U') AS Updates,
+      count(*) FILTER (op = 'D') AS Deletes, count(*) FILTER (op = 'R') AS Restores FROM m_change"""),
+}
 SQL |= {"purge_rows": mirror_sql("""
   SELECT 'Customer' AS TableName, CAST(CustomerID AS VARCHAR) AS RowName FROM m_customer WHERE coalesce(EmailAddress, 'x') <> ''
   UNION ALL SELECT 'Product', CAST(ProductID AS VARCHAR) FROM m_product WHERE Name NOT LIKE '%bolt%'

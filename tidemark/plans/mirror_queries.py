@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from tidemark.config import EVENTS_AS_OF, ORDERS_AS_OF, shared_dir
 from tidemark.functions.columns import at, is_active, is_deleted, percent, shift
 from tidemark.operators import audit, changes, monitor, softdelete
-from tidemark.sources.tables import Tables, load_changes, load_mirror, read_raw, stream_changes, stream_events
-from tidemark.streaming import cdc, windows
+from tidemark.sources.tables import Tables, load_changes, load_mirror, read_evolving, read_raw, stream_changes, stream_events
+from tidemark.streaming import cdc, dedupe, observed, versions, windows
 
 PAYLOAD = ["set_value", "set_props"]
 LINKS = [("SalesOrderDetail", "SalesOrderHeader", "SalesOrderID"), ("SalesOrderDetail", "Product", "ProductID"),
@@ -97,11 +97,19 @@ def undelete(tables: Tables, as_of: datetime) -> DataFrame:
     return changes.undelete(tables["Customer"], back, "CustomerID", as_of).select("CustomerID", *_AUDIT)
 
 
+def purge_rules() -> dict[str, Column]:
+    return {"Product": F.col("Name").like("%bolt%"),
+            "SalesOrderHeader": is_deleted() & (F.col("ShipMethod") == "EXPEDITED"),
+            "Customer": F.col("EmailAddress") == ""}
+
+
 def purged(tables: Tables) -> Tables:
-    rules = {"Product": F.col("Name").like("%bolt%"),
-             "SalesOrderHeader": is_deleted() & (F.col("ShipMethod") == "EXPEDITED"),
-             "Customer": F.col("EmailAddress") == ""}
-    return changes.purge(tables, rules, LINKS)
+    return changes.purge(tables, purge_rules(), LINKS)
+
+
+def purge_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows every statement of a purge removed, observed while the kept rows were written."""
+    return observed.purge_counted(spark, load_mirror(spark, folder), purge_rules(), LINKS, shared_dir(spark, "purged"))
 
 
 def purge(tables: Tables, as_of: datetime) -> DataFrame:
@@ -168,16 +176,62 @@ def cdc_apply(spark: SparkSession, folder: str) -> DataFrame:
     return store.current()
 
 
+def middle_of(log: DataFrame) -> int:
+    return log.agg(F.floor((F.min("seq") + F.max("seq")) / 2)).first()[0] or 0
+
+
 def cdc_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """The state before the middle of the log as a snapshot, the later changes streamed on top, then compacted."""
+    """The state before the middle of the log as snapshots of the single tables, the later changes streamed on top, a
+    compaction between, and one after."""
     log = load_changes(spark, folder)
-    middle = log.agg(F.floor((F.min("seq") + F.max("seq")) / 2)).first()[0] or 0
+    middle = middle_of(log)
     old = changes.current_rows(changes.fold_changes(log.filter(F.col("seq") <= middle), PAYLOAD), PAYLOAD)
     feed = stream_changes(spark, folder)
     store = cdc.ChangeStore(spark, shared_dir(spark, "cdc-state"), feed.schema, PAYLOAD)
-    store.seed(old, EVENTS_AS_OF, "IsDeleted")
+    for name in ("Customer", "Product", "SalesOrderHeader"):
+        store.seed(old.filter(F.col("table_name") == name), EVENTS_AS_OF, "IsDeleted", name, "LastSeq")
+    store.compact()
     cdc.start_cdc(feed.filter(F.col("seq") > middle), store, shared_dir(spark, "cdc-checkpoint")).awaitTermination()
-    return store.compact(shared_dir(spark, "cdc-compacted")).current().select("table_name", "key", *PAYLOAD, "IsDeleted")
+    store.compact()
+    return store.current()
+
+
+def with_purges(log: DataFrame) -> DataFrame:
+    """A feed in which some deletes remove their row for good."""
+    return log.withColumn("op", F.when((F.col("op") == "D") & (F.col("seq") % 4 == 0), "P").otherwise(F.col("op")))
+
+
+def cdc_purge(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard deletes through the feed: the later half arrives first, is compacted, and then the earlier half comes."""
+    log = with_purges(load_changes(spark, folder))
+    middle = middle_of(log)
+    feed = with_purges(stream_changes(spark, folder))
+    store = cdc.ChangeStore(spark, shared_dir(spark, "cdc-state"), feed.schema, PAYLOAD)
+    for part in (F.col("seq") > middle, F.col("seq") <= middle):
+        cdc.start_cdc(feed.filter(part), store, shared_dir(spark, "cdc-checkpoint")).awaitTermination()
+        store.compact()
+    return store.current()
+
+
+def cdc_evolve(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed whose second column exists only from the middle of the log on, read back with both."""
+    log = load_changes(spark, folder)
+    middle, where = middle_of(log), shared_dir(spark, "cdc-state")
+    narrow = log.drop("set_props")
+    store = cdc.ChangeStore(spark, where, narrow.schema, ["set_value"])
+    store.apply(narrow.filter(F.col("seq") <= middle), 0)
+    cdc.ChangeStore(spark, where, log.schema, PAYLOAD).apply(log.filter(F.col("seq") > middle), 1)
+    return store.evolved().current()
+
+
+def evolved_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of which some were written before the phone and the audit columns existed."""
+    people, root = load_mirror(spark, folder)["Customer"], shared_dir(spark, "evolving")
+    old = F.col("CustomerID") % 2 == 0
+    people.filter(old).drop("Phone", "IsDeleted", "DeletedDate", "DeletedBy").write.parquet(f"{root}/written=1")
+    people.filter(~old).write.parquet(f"{root}/written=2")
+    both = changes.with_audit_columns(read_evolving(spark, root))
+    return both.select("CustomerID", "LastName", "Phone", "ModifiedDate", F.coalesce("IsDeleted", F.lit(False)).alias("IsDeleted"), "DeletedDate", "DeletedBy")
 
 
 def streamed(spark: SparkSession, stream: DataFrame, part, name: str) -> DataFrame:
@@ -202,6 +256,45 @@ def feed_dedupe_stream(spark: SparkSession, folder: str) -> DataFrame:
     return changes.dedupe_feed(kept).groupBy("table_name", "op").agg(F.count("*").alias("Changes"))
 
 
+def late_dedupe_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed in three deliveries, each spread over all time and with its updates twice, deduplicated in state that spans an hour:
+    what came too late for it is added back. The stream starts again for each delivery."""
+    log, root = load_changes(spark, folder), shared_dir(spark, "deliveries")
+    checkpoint = shared_dir(spark, "deliveries-checkpoint")
+    feed = dedupe.DedupedFeed(spark, shared_dir(spark, "deduped"), log.schema)
+    for delivery in range(3):
+        part = log.filter(F.pmod("seq", F.lit(3)) == delivery)
+        part.union(part.filter(F.col("op") == "U")).write.parquet(f"{root}/delivery-{delivery}")
+        feed.start(spark.readStream.schema(log.schema).parquet(f"{root}/delivery-*"), checkpoint).awaitTermination()
+    return feed.whole().groupBy("table_name", "op").agg(F.count("*").alias("Changes"))
+
+
+def feed_counts_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes by kind as each micro-batch of the store's feed observed them, added up."""
+    kinds = {"Inserts": "I", "Updates": "U", "Deletes": "D", "Restores": "R"}
+    feed = stream_changes(spark, folder)
+    store = cdc.ChangeStore(spark, shared_dir(spark, "cdc-state"), feed.schema, PAYLOAD)
+    listener = observed.BatchCounts("feed")
+    spark.streams.addListener(listener)
+    try:
+        counted = observed.watched(feed, "feed", {label: F.col("op") == op for label, op in kinds.items()})
+        batches = observed.drain(cdc.start_cdc(counted, store, shared_dir(spark, "cdc-checkpoint")), listener)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = [(batch, *[seen[k] for k in kinds]) for batch, seen in sorted(batches.items())]
+    per_batch = spark.createDataFrame(rows, "batch long, Inserts long, Updates long, Deletes long, Restores long")
+    return per_batch.agg(*[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in kinds])
+
+
+def history_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """History kept up to date over three batches that arrive out of order, one of them twice."""
+    log = load_changes(spark, folder)
+    store = versions.HistoryStore(spark, shared_dir(spark, "history"), log.schema, PAYLOAD)
+    for number, part in enumerate((2, 0, 2, 1)):
+        store.apply(log.filter(F.pmod(F.floor(F.col("seq") / 7), F.lit(3)) == part), number)
+    return store.history()
+
+
 def arrivals(log: DataFrame) -> DataFrame:
     """The log with an arrival time up to 96 minutes after the change."""
     return log.withColumn("arrived", F.col("ts") + F.make_dt_interval(mins=(F.col("seq") % 97).cast("int")))
@@ -427,6 +520,8 @@ TABLE_QUERIES = {
     "failing_items": failing_items,
 }
 FOLDER_QUERIES = {
+    "late_dedupe_stream": late_dedupe_stream, "cdc_purge": cdc_purge, "cdc_evolve": cdc_evolve, "evolved_rows": evolved_rows,
+    "history_incremental": history_incremental, "purge_counts": purge_counts, "feed_counts_stream": feed_counts_stream,
     "cdc_fold": cdc_fold, "cdc_apply": cdc_apply, "cdc_snapshot": cdc_snapshot, "feed_dedupe_stream": feed_dedupe_stream,
     "late_changes_stream": late_changes_stream, "session_stream": session_stream, "truncate_binary_small": truncate_binary_small, "feed_dedupe": feed_dedupe, "change_counts": change_counts,
     "change_counts_stream": change_counts_stream, "late_changes": late_changes, "replication_lag": replication_lag,

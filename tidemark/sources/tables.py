@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources import mapping, schemas
 
@@ -74,3 +75,19 @@ def snapshot(tables: Tables, root: str, partition_by: dict[str, list[str]] | Non
         if keys:
             writer = writer.partitionBy(*keys)
         writer.parquet(f"{root}/{name}")
+
+
+def merged_schema(spark: SparkSession, root: str) -> T.StructType:
+    """The union of the columns of all files below ``root``; a column that changed its type is an error that names it."""
+    try:
+        return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(root).schema
+    except Exception as err:
+        told = str(err)
+        if "CANNOT_MERGE_SCHEMAS" not in told:
+            raise
+        raise ValueError(f"the files below {root} hold one column with several types: {told[told.index('CANNOT_MERGE_SCHEMAS'):].split('SQLSTATE')[0]}") from err
+
+
+def read_evolving(spark: SparkSession, root: str) -> DataFrame:
+    """All files below ``root`` by the union of their columns: a file from before a column was added gives nulls for it."""
+    return spark.read.schema(merged_schema(spark, root)).option("recursiveFileLookup", "true").parquet(root)
