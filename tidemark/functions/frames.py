@@ -171,19 +171,21 @@ def _stretches(packed: DataFrame, order: list[str], buckets: int) -> DataFrame:
 
 def ordered_pass(df: DataFrame, keys: list[str], order: list[str], fill: list[str] | None = None,
                  lag: dict[str, Column] | None = None, lead: dict[str, Column] | None = None,
-                 buckets: int | None = None) -> DataFrame:
-    """Values of the previous row (``lag``), the next row (``lead``) and the latest earlier non-null value (``fill``, in
-    place) of the same key. ``order`` must identify a row within its key.
+                 buckets: int | None = None, cumulative: dict[str, Column] | None = None) -> DataFrame:
+    """Values of the previous row (``lag``), the next row (``lead``), the latest earlier non-null value (``fill``, in
+    place) and the sum up to the row (``cumulative``, null before the first value) of the same key. ``order`` must identify a row
+    within its key. Without ``keys`` all rows are one key's.
 
     A plain window sends all rows of a key to one task. Here the rows of every key that holds more than one part in
     ``buckets`` of all rows are split into stretches of the whole order, cut by a sample of the key's own rows, so
     rows bunched in time and ties of the first column are split too. The window runs inside a stretch, and values
-    that cross its edge come from the nearest other stretches of the key. All other keys are one stretch each.
+    that cross its edge come from the nearest other stretches of the key; sums start from the total of the stretches
+    before. All other keys are one stretch each.
     """
-    fill, lag, lead = fill or [], lag or {}, lead or {}
+    fill, lag, lead, cumulative = fill or [], lag or {}, lead or {}, cumulative or {}
     buckets = buckets or default_buckets(df.sparkSession)
     # keys travel as one struct: null members compare equal there, so plain equality keeps the window's partitioning
-    packed = df.select(F.struct(*keys).alias("_key"), *[c for c in df.columns if c not in keys])
+    packed = df.select(F.struct(*(keys or [F.lit(0).alias("all")])).alias("_key"), *[c for c in df.columns if c not in keys])
     placed = _stretches(packed, order, buckets)
     inside = Window.partitionBy("_key", "_chunk").orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -192,24 +194,33 @@ def ordered_pass(df: DataFrame, keys: list[str], order: list[str], fill: list[st
         *([F.lead(F.lit(1), 1).over(inside).isNull().alias("_last")] if lead else []),
         *[F.lag(v, 1).over(inside).alias(f"_in_{n}") for n, v in lag.items()],
         *[F.lead(v, 1).over(inside).alias(f"_in_{n}") for n, v in lead.items()],
-        *[F.last(c, ignorenulls=True).over(so_far).alias(f"_in_{c}") for c in fill])
+        *[F.last(c, ignorenulls=True).over(so_far).alias(f"_in_{c}") for c in fill],
+        *[F.sum(v).over(so_far).alias(f"_in_{n}") for n, v in cumulative.items()])
     # a single order column keeps the aggregation buffers primitive, hence hashed rather than sorted
     place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     edges = placed.filter("_heavy").groupBy("_key", "_chunk").agg(
         *[F.max_by(v, place).alias(f"_e_{n}") for n, v in lag.items()],
         *[F.min_by(v, place).alias(f"_e_{n}") for n, v in lead.items()],
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_e_{c}") for c in fill])
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_e_{c}") for c in fill],
+        *[F.sum(v).alias(f"_e_{n}") for n, v in cumulative.items()])
     across = Window.partitionBy("_key").orderBy("_chunk")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
         "_key", "_chunk", *[F.lag(f"_e_{n}", 1).over(across).alias(f"_c_{n}") for n in lag],
         *[F.lead(f"_e_{n}", 1).over(across).alias(f"_c_{n}") for n in lead],
-        *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in fill])
+        *[F.last(f"_e_{c}", ignorenulls=True).over(before).alias(f"_c_{c}") for c in fill],
+        *[F.sum(f"_e_{n}").over(before).cast(rows.schema[f"_in_{n}"].dataType).alias(f"_c_{n}") for n in cumulative])
     kept = [F.col("_key")[c].alias(c) if c in keys
             else F.coalesce(f"_in_{c}", f"_c_{c}").alias(c) if c in fill else F.col(c) for c in df.columns]
     return rows.join(carried, ["_key", "_chunk"], "left").select(
         *kept, *[F.when(F.col("_first"), F.col(f"_c_{n}")).otherwise(F.col(f"_in_{n}")).alias(n) for n in lag],
-        *[F.when(F.col("_last"), F.col(f"_c_{n}")).otherwise(F.col(f"_in_{n}")).alias(n) for n in lead])
+        *[F.when(F.col("_last"), F.col(f"_c_{n}")).otherwise(F.col(f"_in_{n}")).alias(n) for n in lead],
+        *[F.coalesce(F.col(f"_in_{n}") + F.col(f"_c_{n}"), f"_in_{n}", f"_c_{n}").cast(rows.schema[f"_in_{n}"].dataType).alias(n) for n in cumulative])
+
+
+def running_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], buckets: int | None = None) -> DataFrame:
+    """Sums up to each row of its key, or of all rows without ``keys``, as distributed prefix sums."""
+    return ordered_pass(df, keys, order, buckets=buckets, cumulative=sums)
 
 
 def neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, forward: bool = False,

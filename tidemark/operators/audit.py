@@ -80,6 +80,26 @@ def convert(df: DataFrame, target: dict[str, T.DataType | str]) -> tuple[DataFra
     return out, df.agg(F.array(*cells).alias("c")).select(F.inline("c"))
 
 
+def quarantine(df: DataFrame, key: list[str], target: dict[str, T.DataType | str], longest: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows whose every value fits, converted, and the values that do not: (key columns, ColumnName, RejectedValue, TargetType, Reason).
+
+    A row with any such value is in the second frame only, once per value. ``longest`` bounds texts of the named columns. Each
+    frame is one pass over the table without a shuffle."""
+    cells, longest = [], longest or {}
+    for c in dict.fromkeys([*target, *longest]):
+        text = F.col(c).cast("string")
+        kind = target.get(c, df.schema[c].dataType)
+        name = kind if isinstance(kind, str) else kind.simpleString()
+        bad = F.when(text.isNotNull() & F.col(c).try_cast(kind).isNull(), "CAST")
+        if c in longest:
+            bad = bad.when(F.length(text) > longest[c], "LENGTH")
+            name = f"{name}({longest[c]})"
+        cells.append(F.when(bad.isNotNull(), F.struct(F.lit(c).alias("ColumnName"), text.alias("RejectedValue"), F.lit(name).alias("TargetType"), bad.alias("Reason"))))
+    marked = df.withColumn("_bad", F.array_compact(F.array(*cells)))
+    good = marked.filter(F.size("_bad") == 0).select(*[F.col(c).try_cast(target[c]).alias(c) if c in target else F.col(c) for c in df.columns])
+    return good, marked.filter(F.size("_bad") > 0).select(*key, F.inline("_bad"))
+
+
 def conformance(tables: Tables, declared: dict = schemas.DECLARED) -> DataFrame:
     """Violations of declared nullability and length."""
     parts = []

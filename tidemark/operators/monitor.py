@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.config import materialize
 from tidemark.functions.columns import at, band, datediff_sql, int_div, percent, shift, value_map
 from tidemark.functions.frames import neighbour
 from tidemark.sources import schemas
@@ -29,42 +30,100 @@ def row_hash(columns: list[str]) -> Column:
     return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
 
 
-def reconcile(source: DataFrame, mirror: DataFrame, key: str | None, name: str = "") -> DataFrame:
-    """Counts of missing, extra and changed rows.
+#: Key buckets per table whose checksums are compared before any row moves.
+CHECK_BUCKETS = 4096
+LOW = (1 << 32) - 1
+
+
+def _sides(pairs: dict[str, tuple[DataFrame, DataFrame | None, str | None]]) -> DataFrame:
+    """Every row of every table and side as (table, bucket, key, row hash, +1 or -1). Without a key a row stands for itself."""
+    parts = []
+    for name, (source, mirror, key) in pairs.items():
+        columns = [c for c in source.columns if (mirror is None or c in mirror.columns) and c != key]
+        for df, sign in ((source, 1), (mirror, -1)):
+            if df is not None:
+                hashed = row_hash([*([key] if key else []), *columns])
+                held = F.col(key).cast("string") if key else hashed.cast("string")
+                parts.append(df.select(F.lit(name).alias("t"), F.pmod(F.xxhash64(held), F.lit(CHECK_BUCKETS)).cast("int").alias("p"), held.alias("k"),
+                                       hashed.alias("h"), F.lit(sign).alias("s")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _checksums(rows: DataFrame) -> DataFrame:
+    """Order-free checksums of every bucket, source less mirror: rows and both halves of their hashes, added up. Sums, unlike an
+    exclusive or, also tell two equal rows from none."""
+    low, high = F.col("h").bitwiseAND(F.lit(LOW)), F.shiftrightunsigned("h", 32)
+    sign = F.col("s").cast("bigint")
+    return rows.groupBy("t", "p").agg(F.count_if(F.col("s") > 0).alias("a"), F.count_if(F.col("s") < 0).alias("b"),
+                                      F.sum(sign * low).alias("low"), F.sum(sign * high).alias("high"))
+
+
+def _differs() -> Column:
+    return (F.col("a") != F.col("b")) | (F.col("low") != 0) | (F.col("high") != 0)
 
-    Both sides are counted per key and row hash in one aggregation, so null and repeated keys count like any other and
-    a large key is reduced before it moves. Rows of one key that the sides do not share pair up as changed; the surplus of a
-    side is missing or extra. Without a key, rows are compared as multisets and none is changed.
-    """
-    columns = [c for c in source.columns if c in mirror.columns and c != key]
-    held = F.col(key) if key else F.lit(0)
 
-    def side(df: DataFrame, mine: int) -> DataFrame:
-        return df.select(held.alias("k"), row_hash(columns).alias("h"), F.lit(mine).alias("a"), F.lit(1 - mine).alias("b"))
+def _open_rows(rows: DataFrame, sums: DataFrame) -> DataFrame:
+    """The rows of the buckets that differ: at most tables x CHECK_BUCKETS of them."""
+    return rows.join(F.broadcast(sums.filter(_differs()).select("t", "p")), ["t", "p"])
 
-    rows = side(source, 1).unionByName(side(mirror, 0)).groupBy("k", "h").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    rows = rows.withColumns({"gone": F.greatest(F.col("a") - F.col("b"), F.lit(0)), "new": F.greatest(F.col("b") - F.col("a"), F.lit(0))})
-    if key:
-        rows = rows.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("a", "b", "gone", "new")])
-    pairs = F.least("gone", "new") if key else F.lit(0)
 
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0))
+def _reconciled(pairs: dict[str, tuple[DataFrame, DataFrame | None, str | None]]) -> DataFrame:
+    rows = _sides(pairs)
+    sums = materialize(_checksums(rows), "checksums")
+    found = _open_rows(rows, sums)
+    # equal rows meet first, so that a key held by many rows is reduced before it moves
+    kinds = found.groupBy("t", "k", "h").agg(F.sum("s").alias("d"))
+    kinds = kinds.select("t", "k", F.greatest("d", F.lit(0)).alias("gone"), F.greatest(-F.col("d"), F.lit(0)).alias("new"))
+    keys = kinds.groupBy("t", "k").agg(F.sum("gone").alias("gone"), F.sum("new").alias("new"))
+    pair = F.least("gone", "new")
+    changed = keys.groupBy("t").agg(F.sum(F.col("gone") - pair).alias("MissingRows"), F.sum(F.col("new") - pair).alias("ExtraRows"), F.sum(pair).alias("ChangedRows"))
+    totals = sums.groupBy("t").agg(F.sum("a").alias("SourceRows"), F.sum("b").alias("MirrorRows"))
+    names = next(iter(pairs.values()))[0].sparkSession.createDataFrame([(n,) for n in pairs], "TableName string")
 
-    counts = rows.agg(total(F.col("a")).alias("SourceRows"), total(F.col("b")).alias("MirrorRows"), total(F.col("gone") - pairs).alias("MissingRows"),
-                      total(F.col("new") - pairs).alias("ExtraRows"), total(pairs).alias("ChangedRows"))
-    bad = F.col("MissingRows") + F.col("ExtraRows") + F.col("ChangedRows")
-    return counts.select(F.lit(name).alias("TableName"), "*", (bad == 0).alias("InSync"))
+    def known(c: str) -> Column:
+        return F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+
+    counted = ["MissingRows", "ExtraRows", "ChangedRows"]
+    out = names.join(totals.withColumnRenamed("t", "TableName"), "TableName", "left").join(changed.withColumnRenamed("t", "TableName"), "TableName", "left").select(
+        "TableName", *[known(c) for c in ("SourceRows", "MirrorRows", *counted)])
+    return out.withColumn("InSync", F.col("MissingRows") + F.col("ExtraRows") + F.col("ChangedRows") == 0)
+
+
+def reconcile(source: DataFrame, mirror: DataFrame, key: str | None, name: str = "") -> DataFrame:
+    """Counts of missing, extra and changed rows.
+
+    Rows of one key that the sides do not share pair up as changed; the surplus of a side is missing or extra. Null and
+    repeated keys count like any other. Without a key, rows are compared as multisets and none is changed. Checksums of key
+    buckets are compared first, and rows move only for buckets that differ: sides in step move nothing but checksums.
+    """
+    return _reconciled({name: (source, mirror, key)})
 
 
 def reconcile_all(source: Tables, mirror: Tables) -> DataFrame:
     """Every table of the source against the mirror; a table the mirror lacks counts as not enabled."""
+    out = _reconciled({n: (source[n], mirror.get(n), k) for n, k in schemas.KEYS.items() if n in source})
+    return out.withColumn("Enabled", F.col("TableName").isin([n for n in schemas.KEYS if n in mirror]))
+
+
+def reconcile_rows(source: Tables, mirror: Tables) -> DataFrame:
+    """The keys of mirrored tables on which the sides differ, and how: MISSING, EXTRA, CHANGED with the names of the columns, or
+    REPEATED where a side holds the key several times and the rows do not agree."""
+    pairs = {n: (source[n], mirror[n], k) for n, k in schemas.KEYS.items() if k and n in source and n in mirror}
+    sums = materialize(_checksums(_sides(pairs)), "checksums")
     parts = []
-    for name, key in schemas.KEYS.items():
-        if name in source:
-            enabled = name in mirror
-            part = reconcile(source[name], mirror[name] if enabled else source[name].limit(0), key, name)
-            parts.append(part.withColumn("Enabled", F.lit(enabled)))
+    for name, (left, right, key) in pairs.items():
+        columns = [c for c in left.columns if c in right.columns and c != key]
+        low, high = F.col("h").bitwiseAND(F.lit(LOW)), F.shiftrightunsigned("h", 32)
+        legs = [df.select(F.lit(name).alias("t"), F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(CHECK_BUCKETS)).cast("int").alias("p"),
+                          F.col(key).cast("string").alias("k"), row_hash([key, *columns]).alias("h"), F.lit(sign).cast("bigint").alias("s"),
+                          *[row_hash([c]).alias(f"c{i}") for i, c in enumerate(columns)]) for df, sign in ((left, 1), (right, -1))]
+        per_key = _open_rows(legs[0].unionByName(legs[1]), sums).groupBy("k").agg(
+            F.count_if(F.col("s") > 0).alias("a"), F.count_if(F.col("s") < 0).alias("b"), F.sum(F.col("s") * low).alias("low"), F.sum(F.col("s") * high).alias("high"),
+            *[F.bit_xor(f"c{i}").alias(f"c{i}") for i in range(len(columns))])
+        kind = (F.when(F.col("b") == 0, "MISSING").when(F.col("a") == 0, "EXTRA").when((F.col("a") == 1) & (F.col("b") == 1), "CHANGED").otherwise("REPEATED"))
+        named = F.concat_ws(",", *[F.when(F.col(f"c{i}") != 0, c) for i, c in enumerate(columns)])
+        parts.append(per_key.filter(_differs()).select(F.lit(name).alias("TableName"), F.col("k").alias("KeyValue"), kind.alias("Difference"),
+                                                       F.when(kind == "CHANGED", named).alias("Columns")))
     return reduce(DataFrame.union, parts)
 
 

@@ -1,7 +1,8 @@
 """Reference SQL for the change, stream, audit and monitoring operators."""
 
 from tidemark.oracle.base import DUE, ENOW, LINE, NOW, big, dd, div, gone, live, mirror_sql, pct, ts, usd
-from tidemark.sources.schemas import DECLARED, KEYS
+from tidemark.sources.mapping import MIRROR
+from tidemark.sources.schemas import DECLARED, KEYS, RAW
 
 AUDIT = "IsDeleted, DeletedDate, DeletedBy"
 FLAG = f"{big('IsDeleted')} AS IsDeleted"
@@ -359,6 +360,39 @@ SQL |= {
     "feed_counts_stream": mirror_sql("""SELECT count(*) FILTER (op = 'I') AS Inserts, count(*) FILTER (op = 'U') AS Updates,
       count(*) FILTER (op = 'D') AS Deletes, count(*) FILTER (op = 'R') AS Restores FROM m_change"""),
 }
+
+
+def _differing(name: str) -> str:
+    view, key = VIEW[name], KEYS[name]
+    columns = [e.split(" AS ")[-1] for e in MIRROR[name][1]]
+    named = ", ".join(f"CASE WHEN x.{c} IS DISTINCT FROM y.{c} THEN '{c}' END" for c in columns if c != key)
+    changed = " OR ".join(f"x.{c} IS DISTINCT FROM y.{c}" for c in columns if c != key)
+    return f"""SELECT '{name}' AS TableName, CAST(coalesce(x.{key}, y.{key}) AS VARCHAR) AS KeyValue,
+      CASE WHEN y.{key} IS NULL THEN 'MISSING' WHEN x.{key} IS NULL THEN 'EXTRA' ELSE 'CHANGED' END AS Difference,
+      CASE WHEN x.{key} = y.{key} THEN concat_ws(',', {named}) END AS "Columns"
+      FROM {view} x FULL JOIN ({MIRRORED[name]}) y ON x.{key} = y.{key} WHERE x.{key} IS NULL OR y.{key} IS NULL OR {changed}"""
+
+
+def _catalogued(table: str) -> str:
+    types = {"LongType()": "bigint", "IntegerType()": "int", "DoubleType()": "double", "StringType()": "string", "TimestampType()": "timestamp"}
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS TableName, '{f.name}' AS ColumnName, CAST({i} AS BIGINT) AS Position, '{types[repr(f.dataType)]}' AS DataType,"
+        f" count(*) AS \"RowCount\", count(*) - count({f.name}) AS NullCount FROM {table}" for i, f in enumerate(RAW[table], 1))
+
+
+_DIALLED = "SELECT * REPLACE (CASE WHEN CustomerID % 5 <> 0 THEN substr(Phone, 5, 12) ELSE Phone END AS Phone) FROM m_customer"
+_FITS = {"LastName": "BIGINT", "Phone": "INTEGER", "MiddleName": "BOOLEAN"}
+_SPARK = {"LastName": "bigint", "Phone": "int", "MiddleName": "boolean"}
+_MISFIT = {c: f"({c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL)" for c, t in _FITS.items()} | {"CompanyName": "length(CompanyName) > 12"}
+SQL |= {
+    "reconcile_rows": mirror_sql("SELECT * FROM q", q=" UNION ALL ".join(_differing(n) for n in MIRRORED if KEYS[n])),
+    "converted_rows": mirror_sql(f"""SELECT CustomerID, CAST(LastName AS BIGINT) AS LastName, CAST(Phone AS BIGINT) AS Phone,
+      CAST(CAST(MiddleName AS BOOLEAN) AS BIGINT) AS MiddleName, CompanyName FROM x WHERE NOT coalesce({' OR '.join(_MISFIT.values())}, FALSE)""", x=_DIALLED),
+    "rejected_values": mirror_sql(" UNION ALL ".join(
+        f"SELECT CustomerID, '{c}' AS ColumnName, {c} AS RejectedValue, '{_SPARK.get(c, 'string(12)')}' AS TargetType, '{'CAST' if c in _FITS else 'LENGTH'}' AS Reason FROM x WHERE {m}"
+        for c, m in _MISFIT.items()), x=_DIALLED),
+    "catalog_inventory": " UNION ALL ".join(map(_catalogued, ("customer", "part", "orders", "lineitem", "events"))),
+}
 SQL |= {"purge_rows": mirror_sql("""
   SELECT 'Customer' AS TableName, CAST(CustomerID AS VARCHAR) AS RowName FROM m_customer WHERE coalesce(EmailAddress, 'x') <> ''
   UNION ALL SELECT 'Product', CAST(ProductID AS VARCHAR) FROM m_product WHERE Name NOT LIKE '%bolt%'

@@ -79,6 +79,12 @@ SQL = {
     "op_lag_calendar": mirror_sql(f"SELECT {ts('t.m')} AS \"Month\", {usd('t.a')} AS Amount, {usd('u.a')} AS YearAgo FROM t LEFT JOIN t u ON u.m = t.m - INTERVAL 1 YEAR", t=_MONTHLY),
     "op_lag_partition": mirror_sql(f"""SELECT SalesOrderID, CustomerID, OrderDate, {usd('SubTotal')} AS SubTotal,
       {usd('lag(SubTotal) OVER (PARTITION BY CustomerID ORDER BY OrderDate, SalesOrderID)')} AS PreviousSubTotal FROM m_order"""),
+    "op_prefix_sums": mirror_sql(f"""SELECT ProductID, SalesOrderID, {usd('r')} AS Revenue,
+      {usd('sum(r) OVER (PARTITION BY ProductID ORDER BY SalesOrderID)')} AS ProductToDate, {usd('sum(r) OVER (ORDER BY SalesOrderID, ProductID)')} AS TotalToDate
+      FROM (SELECT l.ProductID, l.SalesOrderID, sum({LINE}) AS r FROM m_line l GROUP BY ALL)"""),
+    "op_lateral_top": mirror_sql(f"""SELECT SalesOrderID, CustomerID, ProductID, {big('OrderQty')} AS OrderQty, {usd('t')} AS LineTotal
+      FROM (SELECT o.SalesOrderID, o.CustomerID, l.ProductID, l.OrderQty, {LINE} AS t, row_number() OVER (PARTITION BY o.SalesOrderID ORDER BY {LINE} DESC, l.ProductID, l.OrderQty) AS place
+            FROM m_order o JOIN m_line l USING (SalesOrderID) WHERE {live('o')}) WHERE place <= 3"""),
     "op_running_sum": mirror_sql(f"""SELECT {ts('m')} AS "Month", {usd('a')} AS Amount, n AS Orders, {usd('sum(a) OVER (PARTITION BY year(m) ORDER BY m ROWS UNBOUNDED PRECEDING)')} AS YearToDate FROM t""", t=_MONTHLY),
     "op_share": mirror_sql(f"""SELECT ProductCategoryID, ProductModelID, {usd('r')} AS Revenue, {pct('r', 'sum(r) OVER ()')} AS ShareOfAll, {pct('r', 'sum(r) OVER (PARTITION BY ProductCategoryID)')} AS ShareOfCategory,
       CASE WHEN CAST(r AS DOUBLE) >= u * 1.5::DOUBLE THEN 'High' WHEN CAST(r AS DOUBLE) >= u * 0.8::DOUBLE THEN 'Normal' ELSE 'Low' END AS Standing FROM t, (SELECT {avg('r')} AS u FROM t)""",

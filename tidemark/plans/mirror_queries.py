@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from tidemark.config import EVENTS_AS_OF, ORDERS_AS_OF, shared_dir
 from tidemark.functions.columns import at, is_active, is_deleted, percent, shift
 from tidemark.operators import audit, changes, monitor, softdelete
-from tidemark.sources.tables import Tables, load_changes, load_mirror, read_evolving, read_raw, stream_changes, stream_events
+from tidemark.sources.tables import (
+    Tables, catalog_scan, load_changes, load_mirror, read_evolving, read_raw, register_raw, stream_changes, stream_events,
+)
 from tidemark.streaming import cdc, dedupe, observed, versions, windows
 
 PAYLOAD = ["set_value", "set_props"]
@@ -362,6 +364,23 @@ def convert_types(tables: Tables, as_of: datetime) -> DataFrame:
     return audit.convert(texts, {"EmailAddress": "int", "Phone": "int", "MiddleName": "boolean", "LastName": "bigint"})[1]
 
 
+NARROW = {"LastName": "bigint", "Phone": "int", "MiddleName": "boolean"}
+
+
+def quarantined(tables: Tables) -> tuple[DataFrame, DataFrame]:
+    """Customers to narrower types: digits behind the area code as numbers, short company names."""
+    people = tables["Customer"].withColumn("Phone", F.when(F.col("CustomerID") % 5 != 0, F.substring("Phone", 5, 12)).otherwise(F.col("Phone")))
+    return audit.quarantine(people.select("CustomerID", "LastName", "Phone", "MiddleName", "CompanyName"), ["CustomerID"], NARROW, {"CompanyName": 12})
+
+
+def converted_rows(tables: Tables, as_of: datetime) -> DataFrame:
+    return quarantined(tables)[0]
+
+
+def rejected_values(tables: Tables, as_of: datetime) -> DataFrame:
+    return quarantined(tables)[1]
+
+
 def conformance(tables: Tables, as_of: datetime) -> DataFrame:
     return audit.conformance(tables)
 
@@ -442,10 +461,21 @@ def reconcile(tables: Tables, as_of: datetime) -> DataFrame:
     return monitor.reconcile_all(tables, lagging_mirror(tables))
 
 
+def reconcile_rows(tables: Tables, as_of: datetime) -> DataFrame:
+    return monitor.reconcile_rows(tables, lagging_mirror(tables))
+
+
 def failing_items(tables: Tables, as_of: datetime) -> DataFrame:
     return monitor.failing_items(reconcile(tables, as_of))
 
 
+def catalog_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns, types, row and null counts of the tables the catalogue lists."""
+    names = ["customer", "part", "orders", "lineitem", "events"]
+    register_raw(spark, folder, names, "listed_")
+    return catalog_scan(spark, "listed_")
+
+
 def change_activity(spark: SparkSession, folder: str) -> DataFrame:
     return monitor.change_activity(load_changes(spark, folder), load_mirror(spark, folder), EVENTS_AS_OF)
 
@@ -517,9 +547,10 @@ TABLE_QUERIES = {
     "conformance": conformance, "key_audit": key_audits, "backfill": backfill, "issue_summary": issue_summary,
     "row_count_integrity": row_count_integrity, "reconcile_header_detail": reconcile_header_detail,
     "referential": referential, "find_records": find_records, "freshness": freshness, "reconcile": reconcile,
-    "failing_items": failing_items,
+    "failing_items": failing_items, "reconcile_rows": reconcile_rows, "converted_rows": converted_rows, "rejected_values": rejected_values,
 }
 FOLDER_QUERIES = {
+    "catalog_inventory": catalog_inventory,
     "late_dedupe_stream": late_dedupe_stream, "cdc_purge": cdc_purge, "cdc_evolve": cdc_evolve, "evolved_rows": evolved_rows,
     "history_incremental": history_incremental, "purge_counts": purge_counts, "feed_counts_stream": feed_counts_stream,
     "cdc_fold": cdc_fold, "cdc_apply": cdc_apply, "cdc_snapshot": cdc_snapshot, "feed_dedupe_stream": feed_dedupe_stream,

@@ -15,7 +15,7 @@ from tidemark.functions.columns import (
     week_of_year_sql,
 )
 from tidemark.functions.frames import (
-    date_dim, neighbour, quantile_scores, rank_in_groups, rank_many, share_of_total,
+    date_dim, neighbour, quantile_scores, rank_in_groups, rank_many, running_sums, share_of_total,
 )
 from tidemark.operators import changes
 from tidemark.plans import views
@@ -247,7 +247,7 @@ def agg_global_having(t: Tables, as_of: datetime) -> DataFrame:
 def ranked_global(t: Tables, as_of: datetime) -> DataFrame:
     orders = t["SalesOrderHeader"].select("SalesOrderID", "SubTotal", "OrderDate")
     timed = orders.withColumn("_micros", F.unix_micros("OrderDate"))
-    return rank_many(timed, [("SubTotal", "AmountRank", False), ("_micros", "DateRank", True)]).drop("_micros")
+    return rank_many(timed, [("SubTotal", "AmountRank", False), ("_micros", "DateRank", True)], key="SalesOrderID").drop("_micros")
 
 
 def ranked_partition(t: Tables, as_of: datetime) -> DataFrame:
@@ -285,6 +285,14 @@ def running_sum(t: Tables, as_of: datetime) -> DataFrame:
     return monthly(t).withColumn("YearToDate", F.sum("Amount").over(in_year))
 
 
+def prefix_sums(t: Tables, as_of: datetime) -> DataFrame:
+    """Revenue of each product up to each of its orders, and of everything up to each order line, in the order of the orders."""
+    sold = t["SalesOrderDetail"].groupBy("ProductID", "SalesOrderID").agg(F.sum(line_total()).alias("Revenue"))
+    sold = materialize(sold, "sold")
+    by_product = running_sums(sold, ["ProductID"], ["SalesOrderID"], {"ProductToDate": F.col("Revenue")})
+    return running_sums(materialize(by_product, "to-date"), [], ["SalesOrderID", "ProductID"], {"TotalToDate": F.col("Revenue")})
+
+
 def share(t: Tables, as_of: datetime) -> DataFrame:
     """Revenue of category and model: share of all, share of the category, and standing against the mean."""
     goods = t["Product"].select("ProductID", "ProductCategoryID", "ProductModelID")
@@ -332,6 +340,16 @@ def strings_dates(t: Tables, as_of: datetime) -> DataFrame:
         F.col("SubTotal").cast("string").alias("Text"))
 
 
+def lateral_top(t: Tables, as_of: datetime) -> DataFrame:
+    """The three largest lines of every live order."""
+    # the outer key has a name that no frame under the lines holds, or it would be taken for the lines' own
+    orders = t["SalesOrderHeader"].filter(is_active()).select(F.col("SalesOrderID").alias("_outer"), "CustomerID")
+    lines = t["SalesOrderDetail"].select("SalesOrderID", "ProductID", "OrderQty", line_total().alias("LineTotal"))
+    largest = (lines.filter(F.col("SalesOrderID") == F.col("_outer").outer()).orderBy(F.desc("LineTotal"), "ProductID", "OrderQty").limit(3)
+               .select("ProductID", "OrderQty", "LineTotal"))
+    return orders.lateralJoin(largest).withColumnRenamed("_outer", "SalesOrderID")
+
+
 def self_join(t: Tables, as_of: datetime) -> DataFrame:
     """Each order beside the order with the key before it, kept without one."""
     o = t["SalesOrderHeader"].select("SalesOrderID", "CustomerID", "SubTotal")
@@ -350,6 +368,6 @@ PRIMITIVES = {
     "op_delete_from": delete_from, "op_agg_basic": agg_basic, "op_agg_conditional": agg_conditional,
     "op_agg_distinct": agg_distinct, "op_agg_global_having": agg_global_having, "op_rank_global": ranked_global,
     "op_rank_partition": ranked_partition, "op_lag": lag, "op_lag_calendar": lag_calendar,
-    "op_lag_partition": lag_partition, "op_running_sum": running_sum, "op_share": share, "op_ntile_bands": ntile_bands,
+    "op_lag_partition": lag_partition, "op_running_sum": running_sum, "op_prefix_sums": prefix_sums, "op_lateral_top": lateral_top, "op_share": share, "op_ntile_bands": ntile_bands,
     "op_top_k": top_k, "op_unpivot": unpivot, "op_strings_dates": strings_dates,
 }

@@ -60,6 +60,34 @@ def table_inventory(tables: Tables) -> DataFrame:
     return reduce(DataFrame.union, counts).orderBy("TableName")
 
 
+def register_raw(spark: SparkSession, folder: str, names: list[str], prefix: str) -> None:
+    """Tables of a folder as views the catalogue lists, read so that counts are answered from file footers."""
+    sources = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(sources)
+    spark.conf.set(sources, ",".join(s for s in before.split(",") if s != "parquet"))
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        for name in names:
+            read_raw(spark, folder, name).createOrReplaceTempView(f"{prefix}{name}")
+    finally:
+        spark.conf.set(sources, before)
+
+
+def catalog_scan(spark: SparkSession, prefix: str = "") -> DataFrame:
+    """Every column of every table the catalogue lists under a name that starts with ``prefix``: its place, type, and how many of the
+    table's rows it is null in. Over files with statistics no row is read."""
+    parts = []
+    for table in spark.catalog.listTables():
+        if table.name.startswith(prefix):
+            columns = spark.catalog.listColumns(table.name)
+            cells = [F.struct(F.lit(table.name.removeprefix(prefix)).alias("TableName"), F.lit(c.name).alias("ColumnName"), F.lit(place).alias("Position"),
+                              F.lit(c.dataType).alias("DataType"), F.col("n").alias("RowCount"), (F.col("n") - F.col(f"c{place}")).alias("NullCount"))
+                     for place, c in enumerate(columns, 1)]
+            counts = spark.table(table.name).agg(F.count("*").alias("n"), *[F.count(f"`{c.name}`").alias(f"c{place}") for place, c in enumerate(columns, 1)])
+            parts.append(counts.select(F.inline(F.array(*cells))))
+    return reduce(DataFrame.union, parts)
+
+
 def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     writer = df.write.mode("append")
     if partition_by:
