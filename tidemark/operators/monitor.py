@@ -27,7 +27,7 @@ def freshness(tables: Tables, as_of: datetime, names=("Customer", "Product", "Sa
 
 def row_hash(columns: list[str]) -> Column:
     """Hash of a row in which a null in one column differs from a null in the next."""
-    return F.xxhash64(*[x for c in columns for x in (F.col(c).isNull(), F.col(c))])
+    return F.expr("xxhash64(" + ", ".join(f"isnull(`{c}`), `{c}`" for c in columns) + ")")
 
 
 #: Key buckets per table whose checksums are compared before any row moves.
@@ -36,26 +36,32 @@ LOW = (1 << 32) - 1
 
 
 def _sides(pairs: dict[str, tuple[DataFrame, DataFrame | None, str | None]]) -> DataFrame:
-    """Every row of every table and side as (table, bucket, key, row hash, +1 or -1). Without a key a row stands for itself."""
+    """Every row of every table and side as numbers: (table's place, bucket, key, row hash, +1 or -1). A key that is no whole number
+    goes by its hash; without a key a row stands for itself."""
     parts = []
-    for name, (source, mirror, key) in pairs.items():
+    for place, (source, mirror, key) in enumerate(pairs.values()):
         columns = [c for c in source.columns if (mirror is None or c in mirror.columns) and c != key]
         for df, sign in ((source, 1), (mirror, -1)):
             if df is not None:
-                hashed = row_hash([*([key] if key else []), *columns])
-                held = F.col(key).cast("string") if key else hashed.cast("string")
-                parts.append(df.select(F.lit(name).alias("t"), F.pmod(F.xxhash64(held), F.lit(CHECK_BUCKETS)).cast("int").alias("p"), held.alias("k"),
-                                       hashed.alias("h"), F.lit(sign).alias("s")))
-    return reduce(DataFrame.unionByName, parts)
+                named = df.select(F.lit(place).alias("t"), (_held(df, key) if key else F.lit(None).cast("bigint")).alias("k"),
+                                  row_hash([*([key] if key else []), *columns]).alias("h"), F.lit(sign).alias("s"))
+                parts.append(named if key else named.withColumn("k", F.col("h")))
+    return reduce(DataFrame.unionByName, parts).withColumn("p", _bucket())
+
+
+def _held(df: DataFrame, key: str) -> Column:
+    whole = df.schema[key].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    return F.col(key).cast("bigint") if whole else F.when(F.col(key).isNotNull(), F.xxhash64(key))
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("k"), F.lit(CHECK_BUCKETS)).cast("int")
 
 
 def _checksums(rows: DataFrame) -> DataFrame:
     """Order-free checksums of every bucket, source less mirror: rows and both halves of their hashes, added up. Sums, unlike an
     exclusive or, also tell two equal rows from none."""
-    low, high = F.col("h").bitwiseAND(F.lit(LOW)), F.shiftrightunsigned("h", 32)
-    sign = F.col("s").cast("bigint")
-    return rows.groupBy("t", "p").agg(F.count_if(F.col("s") > 0).alias("a"), F.count_if(F.col("s") < 0).alias("b"),
-                                      F.sum(sign * low).alias("low"), F.sum(sign * high).alias("high"))
+    return _per_key(rows, ["t", "p"])
 
 
 def _differs() -> Column:
@@ -63,28 +69,49 @@ def _differs() -> Column:
 
 
 def _open_rows(rows: DataFrame, sums: DataFrame) -> DataFrame:
-    """The rows of the buckets that differ: at most tables x CHECK_BUCKETS of them."""
-    return rows.join(F.broadcast(sums.filter(_differs()).select("t", "p")), ["t", "p"])
+    """The rows of the buckets that differ and hold rows of both sides: at most tables x CHECK_BUCKETS of them. Of a bucket that one
+    side lacks the checksums already say all."""
+    return rows.join(F.broadcast(sums.filter(_differs() & (F.col("a") > 0) & (F.col("b") > 0)).select("t", "p")), ["t", "p"])
+
+
+def _per_key(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """Rows of each side and the difference of their hashes: one row per key moves, however many hold it."""
+    low, high, sign = F.col("h").bitwiseAND(F.lit(LOW)), F.shiftrightunsigned("h", 32), F.col("s").cast("bigint")
+    return rows.groupBy(*keys).agg(F.count_if(F.col("s") > 0).alias("a"), F.count_if(F.col("s") < 0).alias("b"),
+                                   F.sum(sign * low).alias("low"), F.sum(sign * high).alias("high"), *more)
 
 
 def _reconciled(pairs: dict[str, tuple[DataFrame, DataFrame | None, str | None]]) -> DataFrame:
     rows = _sides(pairs)
     sums = materialize(_checksums(rows), "checksums")
     found = _open_rows(rows, sums)
-    # equal rows meet first, so that a key held by many rows is reduced before it moves
-    kinds = found.groupBy("t", "k", "h").agg(F.sum("s").alias("d"))
-    kinds = kinds.select("t", "k", F.greatest("d", F.lit(0)).alias("gone"), F.greatest(-F.col("d"), F.lit(0)).alias("new"))
-    keys = kinds.groupBy("t", "k").agg(F.sum("gone").alias("gone"), F.sum("new").alias("new"))
-    pair = F.least("gone", "new")
-    changed = keys.groupBy("t").agg(F.sum(F.col("gone") - pair).alias("MissingRows"), F.sum(F.col("new") - pair).alias("ExtraRows"), F.sum(pair).alias("ChangedRows"))
+    keyed = F.col("t").isin([i for i, (_, _, key) in enumerate(pairs.values()) if key])
+    per_key = materialize(_per_key(found, ["t", "k"]).filter(_differs()), "differing-keys")
+    repeated = keyed & ((F.col("a") > 1) | (F.col("b") > 1))
+    a, b = F.col("a"), F.col("b")
+    pair = F.when(keyed, F.least(a, b)).otherwise(0)
+    # a key once on either side at most, or rows that stand for themselves: counts tell
+    shared = F.when(keyed, F.lit(0)).otherwise(F.least(a, b))
+    parts = [per_key.filter(~repeated).select("t", (a - pair - shared).alias("gone"), (b - pair - shared).alias("new"), pair.alias("changed")),
+             sums.filter((a == 0) | (b == 0)).select("t", a.alias("gone"), b.alias("new"), F.lit(0).cast("bigint").alias("changed"))]
+    if not per_key.filter(repeated).isEmpty():
+        # keys held several times: equal rows meet first, what is left pairs up
+        again = found.join(per_key.filter(repeated).select("t", F.col("k").alias("_k")).withColumnRenamed("t", "_t"),
+                           (F.col("t") == F.col("_t")) & F.col("k").eqNullSafe(F.col("_k")), "left_semi")
+        kinds = again.groupBy("t", "k", "h").agg(F.sum("s").alias("d"))
+        left, right = F.greatest(F.col("d"), F.lit(0)), F.greatest(-F.col("d"), F.lit(0))
+        keys = kinds.groupBy("t", "k").agg(F.sum(left).alias("gone"), F.sum(right).alias("new"))
+        both = F.least("gone", "new")
+        parts.append(keys.select("t", (F.col("gone") - both).alias("gone"), (F.col("new") - both).alias("new"), both.alias("changed")))
+    changed = reduce(DataFrame.unionByName, parts).groupBy("t").agg(F.sum("gone").alias("MissingRows"), F.sum("new").alias("ExtraRows"), F.sum("changed").alias("ChangedRows"))
     totals = sums.groupBy("t").agg(F.sum("a").alias("SourceRows"), F.sum("b").alias("MirrorRows"))
-    names = next(iter(pairs.values()))[0].sparkSession.createDataFrame([(n,) for n in pairs], "TableName string")
+    names = next(iter(pairs.values()))[0].sparkSession.createDataFrame(list(enumerate(pairs)), "t int, TableName string")
 
     def known(c: str) -> Column:
         return F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
 
     counted = ["MissingRows", "ExtraRows", "ChangedRows"]
-    out = names.join(totals.withColumnRenamed("t", "TableName"), "TableName", "left").join(changed.withColumnRenamed("t", "TableName"), "TableName", "left").select(
+    out = names.join(totals, "t", "left").join(changed, "t", "left").select(
         "TableName", *[known(c) for c in ("SourceRows", "MirrorRows", *counted)])
     return out.withColumn("InSync", F.col("MissingRows") + F.col("ExtraRows") + F.col("ChangedRows") == 0)
 
@@ -111,18 +138,16 @@ def reconcile_rows(source: Tables, mirror: Tables) -> DataFrame:
     pairs = {n: (source[n], mirror[n], k) for n, k in schemas.KEYS.items() if k and n in source and n in mirror}
     sums = materialize(_checksums(_sides(pairs)), "checksums")
     parts = []
-    for name, (left, right, key) in pairs.items():
+    for place, (name, (left, right, key)) in enumerate(pairs.items()):
         columns = [c for c in left.columns if c in right.columns and c != key]
-        low, high = F.col("h").bitwiseAND(F.lit(LOW)), F.shiftrightunsigned("h", 32)
-        legs = [df.select(F.lit(name).alias("t"), F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(CHECK_BUCKETS)).cast("int").alias("p"),
-                          F.col(key).cast("string").alias("k"), row_hash([key, *columns]).alias("h"), F.lit(sign).cast("bigint").alias("s"),
+        legs = [df.select(F.lit(place).alias("t"), _held(df, key).alias("k"), F.col(key).cast("string").alias("name"), row_hash([key, *columns]).alias("h"), F.lit(sign).cast("bigint").alias("s"),
                           *[row_hash([c]).alias(f"c{i}") for i, c in enumerate(columns)]) for df, sign in ((left, 1), (right, -1))]
-        per_key = _open_rows(legs[0].unionByName(legs[1]), sums).groupBy("k").agg(
-            F.count_if(F.col("s") > 0).alias("a"), F.count_if(F.col("s") < 0).alias("b"), F.sum(F.col("s") * low).alias("low"), F.sum(F.col("s") * high).alias("high"),
-            *[F.bit_xor(f"c{i}").alias(f"c{i}") for i in range(len(columns))])
+        rows = legs[0].unionByName(legs[1]).withColumn("p", _bucket())
+        opened = rows.join(F.broadcast(sums.filter(_differs()).select("t", "p")), ["t", "p"])
+        per_key = _per_key(opened, ["name"], *[F.bit_xor(f"c{i}").alias(f"c{i}") for i in range(len(columns))])
         kind = (F.when(F.col("b") == 0, "MISSING").when(F.col("a") == 0, "EXTRA").when((F.col("a") == 1) & (F.col("b") == 1), "CHANGED").otherwise("REPEATED"))
         named = F.concat_ws(",", *[F.when(F.col(f"c{i}") != 0, c) for i, c in enumerate(columns)])
-        parts.append(per_key.filter(_differs()).select(F.lit(name).alias("TableName"), F.col("k").alias("KeyValue"), kind.alias("Difference"),
+        parts.append(per_key.filter(_differs()).select(F.lit(name).alias("TableName"), F.col("name").alias("KeyValue"), kind.alias("Difference"),
                                                        F.when(kind == "CHANGED", named).alias("Columns")))
     return reduce(DataFrame.union, parts)
 
