@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.taskcontext import TaskContext
 
-from tidemark.llm.common import bounded_batches, docs_of, located, longs, lots, materialize, on_shelf
+from tidemark.llm.common import bounded_batches, byte_letters, docs_of, located, longs, lots, materialize, on_shelf
 
 SPACE = "▁"
 #: Characters of text aligned at a time.
@@ -146,10 +146,7 @@ class Tokens:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        # printable characters stand for themselves, the others follow from 256 on, in order
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte_of = {chr(b): b for b in plain}
-        byte_of |= {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)).difference(plain)))}
+        byte_of = {c: b for b, c in enumerate(byte_letters())}
         size = max(self.a.get_vocab().values()) + 1
         self.bytes_a = [b""] * size
         for piece, i in self.a.get_vocab().items():

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import materialize
 
-__all__ = ["materialize", "docs_of", "small_batches", "bounded_batches", "crc_fold", "shuffle_width", "longs", "without_ids", "located", "on_shelf", "Memo", "lots"]
+__all__ = ["materialize", "docs_of", "small_batches", "bounded_batches", "crc_fold", "shuffle_width", "longs", "without_ids", "located", "on_shelf", "Memo", "Recalled", "lots", "byte_letters"]
 
 #: Ids that are broadcast rather than shuffled against texts: at most so many, some 100 MB.
 BROADCAST_IDS = 2_000_000
@@ -63,7 +63,7 @@ class Memo:
         missing = keys.difference(self.young)
         if missing and len(self.young) + len(missing) > self.room // 2:
             self.old, self.young, missing = self.young, {}, keys
-        known = missing.intersection(self.old)
+        known = {k for k in missing if k in self.old}
         self.young.update((k, self.old[k]) for k in known)
         new = list(missing.difference(known))
         if new:
@@ -71,6 +71,26 @@ class Memo:
         return self.young
 
 
+class Recalled(dict):
+    """As ``Memo``, key by key: what is not known is learned when it is looked up. ``turn``, called now and then, lets a generation go."""
+
+    def __init__(self, room: int, learn: Callable):
+        super().__init__()
+        self.room, self.learn, self.old = room, learn, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.learn(key)
+        self[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > self.room // 2:
+            self.old = dict(self)
+            self.clear()
+
+
 def lots(batches: Iterator[pd.DataFrame], columns: list[str], size: Callable[[tuple], int], room: int) -> Iterator[list[tuple]]:
     """Rows in lots of about ``room``, as ``size`` counts them; a row beyond that comes at the end of its lot."""
     lot, left = [], room
@@ -85,6 +105,13 @@ def lots(batches: Iterator[pd.DataFrame], columns: list[str], size: Callable[[tu
         yield lot
 
 
+def byte_letters() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself, or from 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
 def crc_fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id written as text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

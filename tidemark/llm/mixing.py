@@ -3,7 +3,7 @@
 Words are counted per source, weights become word targets, a target above ``most`` times its source is cut there and
 the excess shared again by weight (the cut sources are a prefix of the sources ordered by size over weight, so one
 running sum finds them). A document then appears floor(rate) times, and once more if a number drawn from the seed and
-its id falls below the rate's fraction.
+its id and text falls below the rate's fraction.
 
 Defined cases: null and empty texts have size 0 and are taken with 0 words; a null source is a source of its own, the last in order; an
 empty source gets target 0; repeated rows draw alike; an empty table gives an empty mix.
@@ -46,9 +46,9 @@ def targets(per_source: DataFrame, weights: tuple[int, ...], share: float, most:
     return rows.select("source", "source_size", F.when(cut, F.col("cap")).otherwise(F.col("w") * F.col("set")).alias("target"))
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) from the seed and the id, the same in every run: 52 bits of an md5."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def draw(doc_id: Column, body: Column, seed: str) -> Column:
+    """A number in [0, 1) from the seed, the id and the text, the same in every run: 52 bits of an md5."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(body, F.lit(""))))
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
@@ -68,13 +68,13 @@ def rated(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float =
         # many sources: both sides are dealt by (source, salt), each source once per salt
         salts = max(2, shuffle_width(spark) // 4)
         salted = plan.withColumn("mix_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        left = F.struct(source.alias("s"), F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(salts)).cast("int").alias("n"))
+        left = F.struct(source.alias("s"), F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(salts)).cast("int").alias("n"))
         salted = salted.select("mix_goal", F.struct(wanted.alias("s"), F.col("mix_salt").alias("n")).alias("mix_right"))
         joined = (docs.withColumn("mix_left", left).join(salted, F.col("mix_left").eqNullSafe(F.col("mix_right")))
                   .drop("mix_left", "mix_right"))
     size = word_count(F.col(f"`{text_col}`"))
     rate = F.when(F.col("mix_goal.source_size") > 0, F.col("mix_goal.target") / F.col("mix_goal.source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + (draw(F.col(f"`{id_col}`"), seed) < rate - F.floor(rate)).cast("long")
+    copies = F.floor(rate) + (draw(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed) < rate - F.floor(rate)).cast("long")
     return joined.withColumn("mix_plan", F.struct(
         size.alias("size"), F.col("mix_goal.source_size").alias("source_size"), F.col("mix_goal.target").alias("target"),
         copies.alias("copies"))).drop("mix_goal")

@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from tidemark.llm.common import docs_of, longs, materialize, small_batches
+from tidemark.llm.common import Recalled, byte_letters, docs_of, located, longs, materialize, on_shelf, small_batches
 
 WINDOW, END, OPEN, MIN_PIECE = 2048, 1, 32, 32
 #: Tasks whose leftovers one merge task takes, so that it holds at most FAN_IN x OPEN windows.
 FAN_IN = 64
-#: Distinct pieces whose ids a worker remembers; beyond that it starts anew.
-MEMO_ROOM = 350_000
+#: Words whose ids a worker remembers, and as many pieces of words; beyond that it forgets those not met lately.
+MEMO_ROOM = 1_000_000
 #: Characters of text tokenized at a time.
 LOT = 1_000_000
 
@@ -44,15 +45,13 @@ class WordIds:
     PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
     UNSURE = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20ac]|<\|")
 
-    def __init__(self, path: str):
-        import sys
-        import types
-
-        # one memo per worker process and vocabulary: tasks come and go, workers stay
-        shelf = sys.modules.setdefault("_tidemark_worker_memo", types.ModuleType("_tidemark_worker_memo"))
-        if path not in shelf.__dict__:
-            shelf.__dict__[path] = (self._load(path), {}, {})
-        self.coder, self.words, self.pieces = shelf.__dict__[path]
+    def __init__(self, path: str, room: int | None = None):
+        room = room or MEMO_ROOM
+        # kept for the worker's life: tasks come and go, workers stay
+        self.coder = on_shelf(f"coder:{path}", lambda: self._load(path))
+        self.letters = byte_letters()
+        self.pieces = on_shelf(f"pieces:{path}:{room}", lambda: Recalled(room, self._piece))
+        self.words = on_shelf(f"words:{path}:{room}", lambda: Recalled(room, self._word))
 
     @staticmethod
     def _load(path: str):
@@ -63,35 +62,21 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         return Tokenizer.from_file(path)
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.words) + len(new) > MEMO_ROOM:
-            self.words.clear()
-        split = list(map(self.PIECE.findall, new))
-        unknown = list(set().union(*split).difference(self.pieces))
-        if len(self.pieces) + len(unknown) > MEMO_ROOM:
-            self.pieces.clear()
-            unknown = list(set().union(*split))
-        # bytes stand for themselves in ASCII pieces, so these may enter the tokenizer's model directly
-        model = self.coder.model
-        for piece in unknown:
-            ids = [t.id for t in model.tokenize(piece)] if piece.isascii() else self.coder.encode(piece, add_special_tokens=False).ids
-            self.pieces[piece] = np.array(ids, "<u4").tobytes()
-        of = self.pieces
-        for word, pieces in zip(new, split, strict=True):
-            self.words[word] = of[pieces[0]] if len(pieces) == 1 else b"".join([of[p] for p in pieces])
+    def _piece(self, piece: str) -> bytes:
+        # pieces are lower case and composed already, so the tokenizer's model may have their bytes directly
+        plain = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        return array("I", [t.id for t in self.coder.model.tokenize(plain)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        parts = self.PIECE.findall(word)
+        return self.pieces[parts[0]] if len(parts) == 1 else b"".join(map(self.pieces.__getitem__, parts))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        end = np.array([END], "<u4").tobytes()
-        parts = [None if self.UNSURE.search(t) else t.lower().split() for t in texts]
-        every = set().union(*[p for p in parts if p is not None])
-        new = every.difference(self.words)
-        if new:
-            if len(self.words) + len(new) > MEMO_ROOM:
-                new = every
-            self._learn(list(new))
-        of = self.words.__getitem__
-        return [np.array([*self.coder.encode(text, add_special_tokens=False).ids, END], "<u4") if p is None
-                else np.frombuffer(b"".join(map(of, p)) + end, "<u4") for text, p in zip(texts, parts, strict=True)]
+        self.words.turn()
+        self.pieces.turn()
+        end, of = array("I", [END]).tobytes(), self.words.__getitem__
+        return [np.array([*self.coder.encode(text, add_special_tokens=False).ids, END], "<u4") if self.UNSURE.search(text)
+                else np.frombuffer(b"".join(map(of, text.lower().split())) + end, "<u4") for text in texts]
 
 
 class Windows:
@@ -172,8 +157,8 @@ def _lots(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[str]]]:
         yield ids, texts
 
 
-def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece.
+def pack(docs: DataFrame, vocabulary: str | Callable[[], str], id_col: str = "doc_id", text_col: str = "text", memo_room: int | None = None) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece. ``memo_room`` bounds the words a worker remembers.
 
     The pieces and leftovers of the first pass are written once to the shared folder: a lost executor costs the
     tasks it ran. Sequence numbers are the writing task's number and a counter.
@@ -181,7 +166,7 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     small_batches(docs.sparkSession)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        windows, coder = Windows(TaskContext.get().partitionId() << 32), WordIds(vocabulary)
+        windows, coder = Windows(TaskContext.get().partitionId() << 32), WordIds(located(vocabulary), memo_room)
         for ids, texts in _lots(batches):
             out: list[tuple] = []
             for doc_id, code in zip(ids, coder.encode(texts), strict=True):

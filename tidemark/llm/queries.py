@@ -16,12 +16,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path("word_bpe_49k.json"))
-
-
 def public(name: str):
     """Where a public vocabulary lies, found out in the worker that reads it."""
     def path() -> str:
@@ -31,6 +25,9 @@ def public(name: str):
     return path
 
 
+vocabulary = public("word_bpe_49k.json")
+
+
 def op1_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.with_edits(table(spark, folder, "documents"))
 
@@ -57,7 +54,7 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), vocabulary())
+    return packing.pack(table(spark, folder, "documents"), vocabulary)
 
 
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,7 +92,7 @@ WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^ \x09-\x0D]+')), 0)::BIGI
 
 ORACLE: dict[str, str] = {
     "op8_mixing": f"""
-WITH d AS (SELECT doc_id, source, {WORDS_SQL} AS size FROM documents),
+WITH d AS (SELECT doc_id, source, text, {WORDS_SQL} AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,
         (CASE (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END)::DOUBLE AS w
       FROM d GROUP BY source),
@@ -106,7 +103,7 @@ t AS (SELECT *, min(CASE WHEN cap > w * level THEN cap / w END) OVER () AS first
 g AS (SELECT source, source_size, cap, w, max(CASE WHEN cap / w = first_free THEN level END) OVER () AS set_level FROM t),
 m AS (SELECT source, source_size, CASE WHEN set_level IS NULL OR cap <= w * set_level THEN cap ELSE w * set_level END::DOUBLE AS target FROM g),
 j AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-        ('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, 'null'))[1:13])::BIGINT / 4503599627370496.0 AS u
+        ('0x' || md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, '')))[1:13])::BIGINT / 4503599627370496.0 AS u
       FROM d JOIN m ON d.source IS NOT DISTINCT FROM m.source)
 SELECT doc_id, size, source_size, target, size * (floor(rate) + (u < rate - floor(rate))::INT)::BIGINT AS taken FROM j""",
     "op9_urlfilter": r"""
