@@ -375,6 +375,23 @@ def test_near_copies_leave_one(spark):
     assert got == sorted([2, 7, None, 11, 11], key=str)
 
 
+def test_near_copies_are_judged_by_row(spark):
+    """Different texts under one id or none are documents of their own."""
+    a, b, c, d, e = (prose(40 + i, 60) for i in range(5))
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, d), (None, e), (None, a), (None, prose(60, 50)), (8, e + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("near", F.lit("x"))
+    got = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(1, a), (5, b), (7, c), (7, d), (None, prose(60, 50)), (8, e + " more")]))
+
+
+def test_rows_without_id_meet_their_targets(spark):
+    rows = [(None if i % 2 else 7, prose(i, 20 + i % 7), "abc"[i % 3]) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in mixing.mix_report(docs).groupBy("target").agg(F.sum("taken").alias("taken")).collect():
+        assert abs(r.taken - r.target) < 0.08 * r.target
+
+
 def test_many_ids_are_shuffled(spark, monkeypatch):
     from tidemark.llm import common
     monkeypatch.setattr(common, "BROADCAST_IDS", -1)
