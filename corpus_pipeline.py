@@ -30,16 +30,16 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """The smallest id of each component of near copies. Of rows with one id, one stays if the text has words; without id, all."""
-    grouped = materialize(ngramjoin.near_components(docs), "components")
-    one = grouped.where("doc_id is not null").groupBy("doc_id").agg(
-        F.count("*").alias("rows"), F.max("n_shingles").alias("n"), F.max((F.col("component_id") != F.col("doc_id")).cast("int")).alias("later"))
-    kept = without_ids(docs, one.where("later = 1").select("doc_id"))
-    repeated = one.where("rows > 1 and n > 0 and later = 0").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return without_ids(kept, repeated).unionByName(again)
+    """Of each component of near copies the row with the smallest id, whatever ids the rows share or lack. Rows without words stay."""
+    # a number of its own for every row: an id may be missing, or shared by different texts
+    numbered = materialize(docs.withColumn("pipeline_row", F.monotonically_increasing_id()), "numbered")
+    grouped = ngramjoin.near_components(numbered, id_col="pipeline_row")
+    members = grouped.where("n_shingles > 0").select(F.col("doc_id").alias("pipeline_row"), F.col("component_id").alias("near")).join(
+        numbered.select("pipeline_row", "doc_id"), "pipeline_row")
+    members = materialize(members, "near-members")
+    first = members.groupBy("near").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "pipeline_row")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = members.join(first, "near").where("pipeline_row <> first.pipeline_row").select("pipeline_row")
+    return without_ids(numbered, later, "pipeline_row").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -48,7 +48,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return packing.pack(docs, vocabulary())
+    # workers of the stages before still hold their models: few words are remembered
+    return packing.pack(docs, vocabulary, memo_room=400_000)
 
 
 STAGES = [
