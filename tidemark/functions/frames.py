@@ -185,7 +185,8 @@ def ordered_pass(df: DataFrame, keys: list[str], order: list[str], fill: list[st
     fill, lag, lead, cumulative = fill or [], lag or {}, lead or {}, cumulative or {}
     buckets = buckets or default_buckets(df.sparkSession)
     # keys travel as one struct: null members compare equal there, so plain equality keeps the window's partitioning
-    packed = df.select(F.struct(*(keys or [F.lit(0).alias("all")])).alias("_key"), *[c for c in df.columns if c not in keys])
+    # without keys: always 0, but no constant, or the joins on it would become table products
+    packed = df.select(F.struct(*(keys or [F.pmod(F.xxhash64(*order), F.lit(1)).alias("all")])).alias("_key"), *[c for c in df.columns if c not in keys])
     placed = _stretches(packed, order, buckets)
     inside = Window.partitionBy("_key", "_chunk").orderBy(*order)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
