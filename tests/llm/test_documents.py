@@ -1,6 +1,7 @@
 """Fingerprints, line dedup, n-gram join and licenses against brute force, and their defined cases."""
 
 import hashlib
+import time
 
 import numpy as np
 from conftest import DATA
@@ -241,6 +242,25 @@ def test_line_dedup_shuffles_when_cuts_are_many(tricky, monkeypatch):
     assert rows_of(linededup.dedupe(tricky), "doc_id", "text") == want
 
 
+def test_lines_of_two_kinds_in_turn_take_little_time():
+    kinds = "alpha beta gamma delta epsilon", "one two three four five six"
+    early = "\n".join(kinds[i % 2] for i in range(20_000))
+    late = "\n".join(["a head of its own", *(kinds[(i + 1) % 2] for i in range(20_000)), "and a tail"])
+    start = time.monotonic()
+    got = linededup.common_lines(linededup.line_marks(early)[0], *linededup.line_marks(late), 50)
+    assert got == set(range(1, 20_001)) and time.monotonic() - start < 10
+
+
+def test_an_early_document_with_many_partners(spark, monkeypatch):
+    shared = "\n".join(prose(50 + j, 12) for j in range(6))
+    rows = [(i, f"{prose(100 + i, 9)}\n{shared}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = rows_of(linededup.dedupe(df), "doc_id", "text")
+    monkeypatch.setattr(linededup, "PARTNERS", 4)
+    assert rows_of(linededup.dedupe(df), "doc_id", "text") == want
+    assert want[0][1] == rows[0][1] and all(text == rows[i][1].split("\n")[0] for i, text in want[1:])
+
+
 # ---- licenses
 
 def test_license_lines_are_found_and_only_those(spark):

@@ -3,8 +3,9 @@
 A shortest run of lines, from a line on or up to a line, with at least ``MIN_WORDS`` words in all is an anchor; anchors are rare where single lines may be common.
 Each document meets, for every anchor it shares with an earlier document, the earliest one that holds it. Their
 lines are aligned by patience diff, and common blocks of at least ``MIN_WORDS`` words are deleted from the later
-document. A pair is aligned again without the found blocks until none is left, and then every anchor of the pair that alignment
-crowded out is deleted too, so moved passages are found whatever lies around them. Every
+document. Where no line is unique on both sides, runs of lines with ``MIN_WORDS`` words are matched in their place. A pair is aligned again without the
+found blocks, ``ROUNDS`` times at most, and then every shared anchor of the pair that alignment left is deleted too, so moved passages and lines of few
+kinds in turn are found whatever lies around them, in time that grows with the lines. Every
 line of a block that a document shares with any earlier one lies in an anchor inside that block (the run from a line on, up to it, or
 around it), so meeting the earliest holders misses no line, and pairs stay as few as anchors, however many documents share a passage.
 The first document with a line keeps it.
@@ -31,6 +32,10 @@ from tidemark.llm.common import materialize, small_batches
 MIN_WORDS = 50
 #: Cuts joined as a broadcast table: at most so many documents and lines, some 100 MB; beyond, both sides are shuffled.
 BROADCAST_DOCS, BROADCAST_LINES = 500_000, 5_000_000
+#: Alignments of one pair; what would take more is cut by the anchors that are left, so the result does not depend on it.
+ROUNDS = 8
+#: Partners of an early document per task.
+PARTNERS = 256
 LAST = (1 << 63) - 1
 
 
@@ -61,8 +66,11 @@ def anchors(hashes: np.ndarray, words: np.ndarray, min_words: int) -> list[int]:
     return list({x for x, _, _ in word_runs(hashes[real], words[real], min_words)})
 
 
-def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int]]:
-    """Common blocks (start in a, start in b, length) of two sequences, in order in both."""
+def patience(a: Sequence[int], b: Sequence[int], runs_a: Sequence | None = None, runs_b: Sequence | None = None) -> list[tuple[int, int, int]]:
+    """Common blocks (start in a, start in b, length) of two sequences, in order in both. Where no line is unique on both sides, the runs that
+    start at the lines (given as a key per line; two successive lines if not given) are looked at instead; a stretch that has no unique run
+    either, such as lines of few kinds in turn, is left out."""
+    runs_a, runs_b = (list(zip(x, [*x[1:], None])) if r is None else r for x, r in ((a, runs_a), (b, runs_b)))
     pairs: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -75,7 +83,7 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int]]:
             pairs.append((ahi, bhi))
         if alo >= ahi or blo >= bhi:
             continue
-        fixed = _unique_in_both(a, alo, ahi, b, blo, bhi) or _longest(a, alo, ahi, b, blo, bhi)
+        fixed = _unique_in_both(a, alo, ahi, b, blo, bhi) or _unique_in_both(runs_a, alo, ahi, runs_b, blo, bhi)
         x, y = alo, blo
         for i, j in fixed:
             todo.append((x, i, y, j))
@@ -95,7 +103,7 @@ def patience(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int]]:
 def _unique_in_both(a, alo, ahi, b, blo, bhi) -> list[tuple[int, int]]:
     """Lines found once on either side, thinned to a longest run that rises on both."""
     once_a, once_b = Counter(a[alo:ahi]), Counter(b[blo:bhi])
-    place = {x: j for j, x in enumerate(b[blo:bhi], blo) if once_b[x] == 1}
+    place = {x: j for j, x in enumerate(b[blo:bhi], blo) if x is not None and once_b[x] == 1}
     found = [(i, place[x]) for i, x in enumerate(a[alo:ahi], alo) if once_a[x] == 1 and x in place]
     tails: list[int] = []
     ends: list[int] = []
@@ -112,21 +120,12 @@ def _unique_in_both(a, alo, ahi, b, blo, bhi) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def _longest(a, alo, ahi, b, blo, bhi) -> list[tuple[int, int]]:
-    """The longest common run, where no line is unique on both sides."""
-    where: dict[int, list[int]] = {}
-    for j in range(blo, bhi):
-        where.setdefault(b[j], []).append(j)
-    best, run = (0, 0, 0), {}
-    for i in range(alo, ahi):
-        now = {}
-        for j in where.get(a[i], ()):
-            now[j] = run.get(j - 1, 0) + 1
-            if now[j] > best[0]:
-                best = (now[j], i, j)
-        run = now
-    size, i, j = best
-    return [(i - size + 1 + k, j - size + 1 + k) for k in range(size)]
+def _from_each(runs: list[tuple[int, int, int]], n: int) -> list[int | None]:
+    """Per line the key of the longest run that starts there; None, which is never unique, without one."""
+    keys: list[int | None] = [None] * n
+    for x, i, _ in sorted(runs, key=lambda r: r[2] - r[1]):
+        keys[i] = x
+    return keys
 
 
 def common_lines(early: np.ndarray, late: np.ndarray, words: np.ndarray, min_words: int) -> set[int]:
@@ -136,18 +135,22 @@ def common_lines(early: np.ndarray, late: np.ndarray, words: np.ndarray, min_wor
     weight = words[rows].tolist()
     # equal lines have equally many words; a line of the early document alone is in no shared run, whatever it weighs
     known = dict(zip(b, weight, strict=True))
-    held = {x for x, _, _ in word_runs(np.array(a, np.int64), np.array([known.get(x, min_words) for x in a], np.int64), min_words)}
-    shared = [(i, e) for x, i, e in word_runs(late[rows], words[rows], min_words) if x in held]
+    early_runs = word_runs(np.array(a, np.int64), np.array([known.get(x, min_words) for x in a], np.int64), min_words)
+    held = {x for x, _, _ in early_runs}
+    shared = [run for run in word_runs(late[rows], words[rows], min_words) if run[0] in held]
+    runs_a, runs_b = _from_each(early_runs, len(a)), _from_each(shared, len(b))
     cut: set[int] = set()
-    while True:
+    for _ in range(ROUNDS):
+        if all(j in cut for _, i, e in shared for j in (i, e - 1)):
+            break
         # what is cut already matches nothing, and neither does what lacks a partner
-        masked = [-1 - j if j in cut else x for j, x in enumerate(b)]
-        new = {j + k for _, j, size in patience(a, masked) for k in range(size) if sum(weight[j:j + size]) >= min_words}
+        masked, runs = ([-1 - j if j in cut else x for j, x in enumerate(keys)] for keys in (b, runs_b))
+        new = {j + k for _, j, size in patience(a, masked, runs_a, runs) if sum(weight[j:j + size]) >= min_words for k in range(size)}
         if not new:
             break
         cut |= new
     # runs that the alignments' order or shorter matches crowded out
-    for i, e in shared:
+    for _, i, e in shared:
         cut.update(range(i, e))
     return {int(rows[j]) for j in cut}
 
@@ -170,11 +173,17 @@ def cuts(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", te
 
     marked = materialize(rows.mapInPandas(mark, "k long, h long, lines binary, words binary, anchors array<long>"), "line-marks")
     at = marked.select(F.struct("k", "h").alias("doc"), F.explode("anchors").alias("anchor"))
-    first = at.groupBy("anchor").agg(F.min("doc").alias("early"), F.max("doc").alias("last")).where("early <> last").drop("last")
-    pairs = at.join(first, "anchor").where("doc <> early").select(F.col("doc.k").alias("k"), F.col("doc.h").alias("h"), F.col("early.k").alias("ek"), F.col("early.h").alias("eh")).distinct()
+    # an early document with many partners is sent to as many places as they need: a power of two per anchor, by the documents that hold it
+    places = F.pow(2, F.greatest(F.ceil(F.log2(F.count("*") / PARTNERS)), F.lit(0))).cast("int")
+    first = at.groupBy("anchor").agg(F.min("doc").alias("early"), F.max("doc").alias("last"), places.alias("places")).where("early <> last").drop("last")
+    pairs = (at.join(first, "anchor").where("doc <> early").groupBy("doc", "early").agg(F.max("places").alias("places"))
+             .select("doc.k", "doc.h", F.col("early.k").alias("ek"), F.col("early.h").alias("eh"), "places")
+             .withColumn("place", F.pmod(F.xxhash64("k", "h"), "places").cast("int")))
     slim = marked.select("k", "h", "lines", "words").dropDuplicates(["k", "h"])
-    early = slim.select(F.col("k").alias("ek"), F.col("h").alias("eh"), F.col("lines").alias("early"))
-    both = pairs.join(slim, ["k", "h"]).join(early, ["ek", "eh"]).select("k", "h", "lines", "words", "early")
+    stands = first.select(F.col("early.k").alias("ek"), F.col("early.h").alias("eh"), "places").distinct()
+    early = (stands.join(slim.select(F.col("k").alias("ek"), F.col("h").alias("eh"), F.col("lines").alias("early")), ["ek", "eh"])
+             .withColumn("place", F.explode(F.sequence(F.lit(0), F.col("places") - 1))))
+    both = pairs.join(slim, ["k", "h"]).join(early, ["ek", "eh", "places", "place"]).select("k", "h", "lines", "words", "early")
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
