@@ -2,6 +2,8 @@
 
 import hashlib
 import time
+from collections import Counter
+from random import Random
 
 import numpy as np
 from conftest import DATA
@@ -294,13 +296,71 @@ def test_license_notices_over_several_lines(spark):
         for notice in notices:
             if len(notice.split()) > 12:
                 words = notice.split()
+                of = len(licenses.WORD.findall(words[5]))
                 words[5] = "changed"
                 rows.append((len(rows), "\n".join([prose(1, 30), "", *(" * " + " ".join(words[i:i + 8]) for i in range(0, len(words), 8)), "", prose(2, 30)])))
-                want.append((len(want), 2, name, 1))
+                want.append((len(want), 2, name, of))
     got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed")
     assert len(want) >= 6 and rows_of(got, "doc_id", "line_no", "license", "changed_words") == sorted(want, key=str)
 
 
+def test_every_notice_is_found_alone(spark):
+    rows = [(i, name, f"{prose(i, 40)}\n{notice}\n{prose(i + 500, 40)}")
+            for i, (name, notice) in enumerate((name, n) for name, notices in licenses.TEMPLATES.items() for n in notices)]
+    got = licenses.scan(spark.createDataFrame([(i, text) for i, _, text in rows], "doc_id long, text string"))
+    assert rows_of(got, "doc_id", "line_no", "license", "changed_words", "confirmed") == sorted(((i, 1, name, 0, True) for i, name, _ in rows), key=str)
+
+
+def test_another_name_or_version_confirms_nothing(spark):
+    lines = ["Released under the Foo License.", "Licensed under CC BY 2.5.", "Licensed under CC BY-XX 4.0.", "Licensed under the EUPL License.",
+             "Licensed under the Apache License, Version 1.1.", licenses.TEMPLATES["GPL-3.0"][1].replace("version 3", "version 4"),
+             licenses.TEMPLATES["GPL-3.0"][1].replace("GNU General", "GNU Open General"), "Distributed under the Boost Software License, Version 2.0."]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    assert got.where("confirmed").count() == 0
+
+
+def closest_by_brute_force(text):
+    """The closest notice of all, over all stretches, by longest common subsequences and without compression: (license, changed words)."""
+    words = [licenses.token(w) for w in licenses.WORD.findall(text)]
+    found = []
+    for name, notices in licenses.TEMPLATES.items():
+        for notice in map(licenses.Notice, notices):
+            telling = [w for w in notice.words if notice.tells(w)]
+            for lo in range(len(words)):
+                near = words[lo:lo + notice.room]
+                if (Counter(near) & Counter(notice.words)).total() < notice.least:
+                    continue
+                before = [0] * (len(near) + 1)
+                for w in notice.words:
+                    now = [0]
+                    for j, x in enumerate(near):
+                        now.append(before[j] + 1 if w == x else max(before[j + 1], now[j]))
+                    before = now
+                for hi in range(1, len(near) + 1):
+                    changed = max(len(notice.words), hi) - before[hi]
+                    if changed <= notice.slack and [w for w in near[:hi] if notice.tells(w)] == telling:
+                        found.append((changed / len(notice.words), -len(notice.words), name, changed))
+    return min(found)[2:] if found else None
+
+
+def test_licenses_against_brute_force(spark):
+    random = Random(7)
+    rows = []
+    for name, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            words = notice.split()
+            for _ in range(random.randrange(1, 1 + max(1, len(words) // 5))):
+                at = random.randrange(len(words))
+                words[at:at + 1] = random.choice([[], ["strange"], [words[at], "added"]])
+            text = " ".join([prose(len(rows), 5), *words, prose(len(rows) + 500, 5)])
+            if licenses.MENTION.search(" ".join(words)):
+                rows.append((len(rows), text))
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).where("confirmed")
+    found = {r.doc_id: (r.license, r.changed_words) for r in got.collect()}
+    want = {i: best for i, text in rows if (best := closest_by_brute_force(text))}
+    assert len(want) >= 20 and found == want
+
+
 def test_license_on_tricky_rows(tricky, nothing):
     assert licenses.scan(tricky).count() == 0 and licenses.scan(nothing).count() == 0
     noted = tricky.withColumn("text", F.concat_ws("\n", "text", F.lit("All rights reserved.")))
