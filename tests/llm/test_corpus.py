@@ -219,6 +219,21 @@ def test_archives_of_awkward_pages(spark, monkeypatch, few):
     assert warc.round_trip(df.where("false")).count() == 0
 
 
+def test_record_ids_agree_between_runs_and_are_unique(spark):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    once = {(r.page_id, r.record_id) for r in warc.round_trip(pages).collect()}
+    again = {(r.page_id, r.record_id) for r in warc.round_trip(pages.repartition(5)).collect()}
+    assert once == again and len({i for _, i in once}) == len(once) == pages.count()
+
+
+def test_repeated_rows_have_ids_of_their_own(spark):
+    rows = [(1, "http://a", "x")] * 4 + [(3, "http://a", "x")] * 3 + [(None, "http://a", "x"), (None, "http://a", "x"), (5, "http://b", "y")]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    assert len(got) == 10 == len({r.record_id for r in got}) and all(r.intact for r in got)
+    assert sorted(((r.page_id, r.record_type, r.refers_to) for r in got), key=str) == sorted(
+        [(1, "response", None)] * 4 + [(3, "revisit", 1)] * 3 + [(None, "revisit", 1)] * 2 + [(5, "response", None)], key=str)
+
+
 def test_arc_headers_of_both_versions():
     def block(version, line, body, about=None):
         about = about or f"{version} 0 o\n{warc.ARC_FIELDS[version]}\n"

@@ -54,6 +54,25 @@ def test_edits_on_tricky_rows(tricky, nothing):
     assert len(alone) == 1 and alone[0].near_next == 1.0
 
 
+def test_an_id_of_many_rows_spans_runs(spark, monkeypatch):
+    monkeypatch.setattr(spotsigs, "RUN_ROWS", 5)
+    rows = [(None, prose(i, 12)) for i in range(40)] + [(None, "the same text twice")] * 30 + [(i, prose(100 + i, 9)) for i in range(10)] + [(4, prose(7, 5))] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keyed = spotsigs._keyed(spotsigs.docs_of(df), 12)
+    heads = spotsigs._heads(keyed, 12)
+    assert sum(h[0] == spotsigs.MIN_KEY for h in heads) > 4                  # the rows without id lie in many runs
+    got = spotsigs.with_edits(df, blocks=12).collect()
+    assert len(got) == len(rows)
+    # rows alike in id and text are interchangeable, so the order of texts is known, whatever the runs
+    hashed = df.select("doc_id", "text", spotsigs.F.xxhash64("text").alias("h")).collect()
+    order = [r.text for r in sorted(hashed, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h))]
+    want = []
+    for text, following in zip(order, order[1:] + order[:1], strict=True):
+        half = len(text) // 2
+        want.append(hashlib.sha256((text[:len(text) - half] + following[:half]).encode()).hexdigest())
+    assert sorted(want) == sorted(r.edited_sha256 for r in got)
+
+
 def test_near_pairs_against_all_pairs(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     prints = spotsigs.fingerprints(docs)

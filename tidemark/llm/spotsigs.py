@@ -7,7 +7,8 @@ base64. Likeness is the Jaccard coefficient of two such sets.
 Defined cases: null and empty texts have the empty fingerprint; the start of a text counts as an anchor, so a text of
 few words still has one; a text without any content word is fingerprinted by its words alone; two empty fingerprints
 have likeness 1, an empty one and any other 0. Documents with equal ids follow each other in the order of their
-text's hash; a null id comes before all others.
+text's hash; a null id comes before all others; rows alike in both follow each other in any order. An empty table gives
+no row. Very long texts are read whole; only the id and text columns are read, so no further column can clash.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import base64
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.common import docs_of, longs, shuffle_width, small_batches
+from tidemark.llm.common import bounded_batches, docs_of, longs, materialize, shuffle_width
 
 #: Common words of English, German, French and Spanish.
 ANCHORS = frozenset("""
@@ -37,6 +39,8 @@ CHAIN = 2
 TOKEN = re.compile(r"\w+")
 MEMO_ROOM = 500_000
 MIN_KEY = -(1 << 63)
+#: Rows of one id that may stay together in one run.
+RUN_ROWS = 1000
 
 
 class _Memo(dict):
@@ -106,7 +110,7 @@ def decode(fingerprint: str) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_signatures, fingerprint of every whole text."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
 
     @pandas_udf("fingerprint string, n_signatures int")
     def marks(text: pd.Series) -> pd.DataFrame:
@@ -152,41 +156,57 @@ def near_pairs(prints: DataFrame, at_least: float = 0.75) -> DataFrame:
     def compare(fa: pd.Series, fb: pd.Series) -> pd.Series:
         return pd.Series([likeness(decode(x), decode(y), at_least) for x, y in zip(fa, fb, strict=True)], dtype="float64")
 
-    small_batches(spark)
+    bounded_batches(spark)
     return full.select("a", "b", compare("fa", "fb").alias("likeness")).where(F.col("likeness") >= at_least)
 
 
-def _heads(docs: DataFrame, blocks: int) -> np.ndarray:
-    """The first id of each of at most ``blocks`` runs of ids: one number per run comes to the driver."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_KEY))
-    runs = docs.select(key.alias("k")).repartitionByRange(blocks, "k").groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("k"))
-    return np.array(sorted(r.k for r in runs.collect()), np.int64)
+def _keyed(rows: DataFrame, blocks: int) -> DataFrame:
+    """Adds the order by which runs are cut: the id (k), and for ids that hold more than a run's share of all rows also the
+    text's hash (h) and a number of the row's own (t), so that such an id spans many runs. Those rows are stored, as their
+    numbers must not change; they are fewer than ``blocks`` ids."""
+    rows = rows.withColumn("k", F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_KEY)))
+    share = max(RUN_ROWS, rows.count() // blocks)
+    hot = [r.k for r in rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > share).collect()]
+    zero = F.lit(0).cast("long")
+    plain = rows.withColumns({"h": zero, "t": zero})
+    if not hot:
+        return plain
+    many = rows.where(F.col("k").isin(hot)).withColumns({"h": F.xxhash64("text"), "t": F.monotonically_increasing_id()})
+    return plain.where(~F.col("k").isin(hot)).unionByName(materialize(many, "hot-ids"))
+
+
+def _heads(rows: DataFrame, blocks: int) -> list[tuple[int, int, int]]:
+    """The first key of each of at most ``blocks`` runs: one key per run comes to the driver."""
+    runs = rows.select("k", "h", "t").repartitionByRange(blocks, "k", "h", "t").groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("k", "h", "t")).alias("first"))
+    return sorted(tuple(r.first) for r in runs.select("first").collect())
 
 
 def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None) -> DataFrame:
     """Fingerprint of every text and of its edited form, and the likeness to that form and to the next document.
 
-    Ids are cut into runs from the id column alone. Each text then moves once, to the task of its run; the first
-    document of the following run comes along as the last one's neighbour. So no task sees more than its runs.
+    Ids are cut into runs from the id column alone; an id with more rows than a run may hold is cut by its texts' hashes and
+    row numbers as well. Each text then moves once, to the task of its run; the first document of the following run comes
+    along as the last one's neighbour. So no task sees more than its runs.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs_of(docs, id_col, text_col)
+    bounded_batches(spark)
     width = shuffle_width(spark)
-    heads = _heads(rows, blocks or 4 * width)
+    blocks = blocks or 4 * width
+    rows = _keyed(docs_of(docs, id_col, text_col), blocks)
+    heads = _heads(rows, blocks)
 
     @pandas_udf("array<int>")
-    def places(key: pd.Series) -> pd.Series:
-        at = np.searchsorted(heads, key.to_numpy(), side="right") - 1
-        lead = heads[at] == key.to_numpy()
-        before = (at - 1) % len(heads)
-        # even: a row of the run; odd: the neighbour that closes the run before
-        return pd.Series([[2 * i, 2 * j + 1] if m else [2 * i] for i, j, m in zip(at.tolist(), before.tolist(), lead.tolist(), strict=True)])
-
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(MIN_KEY))
-    dealt = (rows.withColumn("k", key).withColumn("place", F.explode(places("k")))
+    def places(k: pd.Series, h: pd.Series, t: pd.Series) -> pd.Series:
+        out = []
+        for key in zip(k.tolist(), h.tolist(), t.tolist(), strict=True):
+            at = bisect_right(heads, key) - 1
+            # even: a row of the run; odd: the neighbour that closes the run before
+            out.append([2 * at, 2 * ((at - 1) % len(heads)) + 1] if heads[at] == key else [2 * at])
+        return pd.Series(out)
+
+    dealt = (rows.withColumn("place", F.explode(places("k", "h", "t")))
              .withColumn("run", F.floor(F.col("place") / 2).cast("int")))
-    dealt = dealt.repartition(width, "run").sortWithinPartitions("place", "k", F.xxhash64("text"))
+    dealt = dealt.repartition(width, "run").sortWithinPartitions("place", "k", F.xxhash64("text"), "t")
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None

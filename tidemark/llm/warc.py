@@ -2,7 +2,8 @@
 
 An ARC file starts with a version block that names the fields of the one-line record headers; each header ends with the length
 of the record that follows. The converter reads both header versions, and synthesises what WARC wants and ARC lacks: a record id
-(from file and offset, so reruns agree), an ISO timestamp, the record type, payload and block digests. Of records with
+(from the record's url, address, date, headers and payload digest, so reruns agree whatever the files are called; only records
+alike in all of these take theirs from file and offset), an ISO timestamp, the record type, payload and block digests. Of records with
 equal payloads the one with the smallest order number becomes the response, the others revisit it and keep only their
 HTTP headers.
 
@@ -13,7 +14,8 @@ whole files, one per task's output, and parsed as streams.
 Defined cases: a null or empty body is a payload of 0 bytes; a null or empty url is written as ``urn:none``; blanks and control
 characters in urls are escaped; a record cut off by its file's end is kept and marked truncated; a header line that
 does not parse is skipped; rows with one order number and one payload are all responses; a null order number comes
-last; an empty table gives no archive and no row.
+last; an empty table gives no archive and no row; very long bodies are kept whole; only id, url and body are read, so no
+further column can clash. An archive is one value while it is parsed: files of 2 GB and more must be split before.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import shared_dir
-from tidemark.llm.common import longs, materialize, small_batches
+from tidemark.llm.common import bounded_batches, longs, materialize
 
 #: Header fields of the two ARC versions.
 ARC_FIELDS = {
@@ -40,7 +42,7 @@ ARC_FIELDS = {
 }
 ORDER_HEADER = "X-Order"
 FIRST_IN_TASK = (1 << 33) - 1
-#: Revisits that are broadcast: at most so many, some 60 MB.
+#: Decisions (revisits, repeated records) that are broadcast: at most so many, some 60 MB.
 BROADCAST_REVISITS = 200_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -121,13 +123,13 @@ def iso_date(stamp: str) -> str:
     return f"{full[:4]}-{full[4:6]}-{full[6:8]}T{full[8:10]}:{full[10:12]}:{full[12:14]}Z"
 
 
-RECORD = ("record_id string, order_no long, uri string, ip string, date string, http boolean, payload_digest string, payload_bytes long,"
+RECORD = ("place string, record_id string, order_no long, uri string, ip string, date string, http boolean, payload_digest string, payload_bytes long,"
           " truncated boolean")
 
 
 def parse_arcs(spark: SparkSession, path: str, with_content: bool) -> DataFrame:
     """Records of all ARC files below ``path`` with their WARC fields; the bytes only if they are wanted."""
-    small_batches(spark)
+    bounded_batches(spark)
     schema = RECORD + (", head binary, payload binary, block_digest string, head_digest string" if with_content else "")
     names = [c.split()[0] for c in schema.split(", ")]
 
@@ -135,7 +137,7 @@ def parse_arcs(spark: SparkSession, path: str, with_content: bool) -> DataFrame:
         for batch in batches:
             for file, content in zip(batch["path"], batch["content"], strict=True):
                 rows, held = [], 0
-                for record in read_arc(_open(content), file.rsplit("/", 1)[-1]):
+                for record in read_arc(_open(content), file):
                     rows.append(_warc_fields(record, with_content))
                     held += len(record["block"])
                     if held > 8_000_000 or len(rows) >= 5000:
@@ -155,39 +157,54 @@ def _open(content: bytes) -> io.BufferedIOBase:
 def _warc_fields(record: dict, with_content: bool) -> tuple:
     head, payload = split_http(record["block"])
     order = http_field(head, ORDER_HEADER)
-    where = f"{record['file']}#{record['offset']}"
-    row = (f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, where)}>", _signed(order), record["URL"], record["IP-address"],
-           iso_date(record["Archive-date"]), bool(head), base32(payload), len(payload), record["truncated"])
+    digest = base32(payload)
+    name = " ".join([record["URL"], record["IP-address"], record["Archive-date"], digest, head.decode("latin-1")])
+    row = (_uuid(f"{record['file']}#{record['offset']}"), f"<urn:uuid:{_uuid(name)}>", _signed(order), record["URL"], record["IP-address"],
+           iso_date(record["Archive-date"]), bool(head), digest, len(payload), record["truncated"])
     return row + ((head, payload, base32(record["block"]), base32(head)) if with_content else ())
 
 
+def _uuid(name: str) -> str:
+    return str(uuid.uuid5(uuid.NAMESPACE_URL, name))
+
+
 def _signed(text: str | None) -> int | None:
     return int(text) if text and re.fullmatch(r"-?\d+", text) else None
 
 
 def _records(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=names).assign(order_no=longs(r[1] for r in rows))
+    return pd.DataFrame(rows, columns=names).assign(order_no=longs(r[2] for r in rows))
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_bytes: int = 0) -> None:
     """All ARC files below ``arc_path`` as WARC files in ``warc_path``.
 
     The files are parsed twice: once for the small columns, from which each payload's first record follows, and once
-    for the bytes. What decides meets the bytes by record id, which is unique, so copies of one payload stay spread;
-    few decisions travel to the bytes, many meet them in a shuffle.
+    for the bytes. What decides meets the bytes by place (file and offset), which is unique, so copies of one payload stay
+    spread; few decisions travel to the bytes, many meet them in a shuffle.
     """
-    slim = parse_arcs(spark, arc_path, with_content=False).where(F.col("payload_bytes") >= min_revisit_bytes)
-    place = F.struct(F.coalesce("order_no", F.lit((1 << 63) - 1)).alias("o"), "record_id")
-    first = (slim.groupBy("payload_digest", "payload_bytes").agg(F.min_by(F.struct("record_id", "order_no", "uri", "date"), place).alias("first"), F.count("*").alias("n"))
+    slim = materialize(parse_arcs(spark, arc_path, with_content=False).select(
+        "place", "record_id", "order_no", "uri", "date", "payload_digest", "payload_bytes"), "warc-records")
+    repeated = materialize(slim.groupBy("record_id").agg(F.count("*").alias("n")).where("n > 1").select("record_id"), "warc-repeated")
+    # records alike in all that makes an id are told apart by their place
+    renamed = slim.join(repeated, "record_id", "left_semi").select("place", F.concat(F.lit("<urn:uuid:"), "place", F.lit(">")).alias("own_id"))
+    any_repeated = not repeated.isEmpty()
+    if any_repeated:
+        renamed = materialize(renamed, "warc-renamed")
+        slim = slim.join(renamed, "place", "left").withColumn("record_id", F.coalesce("own_id", "record_id")).drop("own_id")
+    large = slim.where(F.col("payload_bytes") >= min_revisit_bytes)
+    rank = F.struct(F.coalesce("order_no", F.lit((1 << 63) - 1)).alias("o"), "record_id")
+    first = (large.groupBy("payload_digest", "payload_bytes").agg(F.min_by(F.struct("record_id", "order_no", "uri", "date"), rank).alias("first"), F.count("*").alias("n"))
              .where("n > 1").drop("n"))
-    known = slim.select("record_id", "order_no", "payload_digest", "payload_bytes")
-    revisits = (known.join(first, ["payload_digest", "payload_bytes"])
-                .where((F.col("first.record_id") != F.col("record_id")) & ~F.col("order_no").eqNullSafe(F.col("first.order_no")))
-                .select("record_id", F.col("first.record_id").alias("of_id"), F.col("first.uri").alias("of_uri"), F.col("first.date").alias("of_date")))
-    revisits = materialize(revisits, "warc-revisits")
-    if revisits.count() <= BROADCAST_REVISITS:
-        revisits = F.broadcast(revisits)
-    full = parse_arcs(spark, arc_path, with_content=True).join(revisits, "record_id", "left")
+    known = large.select("place", "record_id", "order_no", "payload_digest", "payload_bytes")
+    decided = (known.join(first, ["payload_digest", "payload_bytes"])
+               .where((F.col("first.record_id") != F.col("record_id")) & ~F.col("order_no").eqNullSafe(F.col("first.order_no")))
+               .select("place", F.col("first.record_id").alias("of_id"), F.col("first.uri").alias("of_uri"), F.col("first.date").alias("of_date")))
+    decided = decided.join(renamed, "place", "full") if any_repeated else decided.withColumn("own_id", F.lit(None).cast("string"))
+    decided = materialize(decided, "warc-decided")
+    if decided.count() <= BROADCAST_REVISITS:
+        decided = F.broadcast(decided)
+    full = parse_arcs(spark, arc_path, with_content=True).join(decided, "place", "left").withColumn("record_id", F.coalesce("own_id", "record_id"))
     again = F.col("of_id").isNotNull()
     kind = F.when(again, "revisit").when(F.col("http"), "response").otherwise("resource")
     block = F.when(again, F.col("head")).otherwise(F.concat("head", "payload"))
@@ -203,7 +220,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_byte
         F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string")),
     ]
     about = "software: arc converter\r\nformat: WARC File Format 1.1\r\n"
-    info = F.concat(F.lit("WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:"), F.uuid(), F.lit(
+    info_id = F.regexp_replace(F.md5(F.concat(F.lit("warcinfo "), "record_id").cast("binary")), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+    info = F.concat(F.lit("WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:"), info_id, F.lit(
         f">\r\nWARC-Date: 2010-01-01T00:00:00Z\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(about)}\r\n\r\n{about}\r\n\r\n"))
     text = F.concat(F.when(_row_in_task() == 0, info).otherwise(F.lit("")), F.lit("WARC/1.1\r\n"), F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"))
     # concat of binaries keeps the bytes as they are, whatever their encoding
@@ -229,7 +247,7 @@ READ = "order_no long, payload_bytes long, payload_digest string, record_type st
 def read_back(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of the WARC files below ``path`` (information records aside). Sizes and digests of
     whole records are taken anew from their bytes; ``intact`` says whether the stored digests agree."""
-    small_batches(spark)
+    bounded_batches(spark)
     names = [c.split()[0] for c in READ.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
