@@ -54,12 +54,12 @@ def test_nearest_exact_when_all_lists_are_probed(spark):
     good += [(i, good[0][1]) for i in range(300, 420)]
     bad = [(900, None), (1000, [0.0] * 8), (1100, [1.0, None] + [0.0] * 6), (1200, [float("nan")] * 8), (1300, [float("inf")] * 8), (1400, [1.0] * 5), (1500, []), (None, [1.0] * 8)]
     df = spark.createDataFrame(good + bad, "vec_id long, embedding array<double>").withColumn("cell", F.lit("x")).withColumn("v", F.lit(1))
-    before = vectors.PART, vectors.BLOCK, vectors.WIDTH
-    vectors.PART, vectors.BLOCK, vectors.WIDTH = 20, 2, 20.0
+    before = vectors.GROUP_VALUES, vectors.WIDTH
+    vectors.GROUP_VALUES, vectors.WIDTH = 24, 20.0
     try:
         out = vectors.nearest(df, F.col("vec_id") % 100 == 0, probes=1.0).orderBy("query_id", "rank").collect()
     finally:
-        vectors.PART, vectors.BLOCK, vectors.WIDTH = before
+        vectors.GROUP_VALUES, vectors.WIDTH = before
     want = exact_nearest(good, [i for i, _ in good if i % 100 == 0], 10)
     got = {}
     for r in out:
@@ -71,6 +71,41 @@ def test_nearest_exact_when_all_lists_are_probed(spark):
     assert vectors.nearest(df.where("false"), F.col("vec_id") == 0).count() == 0
 
 
+def test_probes_follow_the_data(monkeypatch):
+    """As many lists as hold the wanted share of the nearest: few where vectors cluster, many on a sphere."""
+    rng = np.random.default_rng(5)
+    middles = rng.standard_normal((20, 16)) * 20
+    clustered = middles[rng.integers(0, 20, 2000)] + rng.standard_normal((2000, 16))
+    sphere = rng.standard_normal((2000, 16))
+    monkeypatch.setattr(vectors, "MATRIX_VALUES", 100_000)          # so that pieces are needed
+    needed = []
+    for points in (clustered, sphere):
+        centres = vectors.fit_centres(points, 44)
+        needed.append(vectors.probes_needed(points, centres, 10, 0.97))
+        home, found = vectors.homes(points, centres), []
+        for i in range(vectors.JUDGES):
+            d = ((points - points[i]) ** 2).sum(1)
+            d[i] = np.inf
+            lists = ((centres - points[i]) ** 2).sum(1).argsort()[:needed[-1]]
+            found.append(np.isin(home[d.argsort()[:10]], lists).mean())
+        assert np.mean(found) >= 0.97 - 1e-9
+    assert needed[0] <= 10 < needed[1]
+    assert vectors.probes_needed(np.ones((1, 4)), np.ones((1, 4)), 10, 0.97) == 1
+
+
+def test_recall_on_clusters_with_one_large_one(spark):
+    rng = np.random.default_rng(9)
+    middles = rng.standard_normal((30, 12)) * 10
+    which = np.where(rng.random(3000) < 1 / 3, 0, rng.integers(0, 30, 3000))
+    points = middles[which] + rng.standard_normal((3000, 12))
+    rows = [(i, p) for i, p in enumerate(points.tolist())]
+    got = {}
+    for r in vectors.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = exact_nearest(rows, range(0, 3000, 50), 10)
+    assert np.mean([len(got[x] & {i for i, _ in want[x]}) / 10 for x in want]) >= 0.9
+
+
 # ---- toxicity
 
 def test_toxicity_held_out(spark):
