@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialize, small_batches
+from tidemark.llm.common import materialize, bounded_batches
 
 MIN_WORDS = 50
 #: Cuts joined as a broadcast table: at most so many documents and lines, some 100 MB; beyond, both sides are shuffled.
@@ -161,7 +161,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple:
 
 def cuts(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """k, h (the document) and ``cut``, the numbers of its lines to delete, for every document that loses lines."""
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     k, h = _keyed(docs, id_col, text_col)
     rows = docs.select(k.alias("k"), h.alias("h"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from tidemark.llm.common import docs_of, longs, materialize, shuffle_width, small_batches
+from tidemark.llm.common import docs_of, longs, materialize, shuffle_width, bounded_batches
 
 SHINGLE = 5
 TOKEN_BITS = 48
@@ -242,7 +242,7 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
 def sets_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: n_shingles, key of its set, and for possible partners the prefix and shared shingles. Stored."""
     spark = docs.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     rows = docs_of(docs, id_col, text_col)
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts = max(2 * shuffle_width(spark), math.ceil(size / SHINGLE / PART_TOKENS))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from tidemark.llm.common import Recalled, byte_letters, docs_of, located, longs, materialize, on_shelf, small_batches
+from tidemark.llm.common import Recalled, byte_letters, docs_of, located, longs, materialize, on_shelf, bounded_batches
 
 WINDOW, END, OPEN, MIN_PIECE = 2048, 1, 32, 32
 #: Tasks whose leftovers one merge task takes, so that it holds at most FAN_IN x OPEN windows.
@@ -163,7 +163,7 @@ def pack(docs: DataFrame, vocabulary: str | Callable[[], str], id_col: str = "do
     The pieces and leftovers of the first pass are written once to the shared folder: a lost executor costs the
     tasks it ran. Sequence numbers are the writing task's number and a counter.
     """
-    small_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         windows, coder = Windows(TaskContext.get().partitionId() << 32), WordIds(located(vocabulary), memo_room)

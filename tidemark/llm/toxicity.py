@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidemark.llm.common import crc_fold, docs_of, longs, materialize, small_batches
+from tidemark.llm.common import crc_fold, docs_of, longs, materialize, bounded_batches
 
 TRAIN_ROWS, TRAIN_CHARS = 6000, 12_000_000
 #: A text longer than this part of the characters joins the sample after all others, if room is left.
@@ -171,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
 
 def scorer(spark: SparkSession, model: Model):
     """A column function: the score of a text."""
-    small_batches(spark)
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast((model.bias, model.weights))  # at most the words of TRAIN_CHARS characters
 
     @pandas_udf("double")
@@ -185,7 +185,7 @@ def scorer(spark: SparkSession, model: Model):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted, worst_sentence, worst_score of every whole text."""
     spark = docs.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast((model.bias, model.weights))  # at most the words of TRAIN_CHARS characters
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,7 +202,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def offending(docs: DataFrame, model: Model, at_least: float = 0.5) -> DataFrame:
     """doc_id, sentence (its number from 0), text, probability of the sentences that offend by themselves."""
     spark = docs.sparkSession
-    small_batches(spark)
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast((model.bias, model.weights))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
